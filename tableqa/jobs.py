@@ -8,7 +8,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 from tableqa.functions.values import normalize_values
 from tableqa.operators.compare import compare_metrics, compare_tables, equality_result
 from tableqa.operators.extract import BATCH_SIZE, extract
@@ -78,19 +77,24 @@ def job_extract_reconcile(
     runner: Callable[[str], DataFrame] | None = None,
     tolerance: float = 0.0,
     only_failures: bool = False,
+    footers: bool = True,
     **options,
 ) -> DataFrame:
     """Extract to Parquet, run the plan on the source, measure the Parquet, compare, write results and alerts.
 
+    Row and null counts of the Parquet come from its footers; `footers=False` reads every column instead.
+
     The plan states what is expected, so its queries must describe the rows that are extracted: for tracked changes
     give a plan over the changes, not over the whole table.
     """
     spark = source.sparkSession
-    landed = job_extract(source, primary_key, f"{output.rstrip('/')}/data", run_ts, **options)
+    data = f"{output.rstrip('/')}/data"
+    landed = job_extract(source, primary_key, data, run_ts, **options)
     checks = read_plan(plan, table.catalog, table.schema, table.table, check_types).collect()
     results = run_plan(spark, checks, run_ts, runner)
     write_jsonl(results, run_prefix(output, "qa_results", run_ts))
-    observed = observed_metrics(landed, needed_checks([c.check_type for c in checks], primary_key))
+    needed = needed_checks([c.check_type for c in checks], primary_key)
+    observed = observed_metrics(landed, needed, footers_of=data if footers else None)
     alerts = compare_metrics(expected_metrics(results), observed, run_ts, tolerance, only_failures=only_failures)
     path = write_jsonl(alerts, run_prefix(output, "qa_alerts", run_ts))
     return spark.read.schema(alerts.schema).json(path)

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors.exceptions.captured import CapturedException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableqa.functions.names import (
     COUNT_CHECK,
     DUPLICATES_CHECK,
     NULLS_CHECK,
+    col_of,
     nulls_check_column,
     nulls_key,
     nulls_key_from_alias,
@@ -18,7 +23,9 @@ from tableqa.functions.names import (
 )
 from tableqa.functions.values import safe_int
 from tableqa.operators.checks import counts_long, duplicate_excess
-from tableqa.schemas import EXTRACT_METADATA
+from tableqa.schemas import EXTRACT_METADATA, METRIC
+
+log = logging.getLogger(__name__)
 
 # Result columns that may hold a row count (fixed values).
 COUNT_NAMES = ("total_rows", "count", "cnt")
@@ -48,16 +55,50 @@ def needed_checks(check_types: list[str], primary_key: str | list[str] | None =
     )
 
 
+def counts_from_footers(spark: SparkSession, path: str, columns: list[str], count_rows: bool = True) -> DataFrame:
+    """Row count and null counts of Parquet files from the statistics in their footers, without reading a column.
+
+    The aggregate is pushed into the scan by the Parquet source of a session of its own, so the settings of the
+    caller's session stay as they are. Files without statistics make the query fail.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    files = session.read.parquet(path)
+    counts = files.agg(F.count(F.lit(1)), *[F.count(col_of(c)) for c in columns]).first()
+    rows = [(f"{NULLS_CHECK}|{snake_name(c)}", counts[0] - n) for c, n in zip(columns, counts[1:])]
+    if count_rows:
+        rows.insert(0, (COUNT_CHECK, counts[0]))
+    return spark.createDataFrame(rows, METRIC)
+
+
+def _counts(df: DataFrame, columns: list[str], count_rows: bool, keys: list[Column], footers_of: str | None) -> DataFrame:
+    if footers_of is not None:
+        # Statistics count the values of a flat column; nested ones are read.
+        flat = [f.name for f in df.schema if f.name in columns and isinstance(f.dataType, T.AtomicType)]
+        nested = [c for c in columns if c not in flat]
+        try:
+            counts = counts_from_footers(df.sparkSession, footers_of, flat, count_rows)
+            return counts.unionByName(counts_long(df, nested, False)) if nested else counts
+        except (Py4JJavaError, CapturedException) as error:
+            log.info("footers of %s not usable, reading the columns: %s", footers_of, type(error).__name__)
+    return counts_long(df, columns, count_rows, keys)
+
+
 def observed_metrics(
     df: DataFrame,
     needed: NeededChecks,
     per_file: bool = False,
     exclude: tuple[str, ...] = (*EXTRACT_METADATA, "batch_id"),
+    footers_of: str | None = None,
 ) -> DataFrame:
     """Metrics of a table, or of every file it was read from.
 
     Wanted columns that the table lacks give no row. Counts need no shuffle; duplicates read the key alone.
+    `footers_of` is the Parquet folder that `df` reads in full: counts then come from its footers.
     """
+    if per_file and footers_of is not None:
+        raise ValueError("footers give counts of the whole folder, not of every file")
     keys = [F.col("_metadata.file_path").alias("file_path")] if per_file else []
     present = [c for c in df.columns if c not in exclude]
     if needed.nulls == "all":
@@ -66,7 +107,7 @@ def observed_metrics(
         columns = [c for c in present if snake_name(c) in (needed.nulls or ())]
     parts = []
     if needed.count_total_rows or columns:
-        parts.append(counts_long(df, columns, needed.count_total_rows, keys))
+        parts.append(_counts(df, columns, needed.count_total_rows, keys, footers_of))
     key_columns = [c for k in needed.primary_key for c in df.columns if snake_name(c) == k]
     if needed.duplicates and len(key_columns) == len(needed.primary_key):
         excess = duplicate_excess(df, key_columns, keys)

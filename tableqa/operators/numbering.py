@@ -240,7 +240,9 @@ def number_rows(
     chunk = F.lit(rows_per_bucket).cast("bigint")
     chunks = copies.withColumn(
         _CHUNK, F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(_COUNT) - 1) / chunk).cast("bigint")))
-    ).repartition(_BUCKET, _CHUNK)
+    )
+    # A fixed number of partitions: before they grow, chunks are too small for AQE to keep apart.
+    chunks = chunks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _BUCKET, _CHUNK)
     first = F.col("__start") + F.col(_CHUNK) * chunk + 1
     last = F.least(first + chunk - 1, F.col("__start") + F.col(_COUNT))
     restored = [col_of(c).cast(floats[c]).alias(c) if c in floats else col_of(c) for c in df.columns]

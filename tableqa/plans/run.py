@@ -36,23 +36,20 @@ def run_check(result: DataFrame, check_type: str = "") -> dict:
     result is counted, and its excess rows are summed, by Spark over all of its rows.
     """
     text = text_value(col_of(result.columns[0]), result.schema[0].dataType)
-    head = result.select(text.alias("t"), _as_json(result).alias("j")).limit(SAMPLE_ROWS + 1).collect()
     counts = [c for c in result.columns if c.lower() in COUNT_NAMES]
     is_duplicates = check_type.lower() == DUPLICATES_CHECK and bool(counts)
-    excess = None
-    if len(head) > SAMPLE_ROWS or is_duplicates:
-        beyond = F.greatest(safe_int(col_of(counts[0])) - 1, F.lit(0)) if counts else F.lit(0)
-        total = result.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(beyond), F.lit(0)).alias("e")).first()
-        rowcount, excess = total.n, (total.e if is_duplicates else None)
-    else:
-        rowcount = len(head)
+    beyond = F.greatest(safe_int(col_of(counts[0])) - 1, F.lit(0)) if is_duplicates else F.lit(0)
+    head = result.select(text.alias("t"), _as_json(result).alias("j"), beyond.alias("e")).limit(SAMPLE_ROWS + 1).collect()
+    rowcount, excess = len(head), sum(r.e for r in head)
+    if rowcount > SAMPLE_ROWS:
+        rowcount, excess = result.agg(F.count(F.lit(1)), F.sum(beyond)).first()
     if rowcount == 0:
         value = None
     elif rowcount == 1 and len(result.columns) == 1:
         value = head[0].t
     else:
         value = "[" + ",".join(r.j for r in head[:SAMPLE_ROWS]) + "]"
-    return {"value": value, "rowcount": rowcount, "excess_rows": excess}
+    return {"value": value, "rowcount": rowcount, "excess_rows": excess if is_duplicates else None}
 
 
 def _run_fused(spark: SparkSession, checks: list[Row]) -> list[dict]:

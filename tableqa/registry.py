@@ -714,11 +714,18 @@ def _(spark, sf):
     f"WITH c AS ({COPY_SQL}) {_null_metric_rows('c', ['o_orderdate', 'o_orderpriority'])}",
 )
 def _(spark, sf):
-    listed = ["nulls_per_column|O_OrderPriority", "nulls_per_column|o_orderdate", "nulls_per_column|not_there"]
-    needed = metrics.needed_checks([c.replace("O_OrderPriority", "o_orderpriority") for c in listed], "o_orderkey")
+    listed = ["nulls_per_column|O_Orderpriority", "nulls_per_column|o_orderdate", "nulls_per_column|not_there"]
+    needed = metrics.needed_checks(listed, "o_orderkey")
     return metrics.observed_metrics(orders_copy(spark, sf), needed)
 
 
+@query("observed_metrics_footers", _metric_rows("orders", ORDER_COLUMNS, "o_orderkey"))
+def _(spark, sf):
+    needed = metrics.needed_checks(METRIC_CHECKS, "o_orderkey")
+    path = f"{sf.rstrip('/')}/orders.parquet"
+    return metrics.observed_metrics(load(spark, sf, "orders"), needed, footers_of=path)
+
+
 @query("shard_metrics")
 def _(spark, sf):
     needed = metrics.needed_checks(METRIC_CHECKS, "l_orderkey")
@@ -880,7 +887,7 @@ def _(spark, sf):
 
 @query(
     "query_compare",
-    "SELECT 1 AS query_id, 'orders' AS table_name, status, row_count_sql, row_count_bq FROM ("
+    "SELECT CAST(1 AS BIGINT) AS query_id, 'orders' AS table_name, status, row_count_sql, row_count_bq FROM ("
     + _equality_sql("orders", "orders") + ") UNION ALL SELECT 2, 'orders', status, row_count_sql, row_count_bq FROM ("
     + f"WITH b AS ({BASE_SQL}) " + _equality_sql("orders", "b") + ")",
 )
