@@ -10,6 +10,7 @@ from tableqa.functions.names import col_of
 from tableqa.functions.values import text_value
 
 SEPARATOR = "|"
+DIGEST_SEEDS = (1, 2)
 
 
 def row_hash(
@@ -37,18 +38,17 @@ def with_row_hash(df: DataFrame, columns: list[str] | None = None, name: str = "
     return df.withColumn(name, row_hash(df, columns, **options))
 
 
-def row_digest(schema: T.StructType) -> Column:
-    """32-byte digest that is equal exactly where the rows are: every value is written with its length, NULL as a
-    mark of its own, and 0.0 and -0.0 alike."""
+def row_digest(schema: T.StructType) -> list[Column]:
+    """Two 64-bit hashes that together tell rows apart: each covers every value and which values are NULL, from
+    different seeds. 0.0 and -0.0 are alike, and NaN equals NaN."""
 
-    def part(field: T.StructField) -> Column:
+    def parts(field: T.StructField) -> list[Column]:
         value = col_of(field.name)
-        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-            value = value + F.lit(0.0).cast(field.dataType)
-        if isinstance(field.dataType, T.BinaryType):
-            value = F.hex(value)
-        text = text_value(value, field.dataType)
-        return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
-
-    parts = [part(f) for f in schema]
-    return F.unhex(F.sha2(F.concat(*parts) if parts else F.lit(""), 256))
+        if isinstance(field.dataType, T.MapType):
+            value = F.sort_array(F.map_entries(value))
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.to_json(value, {"ignoreNullFields": "false"})
+        return [value.isNull(), value]
+
+    values = [p for f in schema for p in parts(f)]
+    return [F.xxhash64(F.lit(seed), *values) for seed in DIGEST_SEEDS]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -89,9 +90,11 @@ def job_extract_reconcile(
     """
     spark = source.sparkSession
     data = f"{output.rstrip('/')}/data"
-    landed = job_extract(source, primary_key, data, run_ts, **options)
     checks = read_plan(plan, table.catalog, table.schema, table.table, check_types).collect()
-    results = run_plan(spark, checks, run_ts, runner)
+    with ThreadPoolExecutor(1) as pool:  # the checks of the source do not wait for the extract
+        running = pool.submit(run_plan, spark, checks, run_ts, runner)
+        landed = job_extract(source, primary_key, data, run_ts, **options)
+        results = running.result()
     write_jsonl(results, run_prefix(output, "qa_results", run_ts))
     needed = needed_checks([c.check_type for c in checks], primary_key)
     observed = observed_metrics(landed, needed, footers_of=data if footers else None)

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from tableqa.functions.names import col_of
 
 ROWS_PER_BUCKET = 1_000_000
+MIN_ROWS_PER_TASK = 100_000
 SAMPLES_PER_BUCKET = 20
 MAX_BUCKETS = 100_000  # bounds travel as one literal; more rows than this make larger buckets
 MAX_HEAVY_ROWS = 2_000
@@ -73,7 +74,7 @@ def plan_layout(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET,
     order_key, key_type = _order_key(df, key)
     layout = Layout(key_type)
     total = df.count()
-    spread = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // 10_000)
+    spread = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // MIN_ROWS_PER_TASK)
     buckets = min(max(-(-total // rows_per_bucket), spread), MAX_BUCKETS)
     if buckets <= 1:
         return layout
@@ -161,8 +162,6 @@ def _locate(df: DataFrame, key: str, layout: Layout) -> DataFrame:
 
 def _assign_buckets(df: DataFrame, key: str, layout: Layout) -> DataFrame:
     """Add the bucket number; buckets are ordered like (key with NULLs first, row hash)."""
-    if not layout.bounds and layout.null_splits == 1:
-        return df.withColumn(_BUCKET, F.lit(0).cast("bigint"))
     located = _locate(df, key, layout)
     # NULL keys 0; keys between two bounds odd; a key with buckets of its own the even number behind them.
     is_hot = F.col("__splits") > 1
@@ -206,6 +205,10 @@ def number_rows(
     if layout is None:
         layout = plan_layout(df, key, rows_per_bucket)
     columns = [col_of(c) for c in df.columns]
+    order_key = _order_key(df, key)[0].asc_nulls_first()
+    if not layout.bounds and not layout.hot_keys:  # at most one bucket of rows, so one task sorts them
+        number = F.row_number().over(Window.orderBy(order_key, _row_hash(df)))
+        return df.withColumn(out, number.cast("bigint"))
     rows = bucketed(df, key, layout)
 
     # One row per bucket: the number of buckets bounds both the single-task prefix sum and the broadcast.
@@ -215,7 +218,7 @@ def number_rows(
         sizes.select(_BUCKET, F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).alias(_BASE))
     )
 
-    in_bucket = Window.partitionBy(_BUCKET).orderBy(_order_key(df, key)[0].asc_nulls_first(), _HASH)
+    in_bucket = Window.partitionBy(_BUCKET).orderBy(order_key, _HASH)
     if not layout.heavy_rows:
         numbered = rows.withColumn(out, F.row_number().over(in_bucket)).join(offsets, _BUCKET)
         return numbered.select(*columns, (F.col(_BASE) + F.col(out)).cast("bigint").alias(out))

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import json
 import logging
 from collections import defaultdict
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableqa.functions.names import DUPLICATES_CHECK, col_of
 from tableqa.functions.values import safe_int, text_value
@@ -57,16 +57,15 @@ def _run_fused(spark: SparkSession, checks: list[Row]) -> list[dict]:
     texts = [c.query_text.strip().rstrip(";") for c in checks]
     columns = [f"(SELECT struct(*) FROM ({t})) AS r{i}" for i, t in enumerate(texts)]
     fused = spark.sql("SELECT " + ", ".join(columns))
-    row = fused.select(*[F.to_json(c, KEEP_NULLS).alias(c) for c in fused.columns]).first()
-    outcomes = []
-    for text in row:
-        if text is None:
-            outcomes.append({"value": None, "rowcount": 0})
-            continue
-        record = json.loads(text, parse_int=str, parse_float=str)
-        value = next(iter(record.values())) if len(record) == 1 else f"[{text}]"
-        outcomes.append({"value": value if value is None else str(value), "rowcount": 1})
-    return outcomes
+
+    def outcome(field: T.StructField) -> Column:
+        row, inner = F.col(field.name), field.dataType.fields
+        value = text_value(row.getField(inner[0].name), inner[0].dataType)
+        if len(inner) > 1:
+            value = F.concat(F.lit("["), F.to_json(row, KEEP_NULLS), F.lit("]"))
+        return F.struct(value.alias("value"), row.isNotNull().cast("int").alias("rowcount")).alias(field.name)
+
+    return [o.asDict() for o in fused.select(*[outcome(f) for f in fused.schema]).first()]
 
 
 def run_plan(

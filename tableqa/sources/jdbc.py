@@ -90,3 +90,40 @@ def jdbc_reader(
 
 def read_jdbc(spark: SparkSession, options: dict[str, str], **arguments) -> DataFrame:
     return jdbc_reader(spark, options, **arguments).load()
+
+
+def bounds_query(source: str, column: str) -> str:
+    """Smallest and largest value of a column, found by the server."""
+    name = tsql_ident(column)
+    return f"SELECT MIN({name}) AS lower_bound, MAX({name}) AS upper_bound FROM ({source}) AS src"
+
+
+def read_jdbc_split(
+    spark: SparkSession,
+    options: dict[str, str],
+    column: str,
+    num_partitions: int,
+    query: str | None = None,
+    schema: str | None = None,
+    table: str | None = None,
+    fetch_size: int = FETCH_SIZE,
+) -> DataFrame:
+    """Read a table or query by `num_partitions` tasks, each with a range of a numeric or time column. NULLs go with
+    the first range. The key column of a table is the natural choice; no row is read twice."""
+    source = query or table_query(schema, table)
+    bounds = read_jdbc(spark, options, query=bounds_query(source, column)).first()
+    split = {}
+    if bounds.lower_bound is not None:
+        split = {
+            "partition_column": column, "lower_bound": str(bounds.lower_bound), "upper_bound": str(bounds.upper_bound),
+            "num_partitions": num_partitions,
+        }
+    return read_jdbc(spark, options, query=query, schema=schema, table=table, fetch_size=fetch_size, **split)
+
+
+def read_jdbc_batches(
+    spark: SparkSession, options: dict[str, str], source: str, predicates: list[str], fetch_size: int = FETCH_SIZE
+) -> DataFrame:
+    """Read by one task per predicate of the caller, which must cover every row once."""
+    properties = {k: v for k, v in options.items() if k != "url"} | {"fetchsize": str(fetch_size)}
+    return spark.read.jdbc(options["url"], source, predicates=predicates, properties=properties)

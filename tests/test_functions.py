@@ -107,11 +107,17 @@ def test_row_hash_forms(spark):
     assert df.select(hashing.row_hash(df, encoding="UTF-16LE")).first()[0] == sha("a|é".encode("utf-16-le"))
 
 
+def digests(df):
+    return df.select(F.array(*hashing.row_digest(df.schema)).alias("d")).distinct().count()
+
+
 def test_row_digest_tells_rows_apart(spark):
-    rows = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("x", None), ("-", "x"), ("", "x")]
-    df = spark.createDataFrame(rows, "a string, b string")
-    assert df.select(hashing.row_digest(df.schema).alias("d")).distinct().count() == len(rows)
-    zeros = spark.createDataFrame([(0.0,), (-0.0,)], "a double")
-    assert zeros.select(hashing.row_digest(zeros.schema).alias("d")).distinct().count() == 1
-    binary = spark.createDataFrame([(bytearray(b"\xff"),), (bytearray(b"\xfe"),)], "a binary")
-    assert binary.select(hashing.row_digest(binary.schema).alias("d")).distinct().count() == 2
+    rows = [("a|b", "c"), ("a", "b|c"), ("ab", "c"), (None, "x"), ("x", None), ("-", "x"), ("", "x"), (None, None)]
+    assert digests(spark.createDataFrame(rows, "a string, b string")) == len(rows)
+    assert digests(spark.createDataFrame([(0.0,), (-0.0,)], "a double")) == 1
+    assert digests(spark.createDataFrame([(float("nan"),), (0.0 * float("inf"),)], "a double")) == 1
+    assert digests(spark.createDataFrame([(bytearray(b"\xff"),), (bytearray(b"\xfe"),)], "a binary")) == 2
+    assert digests(spark.createDataFrame([([1, None],), ([None, 1],), ([1],), (None,), ([],)], "a array<int>")) == 5
+    assert digests(spark.createDataFrame([((None, 1),), ((1, None),), (None,)], "a struct<x:int,y:int>")) == 3
+    maps = spark.createDataFrame([({"x": 1, "y": 2},), ({"y": 2, "x": 1},), ({"x": 1},)], "a map<string,int>")
+    assert digests(maps) == 2

@@ -71,6 +71,27 @@ def test_jdbc_reader_options():
         jdbc.jdbc_reader(Recorder(), {"url": "u"})
 
 
+def test_jdbc_split_reads(spark, monkeypatch):
+    calls = []
+
+    def fake(bounds):
+        def read(_, options, **arguments):
+            calls.append(arguments)
+            return spark.createDataFrame([bounds], "lower_bound int, upper_bound int")
+
+        return read
+
+    monkeypatch.setattr(jdbc, "read_jdbc", fake((1, 90)))
+    jdbc.read_jdbc_split(spark, {"url": "u"}, "Id", 8, schema="s", table="T")
+    assert calls[0]["query"] == (
+        "SELECT MIN([Id]) AS lower_bound, MAX([Id]) AS upper_bound FROM (SELECT * FROM [s].[T]) AS src"
+    )
+    assert (calls[1]["lower_bound"], calls[1]["upper_bound"], calls[1]["num_partitions"]) == ("1", "90", 8)
+    monkeypatch.setattr(jdbc, "read_jdbc", fake((None, None)))
+    jdbc.read_jdbc_split(spark, {"url": "u"}, "Id", 8, query="SELECT 1 AS Id")
+    assert "partition_column" not in calls[3] and calls[3]["query"] == "SELECT 1 AS Id"
+
+
 def test_sources(spark, tmp_path):
     df = tables.rows_to_df(spark, [(2,), (1,)], "a int")
     df.createOrReplaceTempView("two_rows")

@@ -119,6 +119,20 @@ def test_fused_checks_share_one_scan(spark, pets):
     assert "mergedValue" in plan
 
 
+def test_fused_and_single_runs_give_the_same_text(spark):
+    texts = [
+        "SELECT max(ts) AS m FROM VALUES (TIMESTAMP '2024-01-01 00:00:00') AS t(ts)", "SELECT true AS b",
+        "SELECT 1.50 AS d", "SELECT CAST(NULL AS INT) AS n", "SELECT 1 AS a WHERE false", "SELECT array(1, 2) AS x",
+        "SELECT 1 AS `a.b|c`, NULL AS e",
+    ]
+    plan = spark.createDataFrame([plan_row(i, t) for i, t in enumerate(texts)], schemas.PLAN)
+    runs = [
+        [(r.query_id, r.status, r.value, r.rowcount) for r in run.run_plan(spark, plan, RUN_TS, fuse=f).collect()]
+        for f in (True, False)
+    ]
+    assert runs[0] == runs[1] and {r[1] for r in runs[0]} == {"OK"}
+
+
 def plan_row(query_id, text, check_type="count_total_rows", shape="single_row_scalar"):
     return (query_id, "t", "db", "s", check_type, text, shape)
 
