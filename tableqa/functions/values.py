@@ -12,6 +12,8 @@ from tableqa.functions.names import col_of
 UNSUPPORTED_TYPES = ("datetimeoffset", "sql_variant", "geometry", "hierarchyid", "geography", "timestamp")
 UNSUPPORTED_LENGTH = 100
 
+TRUE_TEXTS = ("true", "1", "yes")
+
 _NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
@@ -103,3 +105,8 @@ def parse_check_types(text: str | None, separator: str = "|", lower: bool = True
     """The same for a job argument."""
     parts = [p.strip() for p in (text or "").split(separator)]
     return [p.lower() if lower else p for p in parts if p]
+
+
+def parse_flag(text: str | bool | None) -> bool:
+    """A yes/no job argument."""
+    return str(text).strip().lower() in TRUE_TEXTS

@@ -46,7 +46,8 @@ def target_name(database: str, schema: str, table: str) -> str:
 
 
 def batch_of(row_number: Column, batch_size: int) -> Column:
-    return F.floor((row_number - 1) / F.lit(batch_size)).cast("bigint")
+    """Batch of a row number, from 0."""
+    return F.call_function("div", row_number - 1, F.lit(batch_size))
 
 
 def batch_page(df: DataFrame, start: int, end: int, row_number: str = ROW_NUMBER) -> DataFrame:

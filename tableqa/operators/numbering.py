@@ -62,11 +62,11 @@ def _order_key(df: DataFrame, key: str) -> tuple[Column, T.DataType]:
 
 
 def _row_hash(df: DataFrame) -> Column:
-    values = [
-        F.to_json(col_of(f.name)) if isinstance(f.dataType, (T.MapType, T.VariantType)) else col_of(f.name)
-        for f in df.schema
-    ]
-    return F.xxhash64(*values)
+    def value(field: T.StructField) -> Column:
+        kind = field.dataType.simpleString()
+        return F.to_json(col_of(field.name)) if "map<" in kind or "variant" in kind else col_of(field.name)
+
+    return F.xxhash64(*[value(f) for f in df.schema])
 
 
 def plan_layout(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET, seed: int = 7) -> Layout:
@@ -242,7 +242,7 @@ def number_rows(
     copies = copies.withColumn("__start", F.col(_BASE) + F.col("__start"))
     chunk = F.lit(rows_per_bucket).cast("bigint")
     chunks = copies.withColumn(
-        _CHUNK, F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(_COUNT) - 1) / chunk).cast("bigint")))
+        _CHUNK, F.explode(F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col(_COUNT) - 1, chunk)))
     )
     # A fixed number of partitions: before they grow, chunks are too small for AQE to keep apart.
     chunks = chunks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _BUCKET, _CHUNK)

@@ -128,14 +128,17 @@ def check_value_dist(t: Target) -> Column:
     return F.when(t.has_columns(), F.array(check)).otherwise(_none())
 
 
-def columns_per_table(metadata: DataFrame) -> DataFrame:
-    """Column names of every table in order, repeated catalog rows once; NULL names (no columns) leave it empty."""
+def columns_per_table(metadata: DataFrame, by: tuple[str, ...] = TABLE) -> DataFrame:
+    """Column names of every table in order, repeated catalog rows once; NULL names (no columns) leave it empty.
+
+    `by=("table_schema", "table_name")` groups without the catalog.
+    """
     position = F.col("ordinal_position") if "ordinal_position" in metadata.columns else F.lit(0)
-    once = metadata.groupBy(*TABLE, "column_name").agg(F.min(position).alias("position"))
+    once = metadata.groupBy(*by, "column_name").agg(F.min(position).alias("position"))
     ordered = F.array_sort(
         F.collect_list(F.when(F.col("column_name").isNotNull(), F.struct("position", "column_name")))
     )
-    return once.groupBy(*TABLE).agg(F.transform(ordered, lambda c: c["column_name"]).alias("columns"))
+    return once.groupBy(*by).agg(F.transform(ordered, lambda c: c["column_name"]).alias("columns"))
 
 
 def generate_plan(
@@ -178,7 +181,8 @@ def generate_plan(
         *TABLE, F.posexplode(F.concat(*[builders[c](target) for c in checks])).alias("position", "check")
     ).select(*TABLE, "position", "check.*")
     # A text key that sorts like (catalog, schema, table, position): NUL sorts below every other character.
-    order = F.concat_ws("\u0000", *[F.coalesce(F.col(c), F.lit("")) for c in TABLE], F.lpad(F.col("position").cast("string"), 9, "0"))
+    names = [F.coalesce(F.col(c), F.lit("")) for c in TABLE]
+    order = F.concat_ws("\u0000", *names, F.lpad(F.col("position").cast("string"), 9, "0"))
     numbered = number_rows(rows.withColumn("__order", order), "__order", "query_id")
     return numbered.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PLAN])
 

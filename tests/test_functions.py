@@ -2,6 +2,8 @@ import hashlib
 from datetime import datetime
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,6 +99,37 @@ def test_check_type_lists(spark):
     assert [r[0] for r in df.select(values.split_list(F.col("v"))).collect()] == [["a", "b"], []]
 
 
+def test_flags():
+    assert [values.parse_flag(v) for v in (" TRUE ", "1", "yes", True)] == [True] * 4
+    assert [values.parse_flag(v) for v in ("false", "0", "", None, False)] == [False] * 5
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="abzABZ09_ é-", max_size=12), min_size=30, max_size=60))
+def test_snake_case_agrees_with_the_name_form(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", names.snake_case(F.col("t")).alias("s")).collect()
+    assert [r.s for r in rows] == [names.snake_name(r.t) for r in rows]
+
+
+def lenient_int(text):
+    for convert in (int, lambda t: int(float(t))):
+        try:
+            return convert(text)
+        except (ValueError, OverflowError):
+            pass
+    return 0
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789.eE+-_ dfxn", max_size=7), min_size=30, max_size=60))
+def test_safe_int_agrees_with_a_plain_conversion(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in df.select("t", values.safe_int(F.col("t")).alias("n")).collect():
+        expected = lenient_int(row.t)
+        assert row.n == (expected if abs(expected) < 2**63 else 0), row.t
+
+
 def test_row_hash_forms(spark):
     df = spark.createDataFrame([("a", None, "é"), ("a", "é", None)], "x string, y string, z string")
     sha = lambda b: hashlib.sha256(b).hexdigest().upper()

@@ -74,6 +74,11 @@ def test_narrow_plan_and_key_for_all_tables(address):
         build.generate_plan(address, ("nonsense",))
 
 
+def test_columns_per_table(address):
+    rows = {tuple(r)[:-1]: r.columns for r in build.columns_per_table(address, ("table_schema", "table_name")).collect()}
+    assert rows == {("locale", "Address"): ["AddressId", "City"], ("a", "Empty"): [], ("locale", "B"): ["Id"]}
+
+
 def test_merged_plans(address):
     first, second = build.generate_plan(address), build.generate_plan(address, (build.COUNT_CHECK,))
     assert build.merge_plans(first, second).count() == 10
