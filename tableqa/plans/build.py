@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,15 +31,25 @@ ALL_CHECKS = (COUNT_CHECK, NULLS_CHECK, HASH_CHECK, VALUE_DIST_CHECK, DUPLICATES
 SCALAR, PER_ROW, SUMMARY = "single_row_scalar", "row_level", "multi_row_summary"
 
 
+class Check(NamedTuple):
+    """A check as Spark columns."""
+
+    check_type: Column
+    query_text: Column
+    expected_output_format: Column
+
+
 @dataclass(frozen=True)
 class Target:
-    """The table a check text is built for: Spark columns, not values."""
+    """What a check is built for: Spark columns, not values. `column` is the one column of a per-column check."""
 
     catalog: Column
     schema: Column
     table: Column
     columns: Column
+    first: Column
     key: Column
+    column: Column
     dialect: str = "spark"
     parts: int = 3
 
@@ -50,82 +60,57 @@ class Target:
     def quote(self, name: Column) -> Column:
         return quote_ident(name, self.dialect)
 
-    def has_columns(self) -> Column:
-        return F.size(self.columns) > 0
-
-
-def _check(check_type: Column, text: Column, shape: str) -> Column:
-    return F.struct(
-        check_type.alias("check_type"), text.alias("query_text"), F.lit(shape).alias("expected_output_format")
-    )
-
 
-def _none() -> Column:
-    return F.array().cast("array<struct<check_type:string,query_text:string,expected_output_format:string>>")
+def _text(*parts: str | Column) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
 def _null_sum(t: Target, column: Column) -> Column:
-    name, alias = t.quote(column), t.quote(F.concat(F.lit(NULLS_ALIAS), column))
+    name, alias = t.quote(column), t.quote(_text(NULLS_ALIAS, column))
     if t.dialect == "tsql":
-        return F.concat(F.lit("SUM(CASE WHEN "), name, F.lit(" IS NULL THEN 1 ELSE 0 END) AS "), alias)
-    return F.concat(F.lit("count_if("), name, F.lit(" IS NULL) AS "), alias)
+        return _text("SUM(CASE WHEN ", name, " IS NULL THEN 1 ELSE 0 END) AS ", alias)
+    return _text("count_if(", name, " IS NULL) AS ", alias)
 
 
-def check_count(t: Target) -> Column:
-    return F.array(_check(F.lit(COUNT_CHECK), F.concat(F.lit("SELECT COUNT(*) AS total_rows FROM "), t.name), SCALAR))
+def check_count(t: Target) -> Check:
+    return Check(F.lit(COUNT_CHECK), _text("SELECT COUNT(*) AS total_rows FROM ", t.name), F.lit(SCALAR))
 
 
-def check_nulls(t: Target, wide: bool = True) -> Column:
-    """One check with a count per column, or one check per column."""
+def check_nulls(t: Target, wide: bool = True) -> Check:
+    """A count for every column in one query, or for one column."""
     if not wide:
-        return F.transform(
-            t.columns,
-            lambda c: _check(
-                F.concat(F.lit(NULLS_CHECK + "|"), c),
-                F.concat(F.lit("SELECT "), _null_sum(t, c), F.lit(" FROM "), t.name),
-                SCALAR,
-            ),
-        )
+        text = _text("SELECT ", _null_sum(t, t.column), " FROM ", t.name)
+        return Check(_text(NULLS_CHECK + "|", t.column), text, F.lit(SCALAR))
     counts = F.concat_ws(", ", F.transform(t.columns, lambda c: _null_sum(t, c)))
-    text = F.concat(F.lit("SELECT "), counts, F.lit(" FROM "), t.name)
-    return F.when(t.has_columns(), F.array(_check(F.lit(NULLS_CHECK), text, SCALAR))).otherwise(_none())
+    return Check(F.lit(NULLS_CHECK), _text("SELECT ", counts, " FROM ", t.name), F.lit(SCALAR))
 
 
-def check_hash(t: Target) -> Column:
+def check_hash(t: Target) -> Check:
     """All columns of a row and the hash of their texts."""
-    text_type = "NVARCHAR(MAX)" if t.dialect == "tsql" else "STRING"
-    casts = F.concat_ws(
-        ", ", F.transform(t.columns, lambda c: F.concat(F.lit("CAST("), t.quote(c), F.lit(f" AS {text_type})")))
-    )
     if t.dialect == "tsql":
-        head, tail = "CONVERT(VARCHAR(64), HASHBYTES('SHA2_256', CONCAT_WS('|', ", ")), 2)"
+        text_type, head, tail = "NVARCHAR(MAX)", "CONVERT(VARCHAR(64), HASHBYTES('SHA2_256', CONCAT_WS('|', ", ")), 2)"
     else:
-        head, tail = "upper(sha2(concat_ws('|', ", "), 256))"
-    text = F.concat(F.lit("SELECT *, " + head), casts, F.lit(tail + f" AS {HASH_CHECK} FROM "), t.name)
-    return F.when(t.has_columns(), F.array(_check(F.lit(HASH_CHECK), text, PER_ROW))).otherwise(_none())
+        text_type, head, tail = "STRING", "upper(sha2(concat_ws('|', ", "), 256))"
+    casts = F.concat_ws(", ", F.transform(t.columns, lambda c: _text("CAST(", t.quote(c), f" AS {text_type})")))
+    text = _text("SELECT *, " + head, casts, tail + f" AS {HASH_CHECK} FROM ", t.name)
+    return Check(F.lit(HASH_CHECK), text, F.lit(PER_ROW))
 
 
-def check_duplicates(t: Target) -> Column:
+def check_duplicates(t: Target) -> Check:
     """Keys of more than one row."""
     key = t.quote(t.key)
-    text = F.concat(
-        F.lit("SELECT "), key, F.lit(" AS key_value, COUNT(*) AS cnt FROM "), t.name,
-        F.lit(" GROUP BY "), key, F.lit(" HAVING COUNT(*) > 1"),
-    )
-    return F.when(t.key.isNotNull(), F.array(_check(F.lit(DUPLICATES_CHECK), text, SUMMARY))).otherwise(_none())
+    text = _text("SELECT ", key, " AS key_value, COUNT(*) AS cnt FROM ", t.name, " GROUP BY ", key, " HAVING COUNT(*) > 1")
+    return Check(F.lit(DUPLICATES_CHECK), text, F.lit(SUMMARY))
 
 
-def check_value_dist(t: Target) -> Column:
+def check_value_dist(t: Target) -> Check:
     """The most frequent values of the first column."""
-    column = F.get(t.columns, F.lit(0))
-    name = t.quote(column)
+    name = t.quote(t.first)
     top = f"OFFSET 0 ROWS FETCH NEXT {TOP_VALUES} ROWS ONLY" if t.dialect == "tsql" else f"LIMIT {TOP_VALUES}"
-    text = F.concat(
-        F.lit("SELECT "), name, F.lit(", COUNT(*) AS freq FROM "), t.name,
-        F.lit(" GROUP BY "), name, F.lit(" ORDER BY freq DESC, "), name, F.lit(" " + top),
+    text = _text(
+        "SELECT ", name, ", COUNT(*) AS freq FROM ", t.name, " GROUP BY ", name, " ORDER BY freq DESC, ", name, " " + top
     )
-    check = _check(F.concat(F.lit(VALUE_DIST_PREFIX), column), text, SUMMARY)
-    return F.when(t.has_columns(), F.array(check)).otherwise(_none())
+    return Check(_text(VALUE_DIST_PREFIX, t.first), text, F.lit(SUMMARY))
 
 
 def columns_per_table(metadata: DataFrame, by: tuple[str, ...] = TABLE) -> DataFrame:
@@ -158,33 +143,51 @@ def generate_plan(
     unknown = set(checks) - set(ALL_CHECKS)
     if unknown or nulls not in ("wide", "narrow"):
         raise ValueError(f"unknown checks {sorted(unknown)} or null form {nulls!r}")
-    first = F.get(F.col("columns"), F.lit(0))
-    if isinstance(pk, dict):
-        pairs = F.create_map(*[F.lit(v) for item in pk.items() for v in item]) if pk else F.lit(None)
-        key = F.coalesce(F.try_element_at(pairs, F.col("table_name")), first) if pk else first
-    else:
-        key = F.when(F.size("columns") > 0, F.lit(pk)) if pk else first
-    target = Target(
-        F.col("table_catalog"), F.col("table_schema"), F.col("table_name"), F.col("columns"), key, dialect, parts
-    )
-    builders: dict[str, Callable[[Target], Column]] = {
-        COUNT_CHECK: check_count,
-        NULLS_CHECK: lambda t: check_nulls(t, wide=nulls == "wide"),
-        HASH_CHECK: check_hash,
-        VALUE_DIST_CHECK: check_value_dist,
-        DUPLICATES_CHECK: check_duplicates,
-    }
-    tables = columns_per_table(metadata)
+    tables = columns_per_table(metadata).withColumn("first", F.get("columns", F.lit(0)))
     if skip_empty:
         tables = tables.filter(F.size("columns") > 0)
+
+    # One light row per check, numbered before any text is built; the column list goes along where a text needs it.
+    def rows_of(check: str) -> Column:
+        one = F.array(F.struct(F.lit(check).alias("kind"), F.lit(None).cast("string").alias("column")))
+        if check == COUNT_CHECK:
+            return one
+        if check == NULLS_CHECK and nulls == "narrow":
+            return F.transform("columns", lambda c: F.struct(F.lit(check).alias("kind"), c.alias("column")))
+        return F.when(F.size("columns") > 0, one).otherwise(F.slice(one, 1, 0))
+
     rows = tables.select(
-        *TABLE, F.posexplode(F.concat(*[builders[c](target) for c in checks])).alias("position", "check")
-    ).select(*TABLE, "position", "check.*")
+        *TABLE, "columns", "first", F.posexplode(F.concat(*[rows_of(c) for c in checks])).alias("position", "row")
+    )
+    needs_columns = F.col("row.kind").isin(NULLS_CHECK, HASH_CHECK) & F.col("row.column").isNull()
+    rows = rows.select(
+        *TABLE, "first", "position", "row.*", F.when(needs_columns, F.col("columns")).alias("columns")
+    )
     # A text key that sorts like (catalog, schema, table, position): NUL sorts below every other character.
     names = [F.coalesce(F.col(c), F.lit("")) for c in TABLE]
     order = F.concat_ws("\u0000", *names, F.lpad(F.col("position").cast("string"), 9, "0"))
     numbered = number_rows(rows.withColumn("__order", order), "__order", "query_id")
-    return numbered.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PLAN])
+
+    key = F.col("first")
+    if isinstance(pk, str):
+        key = F.lit(pk)
+    elif pk:
+        by_table = F.create_map(*[F.lit(text) for item in pk.items() for text in item])
+        key = F.coalesce(F.try_element_at(by_table, F.col("table_name")), key)
+    target = Target(*[F.col(c) for c in (*TABLE, "columns", "first")], key, F.col("column"), dialect, parts)
+    built = {
+        COUNT_CHECK: check_count(target),
+        NULLS_CHECK: check_nulls(target, wide=nulls == "wide"),
+        HASH_CHECK: check_hash(target),
+        VALUE_DIST_CHECK: check_value_dist(target),
+        DUPLICATES_CHECK: check_duplicates(target),
+    }
+
+    def of_kind(field: str) -> Column:
+        return F.coalesce(*[F.when(F.col("kind") == c, getattr(built[c], field)) for c in checks])
+
+    plan = numbered.select("query_id", *TABLE, *[of_kind(f).alias(f) for f in Check._fields])
+    return plan.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PLAN])
 
 
 def merge_plans(*plans: DataFrame) -> DataFrame:
