@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 from tableqa.functions.names import col_of
 
 ROWS_PER_BUCKET = 1_000_000
-MIN_ROWS_PER_TASK = 100_000
+ONE_TASK_ROWS = 200_000  # a table of up to so many rows is numbered by one task
+MIN_BUCKET_ROWS = 10_000
 SAMPLES_PER_BUCKET = 20
 MAX_BUCKETS = 100_000  # bounds travel as one literal; more rows than this make larger buckets
 MAX_HEAVY_ROWS = 2_000
@@ -74,10 +75,11 @@ def plan_layout(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET,
     order_key, key_type = _order_key(df, key)
     layout = Layout(key_type)
     total = df.count()
-    spread = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // MIN_ROWS_PER_TASK)
-    buckets = min(max(-(-total // rows_per_bucket), spread), MAX_BUCKETS)
-    if buckets <= 1:
+    if total <= min(rows_per_bucket, ONE_TASK_ROWS):
         return layout
+    # Some more buckets than shuffle partitions, so that hashing the bucket numbers spreads them evenly.
+    spread = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // MIN_BUCKET_ROWS)
+    buckets = min(max(-(-total // rows_per_bucket), spread, 2), MAX_BUCKETS)
 
     fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / total)
     sample = df.select(order_key.alias("k")).sample(fraction, seed=seed)
