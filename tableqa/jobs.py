@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tableqa.functions.values import normalize_values
 from tableqa.operators.compare import compare_metrics, compare_tables, equality_result
-from tableqa.operators.extract import BATCH_SIZE, extract
+from tableqa.operators.extract import BATCH_SIZE, extract, table_high_water_mark
 from tableqa.operators.metrics import expected_metrics, needed_checks, observed_metrics
 from tableqa.plans.build import generate_plan
 from tableqa.plans.run import qa_results, run_plan
@@ -51,12 +51,18 @@ def job_extract(
     reload: bool = False,
     changes: DataFrame | None = None,
     min_version: int = 0,
+    target_table: str | None = None,
     batch_size: int = BATCH_SIZE,
     chunk_size: int = CHUNK_SIZE,
     land_first: bool = False,
 ) -> DataFrame:
-    """Numbered extract to Parquet, returned as read back. `land_first` stages a live source (JDBC), so that it is
-    read once and all passes see the same rows."""
+    """Numbered extract to Parquet, returned as read back.
+
+    With `target_table`, tracked changes start after the highest version that table holds. `land_first` stages a live
+    source (JDBC), so that it is read once and all passes see the same rows.
+    """
+    if target_table is not None:
+        min_version = table_high_water_mark(source.sparkSession, target_table)
     if land_first:
         source = stage(source, "source")
         changes = None if changes is None else stage(changes, "changes")

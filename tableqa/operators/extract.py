@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,11 @@ def high_water_mark(df: DataFrame | None, column: str = VERSION) -> int:
     return high_water_mark_row(df, column).first()[0]
 
 
+def table_high_water_mark(spark: SparkSession, table: str, column: str = VERSION) -> int:
+    """The same for a catalog table that may not exist yet."""
+    return high_water_mark(spark.table(table), column) if spark.catalog.tableExists(table) else 0
+
+
 def high_water_mark_row(df: DataFrame, column: str = VERSION) -> DataFrame:
     version = col_of(column).try_cast("bigint")
     return df.agg(F.coalesce(F.max(version), F.lit(0).cast("bigint")).alias("max_version"))

@@ -5,8 +5,9 @@ equal size; rows are numbered inside their bucket and shifted by the number of r
 bucket of a row depends on nothing but its content, so the pass that counts and the pass that numbers agree, also
 when a task is run again.
 
-Keys are compared with the bucket bounds by a binary search written as a chain of projections, which Spark compiles
-into the scan stage. (No filter may use the bucket: pushing it down would copy the chain into itself.) Bounds come from a sample of the key column: they steer the balance, never the result.
+Keys are compared with the bucket bounds by a binary search in the scan stage. (No filter may use the bucket: pushing
+it down would copy the search into itself.) Bounds come from a sample of the key column: they steer the balance, never
+the result.
 
 Heavy content is split in two steps, so that no task gets it whole:
 
@@ -31,8 +32,9 @@ ROWS_PER_BUCKET = 1_000_000
 ONE_TASK_ROWS = 200_000  # a table of up to so many rows is numbered by one task
 MIN_BUCKET_ROWS = 10_000
 SAMPLES_PER_BUCKET = 20
-MAX_BUCKETS = 100_000  # bounds travel as one literal; more rows than this make larger buckets
+MAX_BUCKETS = 50_000  # bounds travel as one literal; more rows than this make larger buckets
 MAX_HEAVY_ROWS = 2_000
+COMPILED_STEPS = 9
 
 _BUCKET, _HASH, _POS, _COUNT, _CHUNK, _BASE = (
     "__bucket", "__row_hash", "__bound", "__copies", "__chunk", "__rows_before",
@@ -134,14 +136,22 @@ def _literal_array(values: list, element: str) -> Column:
 
 
 def _count_below(df: DataFrame, value: Column, bounds: Column, size: int, out: str) -> DataFrame:
-    """Add the number of sorted `bounds` that are smaller than `value`, by binary search."""
-    step = 1 << (size.bit_length() - 1) if size else 0
-    df = df.withColumn(out, F.lit(0))
-    while step:
-        probe = F.get(bounds, F.col(out) + F.lit(step - 1))
-        df = df.withColumn(out, F.col(out) + F.when(probe < value, F.lit(step)).otherwise(F.lit(0)))
-        step //= 2
-    return df
+    """Add the number of sorted `bounds` that are smaller than `value`, by binary search.
+
+    A few steps are a chain of projections, which Spark compiles into the scan stage. A longer chain grows beyond
+    what the JVM compiles, so with more bounds the steps are folded.
+    """
+    steps = [1 << i for i in reversed(range(size.bit_length()))]
+
+    def probe(found: Column, step: Column) -> Column:
+        return found + F.when(F.get(bounds, found + step - 1) < F.col("__value"), step).otherwise(F.lit(0))
+
+    located = df.withColumn("__value", value).withColumn(out, F.lit(0))
+    if len(steps) > COMPILED_STEPS:
+        return located.withColumn(out, F.aggregate(F.lit(steps), F.lit(0), probe)).drop("__value")
+    for step in steps:
+        located = located.withColumn(out, probe(F.col(out), F.lit(step)))
+    return located.drop("__value")
 
 
 def _bounds(layout: Layout) -> Column:

@@ -204,6 +204,23 @@ def test_extract_of_a_staged_source(spark, shop, tmp_path):
     assert landed.count() == 41
 
 
+def test_changes_after_what_the_target_holds(spark, tmp_path):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "Id int, name string")
+    feed = spark.createDataFrame(
+        [(1, 3, "U"), (2, 12, "U"), (5, 14, "D")], "Id int, sys_change_version bigint, sys_change_operation string"
+    )
+
+    def changes(name):
+        return jobs.job_extract(
+            base, "Id", f"{tmp_path}/{name}", RUN_TS, mode="change_tracking", changes=feed, target_table="db_s_target"
+        )
+
+    first = changes("first")
+    assert first.count() == 3
+    first.filter("sys_change_version < 10").write.saveAsTable("db_s_target")
+    assert sorted(r.id for r in changes("second").collect()) == ["2", "5"]
+
+
 def test_extract_and_qa(spark, shop, tmp_path):
     df, plan, table = shop
     results = jobs.job_extract_and_qa(

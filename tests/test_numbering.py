@@ -53,6 +53,16 @@ def test_numbers_equal_row_number_and_no_bucket_is_large(spark, case):
     assert largest <= 3 * PER_BUCKET
 
 
+def test_many_buckets(spark):
+    df = CASES["one_hot_key"](spark.range(N))
+    layout = numbering.plan_layout(df, "k", 50)
+    assert len(layout.bounds).bit_length() > numbering.COMPILED_STEPS and max(layout.splits) > 1
+    got = numbering.number_rows(df, "k", layout=layout).groupBy("k").agg(
+        F.min("rn").alias("a"), F.max("rn").alias("b"), F.countDistinct("rn").alias("c")
+    )
+    assert got.exceptAll(ranks(df)).count() == 0
+
+
 def test_copies_keep_their_exact_values(spark):
     df = CASES["null_copies"](spark.range(N))
     layout = numbering.plan_layout(df, "k", PER_BUCKET)
