@@ -5,8 +5,9 @@ from conftest import SF_DIR
 
 import __spark_entry__ as contract
 from oracle_check import connect, difference
+from tableqa import registry
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
