@@ -53,3 +53,23 @@ def fold(key: str | Column, folds: int) -> Column:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks `df` for broadcast if it was counted to have few rows, else leaves the join to the optimizer."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+# Everything of ASCII but letters and digits.
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def words(text: str | Column) -> Column:
+    """Lower-cased words: runs of ASCII letters, digits and all other non-ASCII characters; null texts have none.
+
+    lower() also changes non-ASCII letters, which no ASCII word can contain. The Kelvin sign is the one character that
+    it would turn into an ASCII letter, so another letter takes its place first.
+    """
+    text = F.col(f"`{text}`") if isinstance(text, str) else text
+    plain = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("ĸ")))
+    return F.array_remove(F.split(plain, SEPARATORS), "")
+
+
+def word_grams(words: Column, n: int) -> Column:
+    """Hashes of all runs of n words, by their first word; the last n - 1 hashes are of shorter runs, to be ignored."""
+    return F.transform(words, lambda w, i: F.xxhash64(w, *[F.get(words, i + F.lit(k)) for k in range(1, n)]))

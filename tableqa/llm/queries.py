@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableqa.llm import chat, common, langid, pieces, shards, simhash, topk
+from tableqa.llm import chat, common, decontaminate, langid, licenses, pieces, pii, shards, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,11 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(chat.read_back(nodes, conversations)).withColumnRenamed("conv", "conv_id")
 
 
+@query("op3_benchmark_decontamination")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(common.load(spark, sf, "documents"), common.load(spark, sf, "benchmark")).drop("text_hash")
+
+
 @query("op4_sentencepiece")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     docs = common.only(common.load(spark, sf, "documents"), "doc_id", "text")
@@ -71,14 +76,37 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(vectors.where("vec_id % 20 = 0"), vectors, k=20)
 
 
+@query("op7_pii")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find(common.load(spark, sf, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
 @query("op8_rendezvous_sharding")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return shards.shard_documents(common.load(spark, sf, "documents"), shards=24)
 
 
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(common.load(spark, sf, "documents"), licenses.templates(spark))
+
+
 @query("op10_language_id")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     docs = common.only(common.load(spark, sf, "documents"), "doc_id", "text", "lang")
     held_out = common.fold("doc_id", 5) == 0
     model = langid.train(docs.where(~held_out))
     return langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)

@@ -18,12 +18,13 @@ are separate members; null ids stay, and a class whose ids are all null has a nu
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableqa.llm import common
@@ -159,3 +160,135 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return marked.join(classes, F.col("fp") == F.col("of")).select(
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Near-duplicates by similarity: wider fingerprints, several segments
+# ---------------------------------------------------------------------------------------------------------------
+
+
+def bit_difference(similarity: float) -> float:
+    """Expected share of differing bits of two texts of that Jaccard similarity: the angle of their shingle vectors."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def segment_plan(distinct: int, similarity: float, recall: float = 0.96) -> tuple[int, int]:
+    """Width of a segment and number of segments for so many fingerprints.
+
+    A segment's value has about 1 in 64 as many unrelated fingerprints as there are points in its ball. Two texts of
+    just `similarity` come within two bits of each other in one of the segments with probability `recall`, more similar
+    ones more often.
+    """
+    width = min(31, max(12, (max(2, distinct) - 1).bit_length() + 6))
+    p = bit_difference(similarity)
+    close = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(3))
+    return width, max(1, math.ceil(math.log(1 - recall) / math.log(1 - close)))
+
+
+def wide_fingerprint(text: str | None, words: int, longs: int) -> list[int]:
+    """As `fingerprint`, with 64 bits for each of `longs` remixed hashes of a shingle."""
+    found = (text or "").encode("utf-8", "replace").lower().split()
+    if not found:
+        return [0] * longs
+    n, digest = max(1, len(found) - words + 1), xxhash.xxh64_intdigest
+    ones = np.zeros((longs, 64), dtype=np.int64)
+    for at in range(0, n, PIECE):
+        hashes = np.array([digest(b" ".join(found[i : i + words]), SEED) for i in range(at, min(n, at + PIECE))], dtype=np.uint64)
+        for j in range(longs):
+            mixed = (hashes ^ (hashes >> np.uint64(29 + j % 5))) * np.uint64((0x9E3779B97F4A7C15 + 2 * j * 0x632BE59BD9B4E019) % 2**64 | 1)
+            bits = np.unpackbits((mixed ^ (mixed >> np.uint64(32))).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+            for part in range(0, len(bits), 255):
+                ones[j] += bits[part : part + 255].sum(axis=0, dtype=np.uint8)
+    return np.packbits(ones * 2 > n, axis=1).view(">i8").ravel().tolist()
+
+
+def _cut_bits(longs: list[Column], first: int, width: int) -> Column:
+    """Bits first to first + width of a fingerprint of several longs, as an int."""
+    at, shift = divmod(first, 64)
+    low = F.shiftrightunsigned(longs[at], shift)
+    if shift + width > 64:
+        low = low.bitwiseOR(F.shiftleft(longs[at + 1], 64 - shift))
+    return low.bitwiseAND(F.lit((1 << width) - 1)).cast("int")
+
+
+def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8,
+                    recall: float = 0.96) -> DataFrame:
+    """key, mark (hash of the text), class: classes of texts whose word shingles are about `similarity` or more alike.
+
+    Fingerprints have as many bits as `segment_plan` asks for. Every distinct one is entered under all values within a
+    bit of each of its segments, so two of them meet where a segment differs in two bits at most. Where up to four meet,
+    all pairs are taken. Where more meet, each is paired with the smallest and with its two neighbours in order; when
+    these have been joined to classes, those that are still apart from the smallest one's class are compared with all
+    that they met, so no pair is left out and a dense group costs no pairs within a class. A pair counts if its
+    complete distance is at most the one expected at `similarity` plus one standard deviation.
+    """
+    body = F.col(f"`{text}`")
+    exact = common.cut(docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("mark")).groupBy("key", "mark").agg(F.count(F.lit(1)).alias("n")))
+    width, segments = segment_plan(exact.select("mark").distinct().count(), similarity, recall)
+    count = -(-width * segments // 64)
+    bits, p = 64 * count, bit_difference(similarity)
+    radius = int(p * bits + (p * (1 - p) * bits) ** 0.5)
+
+    @F.pandas_udf("array<long>")
+    def wide(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield pd.Series([wide_fingerprint(t, words, count) for t in part])
+
+    marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("mark"), wide(body).alias("fp")))
+    texts = marked.groupBy("fp").agg(F.min("mark").alias("id"))  # one id for each fingerprint
+    texts = common.cut(texts)
+    longs = [F.get("fp", F.lit(i)) for i in range(count)]
+    flips = F.array(F.lit(0), *[F.lit(1 << i) for i in range(width)])
+    entries = texts.select("id", F.posexplode(F.array(*[_cut_bits(longs, width * i, width) for i in range(segments)])).alias("s", "value")).select(
+        "id", F.col("s").cast("byte").alias("s"), F.explode(F.transform(flips, lambda f: F.col("value").bitwiseXOR(f))).alias("value"),
+    )
+    meeting, there = Window.partitionBy("s", "value"), Window.partitionBy("s", "value").orderBy("id")
+    met = entries.select(
+        "s", "value", "id", F.min("id").over(meeting).alias("hub"), F.count(F.lit(1)).over(meeting).alias("n"),
+        F.lag("id", 1).over(there).alias("one"), F.lag("id", 2).over(there).alias("two"),
+    ).where("n > 1")
+    crowded = F.col("n") > 4
+    met = common.cut(met.select(
+        "id", F.array_distinct(F.filter(F.array("hub", "one", "two"), lambda x: x.isNotNull() & (x != F.col("id")))).alias("others"),
+        F.when(crowded, F.struct("s", "value", "hub")).alias("crowd"),
+    ).where("size(others) > 0 OR crowd IS NOT NULL").dropDuplicates(["id", "others", "crowd"]))
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) within the radius; fingerprints are joined by id."""
+        left, right = texts.select(F.col("id").alias("a"), F.col("fp").alias("fa")), texts.select(F.col("id").alias("b"), F.col("fp").alias("fb"))
+        apart = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        return pairs.distinct().join(left, "a").join(right, "b").where(apart <= radius).select("a", "b")
+
+    links = common.cut(close(met.select(F.col("id").alias("a"), F.explode("others").alias("b"))))
+    roots = common.cut(components(links))
+
+    def root_of(rows: DataFrame, column: str) -> DataFrame:
+        named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        return rows.join(named, F.col(column) == F.col("_node"), "left").withColumn(f"{column}_root", F.coalesce("_root", column)).drop("_node", "_root")
+
+    crowds = common.cut(root_of(root_of(met.where("crowd IS NOT NULL").select("id", "crowd.*"), "id"), "hub"))
+    apart = crowds.where("id_root <> hub_root").select("s", "value", F.col("id").alias("a"), F.col("id_root").alias("a_root"))
+    fps = texts.select(F.col("id").alias("of"), "fp")
+    distance = F.aggregate(F.zip_with("fp", "other_fp", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    rest = (
+        apart.join(fps, F.col("a") == F.col("of")).drop("of")
+        .join(crowds.join(fps, F.col("id") == F.col("of")).select("s", "value", F.col("id").alias("b"), F.col("id_root").alias("b_root"), F.col("fp").alias("other_fp")), ["s", "value"])
+        .where((F.col("a_root") != F.col("b_root")) & (distance <= radius)).select("a", "b").distinct()
+    )
+    final = components(links.union(rest))
+    classes = texts.join(final, texts.id == final.node, "left").select(F.col("fp").alias("of"), F.coalesce("root", "id").alias("class"))
+    return marked.join(classes, F.col("fp") == F.col("of")).select(F.col("key").alias(key), "mark", "class")
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """`docs` with one row for each class: that of the smallest key (null keys last; for equal keys the smallest mark)."""
+    classes = similar_classes(docs, key, text, **options)
+    least = classes.groupBy("class").agg(F.min(F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), "mark")).alias("kept"))
+    kept = least.select(F.col("kept.key").alias("_key"), F.col("kept.mark").alias("_mark"))
+    mark = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    first = Window.partitionBy("_key", "_mark").orderBy(*[c for c in columns[:1]])
+    return (
+        docs.join(kept, F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (mark == F.col("_mark")))
+        .withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*columns)
+    )
