@@ -186,9 +186,10 @@ def digests(formatted: DataFrame) -> DataFrame:
                     conv, len(turns), hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest(),
                     len(learnt), hashlib.sha256(learnt.encode()).hexdigest(), len(text),
                 ))
-            frame = pd.DataFrame(out, columns=["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-            yield frame.astype({"conv": "Int64"})
+            yield pd.DataFrame(out, columns=["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return formatted.mapInPandas(
-        read, "conv long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    )
+    # ids travel as text, since pandas would turn whole numbers with nulls into floats
+    kind = dict(formatted.dtypes)["conv"]
+    return formatted.withColumn("conv", F.col("conv").cast("string")).mapInPandas(
+        read, "conv string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    ).withColumn("conv", F.col("conv").cast(kind))

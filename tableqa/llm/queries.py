@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableqa.llm import chat, common, decontaminate, langid, licenses, pieces, pii, shards, simhash, topk
+from tableqa.llm import chat, common, decontaminate, langid, licenses, lm, pieces, pii, shards, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +76,14 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(vectors.where("vec_id % 20 = 0"), vectors, k=20)
 
 
+@query("op6_lm_scoring")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    docs = common.only(common.load(spark, sf, "documents"), "doc_id", "text")
+    remainder = common.fold("doc_id", 5)
+    scored = lm.score_texts(docs, kept=remainder > 1, held=remainder == 0)
+    return scored.withColumn("held_out", common.fold("doc_id", 5) == 1)
+
+
 @query("op7_pii")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     found = pii.find(common.load(spark, sf, "documents"))
