@@ -38,14 +38,29 @@ def with_row_hash(df: DataFrame, columns: list[str] | None = None, name: str = "
     return df.withColumn(name, row_hash(df, columns, **options))
 
 
+def _ordered_maps(value: Column, kind: T.DataType) -> Column:
+    """The value with every map in it, at any depth, as its entries in order of their keys."""
+    if isinstance(kind, T.MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(
+            _ordered_maps(e["key"], kind.keyType).alias("key"), _ordered_maps(e["value"], kind.valueType).alias("value")
+        ))
+        return F.array_sort(entries, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+    if "map<" not in kind.simpleString():
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _ordered_maps(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [_ordered_maps(value[f.name], f.dataType).alias(f.name) for f in kind]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value
+
+
 def row_digest(schema: T.StructType) -> list[Column]:
     """Two 64-bit hashes that together tell rows apart: each covers every value and which values are NULL, from
     different seeds. 0.0 and -0.0 are alike, and NaN equals NaN."""
 
     def parts(field: T.StructField) -> list[Column]:
-        value = col_of(field.name)
-        if isinstance(field.dataType, T.MapType):
-            value = F.sort_array(F.map_entries(value))
+        value = _ordered_maps(col_of(field.name), field.dataType)
         if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             value = F.to_json(value, {"ignoreNullFields": "false"})
         return [value.isNull(), value]

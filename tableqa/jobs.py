@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tableqa.functions.values import normalize_values
-from tableqa.operators.compare import compare_metrics, compare_tables, equality_result
+from tableqa.operators.compare import compare_content, compare_metrics, compare_tables, equality_result
 from tableqa.operators.extract import BATCH_SIZE, extract, table_high_water_mark
 from tableqa.operators.metrics import expected_metrics, needed_checks, observed_metrics
 from tableqa.plans.build import generate_plan
@@ -19,13 +19,14 @@ from tableqa.plans.select import CHECK_LIMIT, read_plan
 from tableqa.sinks.writers import (
     CHUNK_SIZE,
     append_results,
+    remove_folder,
     run_prefix,
     save_plan,
     write_extract,
     write_jsonl,
     write_single,
 )
-from tableqa.sources.tables import stage
+from tableqa.sources.tables import is_files, stage, staging_path
 
 
 @dataclass(frozen=True)
@@ -54,23 +55,33 @@ def job_extract(
     target_table: str | None = None,
     batch_size: int = BATCH_SIZE,
     chunk_size: int = CHUNK_SIZE,
-    land_first: bool = False,
+    land_first: bool | None = None,
 ) -> DataFrame:
     """Numbered extract to Parquet, returned as read back.
 
-    With `target_table`, tracked changes start after the highest version that table holds. `land_first` stages a live
-    source (JDBC), so that it is read once and all passes see the same rows.
+    With `target_table`, tracked changes start after the highest version that table holds. `land_first` stages the
+    source, so that it is read once and all passes see the same rows; by default this is done for all that is not read
+    from files alone (JDBC, queries). What was staged is removed at the end.
     """
     if target_table is not None:
         min_version = table_high_water_mark(source.sparkSession, target_table)
-    if land_first:
-        source = stage(source, "source")
-        changes = None if changes is None else stage(changes, "changes")
-    rows = extract(
-        source, primary_key, run_ts, mode, reload, changes, min_version, batch_size=batch_size
-    )
-    spark = source.sparkSession
-    return spark.read.schema(rows.schema).parquet(write_extract(rows, output, chunk_size))
+    spark, staged = source.sparkSession, []
+
+    def landed(df: DataFrame | None) -> DataFrame | None:
+        if df is None or land_first is False or (land_first is None and is_files(df)):
+            return df
+        staged.append(staging_path(spark, "source"))
+        return stage(df, path=staged[-1])
+
+    try:
+        rows = extract(
+            landed(source), primary_key, run_ts, mode, reload, landed(changes), min_version, batch_size=batch_size
+        )
+        written = write_extract(rows, output, chunk_size)
+    finally:
+        for path in staged:
+            remove_folder(spark, path)
+    return spark.read.schema(rows.schema).parquet(written)
 
 
 def job_extract_reconcile(
@@ -89,13 +100,14 @@ def job_extract_reconcile(
 ) -> DataFrame:
     """Extract to Parquet, run the plan on the source, measure the Parquet, compare, write results and alerts.
 
-    Row and null counts of the Parquet come from its footers; `footers=False` reads every column instead.
+    Row and null counts of the Parquet come from its footers; `footers=False` reads every column instead. Data, results
+    and alerts of a run lie in folders of its time, so the job can be repeated; alerts describe the run's own files.
 
     The plan states what is expected, so its queries must describe the rows that are extracted: for tracked changes
     give a plan over the changes, not over the whole table.
     """
     spark = source.sparkSession
-    data = f"{output.rstrip('/')}/data"
+    data = run_prefix(output, "data", run_ts)
     checks = read_plan(plan, table.catalog, table.schema, table.table, check_types).collect()
     with ThreadPoolExecutor(1) as pool:  # the checks of the source do not wait for the extract
         running = pool.submit(run_plan, spark, checks, run_ts, runner)
@@ -109,6 +121,17 @@ def job_extract_reconcile(
     return spark.read.schema(alerts.schema).json(path)
 
 
+def job_extract_compare(
+    source: DataFrame, primary_key: str, output: str, run_ts: datetime, distributions: tuple[str, ...] = (), **options
+) -> DataFrame:
+    """Full extract to Parquet, then source and Parquet compared by row hashes and value distributions; writes alerts."""
+    spark = source.sparkSession
+    landed = job_extract(source, primary_key, run_prefix(output, "data", run_ts), run_ts, **options)
+    alerts = compare_content(source, landed, distributions)
+    path = write_jsonl(alerts, run_prefix(output, "qa_alerts", run_ts))
+    return spark.read.schema(alerts.schema).json(path)
+
+
 def job_extract_and_qa(
     source: DataFrame,
     table: TableId,

@@ -7,9 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableqa.functions.hashing import row_digest
-from tableqa.functions.names import col_of
-from tableqa.functions.values import safe_int
+from tableqa.functions.hashing import row_digest, row_hash
+from tableqa.functions.names import HASH_CHECK, VALUE_DIST_PREFIX, col_of, snake_name
+from tableqa.functions.values import safe_int, text_value
 from tableqa.schemas import EQUALITY
 
 
@@ -24,13 +24,16 @@ def compare_metrics(
     """One alert per key of either side.
 
     A missing or NULL value is MISSING_BOTH, MISSING_SQL (no expected) or MISSING_PARQUET (no observed). Numbers
-    agree within an absolute tolerance, other values exactly; `lenient` reads text as numbers on both sides.
+    agree within an absolute tolerance, other values exactly; `lenient` reads text as numbers on both sides. Where one
+    side has numbers and the other text, both are compared as text.
     """
     sides = {"expected": expected, "observed": observed}
     if lenient:
         value = F.when(F.col("value").isNotNull(), safe_int(F.col("value")))
         sides = {n: d.withColumn("value", value) for n, d in sides.items()}
     numeric = all(dict(d.dtypes)["value"] not in ("string", "boolean") for d in sides.values())
+    if len({dict(d.dtypes)["value"] for d in sides.values()}) > 1 and not numeric:
+        sides = {n: d.withColumn("value", F.col("value").cast("string")) for n, d in sides.items()}
     left, right = (d.select("key", F.col("value").alias(n)) for n, d in sides.items())
     exp, obs = F.col("expected"), F.col("observed")
     differs = F.abs(exp.cast("double") - obs.cast("double")) > tolerance if numeric and tolerance else exp != obs
@@ -83,6 +86,41 @@ def compare_tables(expected: DataFrame, observed: DataFrame, by: str = "digest")
     return totals.select(status.alias("status"), "row_count_sql", "row_count_bq")
 
 
+def compare_content(source: DataFrame, landed: DataFrame, distributions: tuple[str, ...] = ()) -> DataFrame:
+    """Whether an extract holds the rows of its source: one row for the row hashes, one for each listed column.
+
+    Row hashes cover the columns of the source as text, in their order, and are compared with their counts; the values
+    of a listed column are compared with their frequencies. `expected` and `observed` are the rows of either side,
+    `differing` sums up by how much the counts of hashes or values differ. Names in the extract are in snake_case.
+    """
+    names = [snake_name(c) for c in source.columns]
+
+    def counted(df: DataFrame, value: Column, side: str, kind: str) -> DataFrame:
+        n = {s: F.count(F.lit(1)) if s == side else F.lit(0).cast("bigint") for s in ("expected", "observed")}
+        return df.groupBy(value.alias("value")).agg(*[c.alias(s) for s, c in n.items()]).withColumn("key", F.lit(kind))
+
+    def text(df: DataFrame, column: str) -> Column:
+        return text_value(col_of(column), df.schema[column].dataType)
+
+    parts = [
+        counted(source, row_hash(source), "expected", HASH_CHECK), counted(landed, row_hash(landed, names), "observed", HASH_CHECK),
+    ]
+    for column in distributions:
+        kind = VALUE_DIST_PREFIX + snake_name(column)
+        parts += [
+            counted(source, text(source, column), "expected", kind), counted(landed, text(landed, snake_name(column)), "observed", kind),
+        ]
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part)
+    values = both.groupBy("key", "value").agg(F.sum("expected").alias("expected"), F.sum("observed").alias("observed"))
+    totals = values.groupBy("key").agg(
+        F.sum("expected").alias("expected"), F.sum("observed").alias("observed"),
+        F.sum(F.abs(F.col("expected") - F.col("observed"))).alias("differing"),
+    )
+    return totals.select("key", F.when(F.col("differing") == 0, "OK").otherwise("MISMATCH").alias("status"), "expected", "observed", "differing")
+
+
 def equality_result(outcome: DataFrame, check: dict, output_path: str, error: str | None = None) -> DataFrame:
     """Outcome of a comparison with the identity of its check, in the fixed schema."""
     columns = {n: F.lit(check.get(n)) for n in EQUALITY.names} | {

@@ -55,8 +55,16 @@ def batch_of(row_number: Column, batch_size: int) -> Column:
     return F.call_function("div", row_number - 1, F.lit(batch_size))
 
 
-def batch_page(df: DataFrame, start: int, end: int, row_number: str = ROW_NUMBER) -> DataFrame:
-    """Rows number `start` to `end` of an extract. The number is text there and compared as a number."""
+def batch_page(
+    df: DataFrame, start: int, end: int, row_number: str = ROW_NUMBER, batch_size: int | None = None
+) -> DataFrame:
+    """Rows number `start` to `end` of an extract. The number is text there and compared as a number.
+
+    `batch_size` is that of the extract: whole batches are then chosen by their number first, a filter that reaches the
+    files of a written extract.
+    """
+    if batch_size is not None:
+        df = df.filter(col_of(BATCH_ID).between((start - 1) // batch_size, (end - 1) // batch_size))
     return df.filter(col_of(row_number).cast("bigint").between(start, end))
 
 
@@ -107,11 +115,16 @@ def changed_rows(
     """Changes newer than a version with the current row of their key; a deleted key has no row.
 
     The key is taken from the change, so it is known for deleted rows too; `keep_null_pk` takes it from the row.
+
+    The base is first reduced to the keys of the feed by a semi join, whose small side Spark may broadcast by its own
+    size check, so a few changes do not shuffle the whole base.
     """
     feed = changes.filter(col_of(VERSION) > min_version).select(
         col_of(primary_key).alias("__feed_key"), VERSION, OPERATION
     )
-    joined = feed.join(base, F.col("__feed_key") == col_of(primary_key), "left")
+    keys = feed.select(F.col("__feed_key").alias("__wanted_key")).distinct()
+    reduced = base.join(keys, col_of(primary_key) == F.col("__wanted_key"), "left_semi")
+    joined = feed.join(reduced, F.col("__feed_key") == col_of(primary_key), "left")
     key = col_of(primary_key) if keep_null_pk else F.col("__feed_key")
     columns = [key.alias(primary_key) if c == primary_key else col_of(c) for c in base.columns]
     return joined.select(*columns, VERSION, OPERATION)

@@ -29,12 +29,9 @@ from pyspark.sql import types as T
 from tableqa.functions.names import col_of
 
 ROWS_PER_BUCKET = 1_000_000
-ONE_TASK_ROWS = 200_000  # a table of up to so many rows is numbered by one task
 MIN_BUCKET_ROWS = 10_000
 SAMPLES_PER_BUCKET = 20
-MAX_BUCKETS = 50_000  # bounds travel as one literal; more rows than this make larger buckets
-MAX_HEAVY_ROWS = 2_000
-COMPILED_STEPS = 9
+COMPILED_STEPS = 9  # steps of the bound search that Spark compiles; more are folded, with the same result
 
 _BUCKET, _HASH, _POS, _COUNT, _CHUNK, _BASE = (
     "__bucket", "__row_hash", "__bound", "__copies", "__chunk", "__rows_before",
@@ -73,15 +70,16 @@ def _row_hash(df: DataFrame) -> Column:
 
 
 def plan_layout(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET, seed: int = 7) -> Layout:
-    """Choose the buckets from a row count and a sample of the key column."""
+    """Choose the buckets from a row count and a sample of the key column. `rows_per_bucket` alone decides how many;
+    a table that fits one bucket has no bounds."""
     order_key, key_type = _order_key(df, key)
     layout = Layout(key_type)
     total = df.count()
-    if total <= min(rows_per_bucket, ONE_TASK_ROWS):
+    if total <= rows_per_bucket:
         return layout
     # Some more buckets than shuffle partitions, so that hashing the bucket numbers spreads them evenly.
     spread = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // MIN_BUCKET_ROWS)
-    buckets = min(max(-(-total // rows_per_bucket), spread, 2), MAX_BUCKETS)
+    buckets = max(-(-total // rows_per_bucket), spread, 2)
 
     fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / total)
     sample = df.select(order_key.alias("k")).sample(fraction, seed=seed)
@@ -113,9 +111,7 @@ def plan_layout(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET,
             rows.join(_key_rows(df, key_type, layout.hot_keys), F.col("k").eqNullSafe(F.col("hot_key")), "left_semi")
             .groupBy("k", "h")
             .count()
-            .filter(F.col("count") >= SAMPLES_PER_BUCKET)
-            .orderBy(F.desc("count"), "h")
-            .limit(MAX_HEAVY_ROWS)
+            .filter(F.col("count") >= SAMPLES_PER_BUCKET)  # so there are no more of them than buckets
             .select(F.col("k").cast("string").alias("k"), "h")
         )
         layout.heavy_rows = [(r.k, r.h) for r in frequent.collect()]
@@ -192,7 +188,8 @@ def _assign_buckets(df: DataFrame, key: str, layout: Layout) -> DataFrame:
     upper = F.shiftright(F.col(_HASH), 33) + F.lit(1 << 30)
     minor = F.shiftright(upper * F.col("__splits"), 31)
     single = F.col("__heavy") * 2 + F.coalesce(F.get(heavy, F.col("__heavy")) == F.col(_HASH), F.lit(False)).cast("int")
-    bucket = (major * (1 << 20) + F.when(is_hot, minor).otherwise(0)) * (1 << 12) + F.when(
+    # 21 bits for each part: half of that is the most buckets a layout may have here
+    bucket = (major * (1 << 21) + F.when(is_hot, minor).otherwise(0)) * (1 << 21) + F.when(
         is_hot, single
     ).otherwise(0)
     return located.withColumn(_BUCKET, bucket.cast("bigint")).drop("__key", _POS, "__splits", "__heavy")

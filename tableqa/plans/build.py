@@ -19,7 +19,7 @@ from tableqa.functions.names import (
     quote_ident,
 )
 from tableqa.operators.checks import TOP_VALUES
-from tableqa.operators.numbering import number_rows
+from tableqa.operators.numbering import ROWS_PER_BUCKET, number_rows
 from tableqa.schemas import PLAN
 
 TABLE = ("table_catalog", "table_schema", "table_name")
@@ -134,6 +134,7 @@ def generate_plan(
     dialect: str = "spark",
     parts: int = 3,
     skip_empty: bool = True,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """The plan of all tables of a column catalog, numbered by table and check.
 
@@ -166,7 +167,7 @@ def generate_plan(
     # A text key that sorts like (catalog, schema, table, position): NUL sorts below every other character.
     names = [F.coalesce(F.col(c), F.lit("")) for c in TABLE]
     order = F.concat_ws("\u0000", *names, F.lpad(F.col("position").cast("string"), 9, "0"))
-    numbered = number_rows(rows.withColumn("__order", order), "__order", "query_id")
+    numbered = number_rows(rows.withColumn("__order", order), "__order", "query_id", rows_per_bucket)
 
     key = F.col("first")
     if isinstance(pk, str):
@@ -191,8 +192,11 @@ def generate_plan(
 
 
 def merge_plans(*plans: DataFrame) -> DataFrame:
-    """All checks of several plans; numbers are kept, so give plans that do not share tables."""
-    merged = plans[0]
-    for plan in plans[1:]:
-        merged = merged.unionByName(plan)
+    """All checks of several plans, numbered on: each plan's numbers follow the highest of those before it."""
+    merged, last = None, 0
+    for i, plan in enumerate(plans, start=1):
+        moved = plan.withColumn("query_id", F.col("query_id") + F.lit(last).cast("bigint"))
+        merged = moved if merged is None else merged.unionByName(moved)
+        if i < len(plans):
+            last += plan.agg(F.coalesce(F.max("query_id"), F.lit(0))).first()[0]
     return merged

@@ -16,7 +16,8 @@ from tableqa.functions.names import DUPLICATES_CHECK, col_of
 from tableqa.functions.values import safe_int, text_value
 from tableqa.operators.metrics import COUNT_NAMES
 from tableqa.plans.build import SCALAR, TABLE
-from tableqa.schemas import CHECK_RESULTS, QA_RESULTS, SAMPLE_ROWS
+from tableqa.sources.tables import staging_path
+from tableqa.schemas import CHECK_RESULTS, QA_RESULTS
 
 log = logging.getLogger(__name__)
 
@@ -29,27 +30,27 @@ def _as_json(df: DataFrame):
     return F.to_json(F.struct(*[col_of(c) for c in df.columns]), KEEP_NULLS)
 
 
-def run_check(result: DataFrame, check_type: str = "") -> dict:
-    """Value, row count and excess of one check.
+def run_check(result: DataFrame, check_type: str = "", scalar: bool = False, land: str | None = None) -> dict:
+    """Value, row count and excess of one check. The result is computed once.
 
-    One row of one column is kept as its text, anything else as the JSON of its first SAMPLE_ROWS rows. A longer
-    result is counted, and its excess rows are summed, by Spark over all of its rows.
+    Of a `scalar` check, one row of one column is kept as its text and one row of several columns as JSON. All rows of
+    any other result are written as Parquet to `land` by the executors and counted there; the value is that folder.
+    Without rows the value is NULL.
     """
-    text = text_value(col_of(result.columns[0]), result.schema[0].dataType)
+    if scalar:
+        text = text_value(col_of(result.columns[0]), result.schema[0].dataType)
+        head = result.select(text.alias("t"), _as_json(result).alias("j")).limit(2).collect()
+        if len(head) < 2:
+            single = [r.t if len(result.columns) == 1 else f"[{r.j}]" for r in head]
+            return {"value": single[0] if head else None, "rowcount": len(head), "excess_rows": None}
+    land = land or staging_path(result.sparkSession, "result")
+    result.write.parquet(land)
+    landed = result.sparkSession.read.schema(result.schema).parquet(land)
     counts = [c for c in result.columns if c.lower() in COUNT_NAMES]
     is_duplicates = check_type.lower() == DUPLICATES_CHECK and bool(counts)
     beyond = F.greatest(safe_int(col_of(counts[0])) - 1, F.lit(0)) if is_duplicates else F.lit(0)
-    head = result.select(text.alias("t"), _as_json(result).alias("j"), beyond.alias("e")).limit(SAMPLE_ROWS + 1).collect()
-    rowcount, excess = len(head), sum(r.e for r in head)
-    if rowcount > SAMPLE_ROWS:
-        rowcount, excess = result.agg(F.count(F.lit(1)), F.sum(beyond)).first()
-    if rowcount == 0:
-        value = None
-    elif rowcount == 1 and len(result.columns) == 1:
-        value = head[0].t
-    else:
-        value = "[" + ",".join(r.j for r in head[:SAMPLE_ROWS]) + "]"
-    return {"value": value, "rowcount": rowcount, "excess_rows": excess if is_duplicates else None}
+    rowcount, excess = landed.agg(F.count(F.lit(1)), F.coalesce(F.sum(beyond), F.lit(0))).first()
+    return {"value": land if rowcount else None, "rowcount": rowcount, "excess_rows": excess if is_duplicates else None}
 
 
 def _run_fused(spark: SparkSession, checks: list[Row]) -> list[dict]:
@@ -74,19 +75,23 @@ def run_plan(
     run_ts: datetime,
     runner: Callable[[str], DataFrame] | None = None,
     fuse: bool = True,
+    results_folder: str | None = None,
 ) -> DataFrame:
     """Run the checks of a plan and return one result row each, status OK or ERROR.
 
     `runner` turns a query text into a DataFrame: Spark SQL by default, a JDBC read for texts in the dialect of a
-    server. An error is kept in the row of its check and does not stop the others.
+    server. An error is kept in the row of its check and does not stop the others. Results of several rows are written
+    below `results_folder`, by default a fresh folder of the shared one.
     """
+    landing = results_folder or staging_path(spark, "results")
     checks = plan.orderBy("query_id").collect() if isinstance(plan, DataFrame) else list(plan)
     outcomes: dict[int, dict] = {}
 
     def run_one(i: int) -> tuple[int, dict]:
         try:
             result = (runner or spark.sql)(checks[i].query_text.strip().rstrip(";"))
-            return i, {"status": "OK", **run_check(result, checks[i].check_type)}
+            scalar = checks[i].expected_output_format == SCALAR
+            return i, {"status": "OK", **run_check(result, checks[i].check_type, scalar, f"{landing}/{i}")}
         except Exception as error:  # any failure of a check is a result
             return i, {"status": "ERROR", "error": str(error)}
 
@@ -95,8 +100,10 @@ def run_plan(
             try:
                 fused = _run_fused(spark, [checks[i] for i in group])
                 return [(i, {"status": "OK", **o}) for i, o in zip(group, fused)]
-            except Exception as error:  # find the failing check by running them singly
-                log.info("checks run one by one after %s", type(error).__name__)
+            except Exception as error:  # halve the group until the failing checks are alone
+                log.info("checks run in halves after %s", type(error).__name__)
+                middle = len(group) // 2
+                return run_group(group[:middle]) + run_group(group[middle:])
         return [run_one(i) for i in group]
 
     tables = defaultdict(list)

@@ -5,6 +5,8 @@ SQL strings that start with `SELECT ... FROM orders` and the like run on both en
 
 from __future__ import annotations
 
+import os
+import tempfile
 from collections.abc import Callable
 from datetime import datetime
 
@@ -21,6 +23,7 @@ from tableqa.sources import tables
 
 RUN_TS = datetime(2024, 1, 1)
 RUN_TEXT = RUN_TS.isoformat()
+BUCKET = 1000  # rows of a numbering bucket, so that small tables have many, too
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,7 +31,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf: fn(with_shared_folder(spark), sf)
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -36,6 +39,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def with_shared_folder(spark: SparkSession) -> SparkSession:
+    """A local session without a shared folder gets one in the temporary folder; a cluster must name its own."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir() and context.master.startswith("local["):
+        context.setCheckpointDir(os.path.join(tempfile.gettempdir(), "tableqa_shared"))
+    return spark
+
+
 def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{table}.parquet")
 
@@ -79,7 +90,7 @@ FEED_SPARK_SQL = FEED_SQL.replace(
     "datediff('day', TIMESTAMP '1992-01-01 00:00:00', o_orderdate)", "datediff(o_orderdate, DATE '1992-01-01')"
 )
 BASE_SQL = "SELECT * FROM orders WHERE o_orderstatus <> 'F'"
-MIN_VERSION = 1000
+MIN_VERSION = 2200  # about the middle of the versions
 
 # A column catalog with one table per part; its columns are the words of the part name.
 CATALOG_SQL = """
@@ -177,11 +188,22 @@ def _(spark, sf):
     return checks.duplicate_excess(orders_null_key(spark, sf), "order_key")
 
 
-# Every given table is one file, so its per-file metrics are those of the table; tests use several files.
-@query("duplicate_excess_per_file", f"SELECT ({_excess('lineitem', 'l_orderkey')}) AS excess_rows")
+def lineitem_files(spark: SparkSession, sf: str) -> DataFrame:
+    """lineitem in three files, dealt by line number."""
+    path = tables.staging_path(spark, "lineitem_files")
+    rows = load(spark, sf, "lineitem").withColumn("part", F.col("l_linenumber") % 3)
+    rows.repartition("part").write.partitionBy("part").parquet(path)
+    return spark.read.parquet(path).drop("part")
+
+
+@query(
+    "duplicate_excess_per_file",
+    "SELECT CAST(sum(n - 1) AS BIGINT) AS excess_rows FROM (SELECT l_linenumber % 3 AS part, count(*) AS n FROM lineitem "
+    "GROUP BY part, l_orderkey) GROUP BY part",
+)
 def _(spark, sf):
-    lineitem = load(spark, sf, "lineitem")
-    return checks.duplicate_excess(lineitem, "l_orderkey", per=[F.col("_metadata.file_path")]).select("excess_rows")
+    per_file = [F.col("_metadata.file_path")]
+    return checks.duplicate_excess(lineitem_files(spark, sf), "l_orderkey", per=per_file).select("excess_rows")
 
 
 @query(
@@ -373,13 +395,18 @@ FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) {page}
 
 @query("full_extract_numbered", _full_sql(4000))
 def _(spark, sf):
-    return extract.full_extract(load(spark, sf, "orders"), "o_orderkey", RUN_TS, version=7, batch_size=4000)
+    return extract.full_extract(
+        load(spark, sf, "orders"), "o_orderkey", RUN_TS, version=7, batch_size=4000, rows_per_bucket=BUCKET
+    )
 
 
 @query("extract_batch_page", _full_sql(4000, "WHERE n BETWEEN 4001 AND 8000"))
 def _(spark, sf):
-    rows = extract.full_extract(load(spark, sf, "orders"), "o_orderkey", RUN_TS, version=7, batch_size=4000)
-    return extract.batch_page(rows, 4001, 8000)
+    rows = extract.full_extract(
+        load(spark, sf, "orders"), "o_orderkey", RUN_TS, version=7, batch_size=4000, rows_per_bucket=BUCKET
+    )
+    path = writers.write_extract(rows, tables.staging_path(spark, "pages"), 4000)
+    return extract.batch_page(spark.read.parquet(path), 4001, 8000, batch_size=4000)
 
 
 @query(
@@ -388,7 +415,7 @@ def _(spark, sf):
     "(SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey) AS n FROM lineitem) GROUP BY l_orderkey",
 )
 def _(spark, sf):
-    rows = number_rows(load(spark, sf, "lineitem"), "l_orderkey")
+    rows = number_rows(load(spark, sf, "lineitem"), "l_orderkey", rows_per_bucket=5 * BUCKET)
     return rows.groupBy("l_orderkey").agg(
         F.min("rn").alias("first_rn"), F.max("rn").alias("last_rn"), F.countDistinct("rn").alias("row_count")
     )
@@ -396,12 +423,12 @@ def _(spark, sf):
 
 @query("number_rows_text_key", "SELECT *, row_number() OVER (ORDER BY c_name) AS rn FROM customer")
 def _(spark, sf):
-    return number_rows(load(spark, sf, "customer"), "c_name")
+    return number_rows(load(spark, sf, "customer"), "c_name", rows_per_bucket=100)
 
 
 @query("number_rows_time_key", "SELECT event_id, ts, row_number() OVER (ORDER BY ts) AS rn FROM events")
 def _(spark, sf):
-    return number_rows(load(spark, sf, "events").select("event_id", "ts"), "ts")
+    return number_rows(load(spark, sf, "events").select("event_id", "ts"), "ts", rows_per_bucket=BUCKET)
 
 
 @query(
@@ -410,7 +437,7 @@ def _(spark, sf):
 FROM (SELECT order_key, row_number() OVER (ORDER BY order_key NULLS FIRST) AS n FROM c) GROUP BY order_key""",
 )
 def _(spark, sf):
-    rows = number_rows(orders_null_key(spark, sf), "order_key")
+    rows = number_rows(orders_null_key(spark, sf), "order_key", rows_per_bucket=100)
     return rows.groupBy("order_key").agg(
         F.min("rn").alias("first_rn"), F.max("rn").alias("last_rn"), F.countDistinct("rn").alias("row_count")
     )
@@ -426,7 +453,7 @@ def _(spark, sf):
     flags = load(spark, sf, "lineitem").select(
         "l_returnflag", "l_linestatus", F.concat("l_returnflag", "l_linestatus").alias("flags")
     )
-    return number_rows(flags, "flags").groupBy("l_returnflag", "l_linestatus").agg(
+    return number_rows(flags, "flags", rows_per_bucket=BUCKET).groupBy("l_returnflag", "l_linestatus").agg(
         F.min("rn").alias("first_rn"), F.max("rn").alias("last_rn"), F.countDistinct("rn").alias("row_count")
     )
 
@@ -437,7 +464,7 @@ def _(spark, sf):
     "FROM (SELECT row_number() OVER (ORDER BY l_orderkey) AS n FROM lineitem) GROUP BY batch_id",
 )
 def _(spark, sf):
-    return extract.batch_sizes(number_rows(load(spark, sf, "lineitem"), "l_orderkey"))
+    return extract.batch_sizes(number_rows(load(spark, sf, "lineitem"), "l_orderkey", rows_per_bucket=5 * BUCKET))
 
 
 _CHANGE_SQL = f"""WITH feed AS ({FEED_SQL}), base AS ({BASE_SQL}), joined AS (
@@ -451,7 +478,8 @@ SELECT CAST(k AS VARCHAR) AS o_orderkey, {_texts(ORDER_COLUMNS[1:])}, CAST(v AS
 @query("change_extract", _CHANGE_SQL.format(key="f.o_orderkey"))
 def _(spark, sf):
     return extract.change_extract(
-        change_feed(spark, sf), base_orders(spark, sf), "o_orderkey", RUN_TS, MIN_VERSION, batch_size=1000
+        change_feed(spark, sf), base_orders(spark, sf), "o_orderkey", RUN_TS, MIN_VERSION, batch_size=1000,
+        rows_per_bucket=BUCKET,
     )
 
 
@@ -577,12 +605,12 @@ SELECT row_number() OVER (ORDER BY table_catalog, table_schema, table_name, chec
 
 @query("generate_plan", _plan_sql(True, True, build.ALL_CHECKS) + " SELECT * FROM plan")
 def _(spark, sf):
-    return build.generate_plan(part_catalog(spark, sf), build.ALL_CHECKS)
+    return build.generate_plan(part_catalog(spark, sf), build.ALL_CHECKS, rows_per_bucket=BUCKET)
 
 
 @query("generate_plan_narrow", _plan_sql(False, False, build.CHECKS) + " SELECT * FROM plan")
 def _(spark, sf):
-    return build.generate_plan(part_catalog(spark, sf), nulls="narrow", dialect="tsql")
+    return build.generate_plan(part_catalog(spark, sf), nulls="narrow", dialect="tsql", rows_per_bucket=BUCKET)
 
 
 def part_plan(spark: SparkSession, sf: str) -> DataFrame:
@@ -733,16 +761,22 @@ def _(spark, sf):
     return metrics.observed_metrics(load(spark, sf, "orders"), needed, footers_of=path)
 
 
-@query("shard_metrics", _metric_rows("lineitem", LINEITEM_COLUMNS, "l_orderkey"))
+@query(
+    "shard_metrics",
+    " UNION ALL ".join(
+        "SELECT * FROM (" + _metric_rows(f"(SELECT * FROM lineitem WHERE l_linenumber % 3 = {i})", LINEITEM_COLUMNS, "l_orderkey") + ")"
+        for i in range(3)
+    ),
+)
 def _(spark, sf):
     needed = metrics.needed_checks(METRIC_CHECKS, "l_orderkey")
-    return metrics.observed_metrics(load(spark, sf, "lineitem"), needed, per_file=True).select("key", "value")
+    return metrics.observed_metrics(lineitem_files(spark, sf), needed, per_file=True).select("key", "value")
 
 
 @query("sum_metrics", f"SELECT 'count_total_rows' AS key, count(*) AS value FROM lineitem UNION ALL {_null_metric_rows('lineitem', LINEITEM_COLUMNS)}")
 def _(spark, sf):
     needed = metrics.needed_checks(["count_total_rows", "nulls_per_column"])
-    return metrics.sum_metrics(metrics.observed_metrics(load(spark, sf, "lineitem"), needed, per_file=True))
+    return metrics.sum_metrics(metrics.observed_metrics(lineitem_files(spark, sf), needed, per_file=True))
 
 
 def _alerts_sql(expected: str, observed: str, differs: str = "e.value <> o.value") -> str:
@@ -781,7 +815,27 @@ def _(spark, sf):
 
 @query("compare_metrics_lenient", _COPY_ALERTS)
 def _(spark, sf):
-    return order_alerts(spark, sf, lenient=True)
+    needed = metrics.needed_checks(METRIC_CHECKS, "o_orderkey")
+    expected = metrics.observed_metrics(load(spark, sf, "orders"), needed)
+    observed = metrics.observed_metrics(orders_copy(spark, sf), needed)
+    texts = [m.withColumn("value", F.concat(F.lit(" "), F.col("value"), F.lit(end))) for m, end in ((expected, ".0 "), (observed, ""))]
+    return compare.compare_metrics(*texts, RUN_TS, lenient=True).drop("evaluated_at_utc")
+
+
+@query(
+    "compare_metrics_mixed_types",
+    f"WITH c AS ({COPY_SQL}) "
+    + _alerts_sql(
+        f"SELECT key, CAST(value AS VARCHAR) AS value FROM ({_metric_rows('orders', ORDER_COLUMNS, 'o_orderkey')})",
+        f"SELECT key, CASE WHEN key = 'count_total_rows' THEN 'many' ELSE CAST(value AS VARCHAR) END AS value FROM ({_metric_rows('c', COPY_COLUMNS, 'o_orderkey')})",
+    ),
+)
+def _(spark, sf):
+    needed = metrics.needed_checks(METRIC_CHECKS, "o_orderkey")
+    expected = metrics.observed_metrics(load(spark, sf, "orders"), needed)
+    observed = metrics.observed_metrics(orders_copy(spark, sf), needed)
+    text = F.when(F.col("key") == "count_total_rows", "many").otherwise(F.col("value").cast("string"))
+    return compare.compare_metrics(expected, observed.withColumn("value", text), RUN_TS).drop("evaluated_at_utc")
 
 
 def _sum_rows(factor: str) -> str:
@@ -908,3 +962,168 @@ def _(spark, sf):
         part = jobs.job_query_compare(orders, check, path, RUN_TS)
         result = part if result is None else result.unionByName(part)
     return result.select("query_id", "table_name", "status", "row_count_sql", "row_count_bq")
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Hot keys, landed results, contents, repeated runs, plan tables
+# ---------------------------------------------------------------------------------------------------------------
+
+HOT_KEY_SQL = "SELECT CASE WHEN o_orderkey % 3 = 0 THEN 42 ELSE o_orderkey END AS k, o_orderkey AS original FROM orders"
+
+
+@query(
+    "number_rows_hot_key",
+    f"""SELECT k, min(n) AS first_rn, max(n) AS last_rn, count(DISTINCT n) AS row_count
+FROM (SELECT k, row_number() OVER (ORDER BY k) AS n FROM ({HOT_KEY_SQL})) GROUP BY k""",
+)
+def _(spark, sf):
+    rows = number_rows(both(HOT_KEY_SQL, "orders")(spark, sf), "k", rows_per_bucket=BUCKET)
+    return rows.groupBy("k").agg(F.min("rn").alias("first_rn"), F.max("rn").alias("last_rn"), F.countDistinct("rn").alias("row_count"))
+
+
+def orders_results(spark: SparkSession, sf: str, check: str) -> DataFrame:
+    """All rows of a landed result of the plan of orders."""
+    plan = select.read_plan(table_plan(spark, sf), "db", "tpch", "orders", [check])
+    return spark.read.parquet(run.run_plan(spark, plan, RUN_TS).first()["value"])
+
+
+@query("landed_hash_rows", _hash_sql("orders", ORDER_COLUMNS))
+def _(spark, sf):
+    return orders_results(spark, sf, "hashcheck")
+
+
+@query("landed_value_distribution", "SELECT o_orderkey, count(*) AS freq FROM orders GROUP BY o_orderkey ORDER BY freq DESC, o_orderkey LIMIT 10")
+def _(spark, sf):
+    return orders_results(spark, sf, "value_dist")
+
+
+@query("landed_duplicates", "SELECT l_orderkey AS key_value, count(*) AS cnt FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1")
+def _(spark, sf):
+    plan = select.read_plan(table_plan(spark, sf), "db", "tpch", "lineitem", ["duplicates_primary_key"])
+    return spark.read.parquet(run.run_plan(spark, plan, RUN_TS).first()["value"])
+
+
+_CELL_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders)
+ THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority FROM orders"""
+_MOVED_SQL = """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'X'
+ ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"""
+
+
+def _content_sql(copy: str, *columns: str) -> str:
+    """Row contents and values of orders and of its copy, by count."""
+    def one(key: str, value: str) -> str:
+        return (
+            f"SELECT '{key}' AS key, CASE WHEN sum(abs(e - o)) = 0 THEN 'OK' ELSE 'MISMATCH' END AS status, CAST(sum(e) AS BIGINT) AS expected, "
+            f"CAST(sum(o) AS BIGINT) AS observed, CAST(sum(abs(e - o)) AS BIGINT) AS differing FROM (SELECT v, sum(e) AS e, sum(o) AS o FROM ("
+            f"SELECT {value} AS v, 1 AS e, 0 AS o FROM orders UNION ALL SELECT {value}, 0, 1 FROM c) GROUP BY v)"
+        )
+    texts = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in ORDER_COLUMNS) + ")"
+    return f"WITH c AS ({copy}) " + " UNION ALL ".join([one("hashcheck", texts), *[one(f"value_dist_{c}", f"CAST({c} AS VARCHAR)") for c in columns]])
+
+
+@query("compare_content_changed_cell", _content_sql(_CELL_SQL, "o_orderstatus"))
+def _(spark, sf):
+    return compare.compare_content(load(spark, sf, "orders"), both(_CELL_SQL, "orders")(spark, sf), ("o_orderstatus",))
+
+
+@query("compare_content_moved_value", _content_sql(_MOVED_SQL, "o_orderstatus", "o_orderpriority"))
+def _(spark, sf):
+    moved = both(_MOVED_SQL, "orders")(spark, sf)
+    return compare.compare_content(load(spark, sf, "orders"), moved, ("o_orderstatus", "o_orderpriority"))
+
+
+@query("extract_compare", _content_sql("SELECT * FROM orders", "o_orderpriority"))
+def _(spark, sf):
+    return jobs.job_extract_compare(
+        load(spark, sf, "orders"), "o_orderkey", tables.staging_path(spark, "compare"), RUN_TS, ("o_orderpriority",)
+    )
+
+
+@query("compare_tables_changed_cell", f"WITH c AS ({_CELL_SQL}) {_equality_sql('orders', 'c')}")
+def _(spark, sf):
+    return compare.compare_tables(load(spark, sf, "orders"), both(_CELL_SQL, "orders")(spark, sf))
+
+
+@query(
+    "repeated_extract",
+    f"WITH feed AS ({FEED_SQL}) SELECT 'full' AS run, count(*) AS row_count, CAST(max(n) AS BIGINT) AS last_rn FROM "
+    "(SELECT row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) UNION ALL "
+    f"SELECT 'changes', count(*), count(*) FROM feed WHERE sys_change_version > {MIN_VERSION}",
+)
+def _(spark, sf):
+    """A full run, then a run of the changes after its version, into one place."""
+    output, orders, feed = tables.staging_path(spark, "runs"), load(spark, sf, "orders"), change_feed(spark, sf)
+    table, plan, parts = jobs.TableId("db", "tpch", "orders"), table_plan(spark, sf, build.CHECKS), []
+    for name, run_ts, options in (
+        ("full", RUN_TS, {"changes": feed.where(f"sys_change_version <= {MIN_VERSION}")}),
+        ("changes", datetime(2024, 1, 2), {"mode": "change_tracking", "changes": feed}),
+    ):
+        if name == "changes":
+            options["min_version"] = extract.high_water_mark(spark.read.parquet(writers.run_prefix(output, "data", RUN_TS)))
+        jobs.job_extract_reconcile(orders, table, "o_orderkey", plan, ["count_total_rows"], output, run_ts, **options)
+        landed = spark.read.parquet(writers.run_prefix(output, "data", run_ts))
+        parts.append(landed.agg(
+            F.lit(name).alias("run"), F.count(F.lit(1)).alias("row_count"), F.max(F.col("rn").cast("bigint")).alias("last_rn")
+        ))
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "plan_tables",
+    _plan_sql(True, True, build.ALL_CHECKS) + ", other AS (SELECT count(*) AS n FROM plan) SELECT * FROM plan UNION ALL "
+    "SELECT query_id + n, table_name, table_catalog, table_schema, check_type, query_text, expected_output_format FROM plan, other",
+)
+def _(spark, sf):
+    """A saved plan (written twice, so replaced), merged with itself under new numbers."""
+    path = tables.staging_path(spark, "plan_table")
+    for _ in range(2):
+        jobs.job_generate_plan(part_catalog(spark, sf), path=path, checks=build.ALL_CHECKS, rows_per_bucket=BUCKET)
+    saved = spark.read.parquet(path)
+    return build.merge_plans(saved, saved)
+
+
+@query(
+    "appended_results",
+    f"SELECT query_id, check_type, rowcount, status FROM (SELECT query_id, check_type, rowcount, 'SUCCESS' AS status FROM ({_run_sql()}) "
+    "WHERE check_type = 'count_total_rows'), (VALUES (1), (2)) AS t(i)",
+)
+def _(spark, sf):
+    path = tables.staging_path(spark, "results_table")
+    checks_wanted = table_plan(spark, sf).where("check_type = 'count_total_rows'")
+    for day in (1, 2):
+        writers.append_results(run.qa_results(run.run_plan(spark, checks_wanted, RUN_TS), datetime(2024, 1, day)), path=path)
+    return spark.read.parquet(path).select("query_id", "check_type", "rowcount", "status")
+
+
+@query("metric_map", f"SELECT key, value FROM ({_metric_rows('orders', ORDER_COLUMNS, 'o_orderkey')})")
+def _(spark, sf):
+    needed = metrics.needed_checks(METRIC_CHECKS, "o_orderkey")
+    return metrics.metric_map(metrics.observed_metrics(load(spark, sf, "orders"), needed)).select(F.explode("metrics").alias("key", "value"))
+
+
+@query(
+    "columns_per_schema_table",
+    f"""WITH catalog AS ({CATALOG_SQL}), once AS (SELECT table_schema, table_name, column_name, min(ordinal_position) AS position FROM catalog GROUP BY ALL)
+SELECT table_schema, table_name, list(column_name ORDER BY position) AS columns FROM once GROUP BY table_schema, table_name""",
+)
+def _(spark, sf):
+    return build.columns_per_table(part_catalog(spark, sf), by=("table_schema", "table_name"))
+
+
+# Two results for one key, a check without a metric, a failed check.
+_RESULTS_SQL = """SELECT o_orderkey AS query_id, CASE o_orderpriority WHEN '1-URGENT' THEN 'hashcheck' WHEN '2-HIGH' THEN 'count_total_rows'
+ ELSE concat('nulls_per_column|', o_orderpriority) END AS check_type, CASE o_orderstatus WHEN 'P' THEN 'ERROR' ELSE 'OK' END AS status,
+ CAST(o_custkey AS VARCHAR) AS value FROM orders"""
+
+
+def _kept_sql(pick: str) -> str:
+    name = f"concat('nulls_per_column|', {_SNAKE_SQL.format('split_part(check_type, chr(124), 2)')})"
+    return f"""SELECT key, CAST({pick}(value, query_id) AS BIGINT) AS value FROM (SELECT query_id,
+ CASE WHEN check_type LIKE 'nulls%' THEN {name} ELSE check_type END AS key, CASE WHEN status = 'OK' THEN CAST(value AS BIGINT) END AS value FROM ({_RESULTS_SQL}) WHERE check_type <> 'hashcheck') GROUP BY key"""
+
+
+for _keep in ("first", "last"):
+    @query(f"expected_metrics_keep_{_keep}", _kept_sql({"first": "arg_min_null", "last": "arg_max_null"}[_keep]))
+    def _(spark, sf, keep=_keep):
+        results = both(_RESULTS_SQL.replace("VARCHAR", "STRING"), "orders")(spark, sf)
+        return metrics.expected_metrics(results, keep=keep)

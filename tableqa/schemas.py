@@ -27,8 +27,8 @@ PLAN = _schema(
     ("expected_output_format", _S),
 )
 
-# One row per executed check. `value` keeps at most SAMPLE_ROWS rows of a tabular result; `rowcount` and
-# `excess_rows` always describe the whole result.
+# One row per executed check. `value` is the value of a scalar result, the row of a single-row result as JSON, or the
+# Parquet folder that holds all rows of any other; `rowcount` and `excess_rows` describe the whole result.
 CHECK_RESULTS = _schema(
     ("query_id", _L),
     ("table_catalog", _S),
@@ -83,5 +83,3 @@ EQUALITY = _schema(
 
 # Columns an extract adds to the source columns (fixed values).
 EXTRACT_METADATA = ("sys_change_version", "sys_change_operation", "ingestion_datetime_utc", "rn")
-
-SAMPLE_ROWS = 1000

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tableqa.schemas import PLAN, QA_RESULTS
 
 CHUNK_SIZE = 100_000
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_extract(df: DataFrame, path: str, chunk_size: int = CHUNK_SIZE, mode: str = "errorifexists") -> str:
@@ -23,22 +22,28 @@ def write_single(
     df: DataFrame,
     path: str,
     run_ts: datetime,
-    max_rows: int = SINGLE_FILE_ROWS,
+    single: bool = True,
     mode: str = "errorifexists",
 ) -> str | None:
-    """One Parquet file for a table of up to `max_rows` rows; a larger one is written by all tasks into the same
-    folder. A path that ends in a slash gets a name of its own; an empty table writes nothing."""
-    rows = df.count()
-    if rows == 0:
-        return None
+    """One Parquet file, written by one task; with `single=False` a folder of files written by all tasks, for tables
+    that one task should not write. A path that ends in a slash gets a name of its own; an empty table leaves nothing
+    behind. The table is computed once: its rows are counted in the written files."""
     if path.endswith("/"):
         path = f"{path}extract_{run_ts:%Y%m%d_%H%M%S}.snappy.parquet"
-    if rows <= max_rows:
-        df = df.coalesce(1)
-    df.write.mode(mode).option("compression", "snappy").parquet(path)
+    spark = df.sparkSession
+    (df.coalesce(1) if single else df).write.mode(mode).option("compression", "snappy").parquet(path)
+    if spark.read.schema(df.schema).parquet(path).isEmpty():
+        remove_folder(spark, path)
+        return None
     return path
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that a job of this library has written, in whatever store it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """One JSON-lines file of a result or alert table, which has one row per check or metric."""
     df.coalesce(1).write.mode(mode).option("ignoreNullFields", "false").json(path)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Iterable
 
@@ -59,18 +57,24 @@ def read_column_catalog(spark: SparkSession, table: str) -> DataFrame:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder of the session."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh folder under the folder of spark.checkpoint.dir, which all executors share, or where that is unset under
+    the one that was given to setCheckpointDir."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = os.path.join(tempfile.gettempdir(), "tableqa_staging")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/tableqa_{name}_{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives lost executors, and makes a live or
-    costly input safe to read several times."""
-    path = staging_path(df.sparkSession, name)
+    costly input safe to read several times. Who gives the `path` may remove it afterwards."""
+    path = path or staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def is_files(df: DataFrame) -> bool:
+    """Whether a table is read from files alone, so that it may be read again and gives the same rows."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    kinds = {leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())}
+    return bool(df.inputFiles()) and kinds <= {"LogicalRelation", "HiveTableRelation"}

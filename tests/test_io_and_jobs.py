@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableqa import jobs, schemas
-from tableqa.plans import build
+from tableqa.plans import build, run
 from tableqa.sinks import writers
 from tableqa.sources import jdbc, tables
 
@@ -121,7 +121,8 @@ def test_single_file(spark, tmp_path):
     path = writers.write_single(spark.range(100).repartition(4), f"{tmp_path}/", RUN_TS)
     assert path == f"{tmp_path}/extract_20240506_070809.snappy.parquet" and len(files(path)) == 1
     assert writers.write_single(spark.range(0), f"{tmp_path}/none", RUN_TS) is None
-    large = writers.write_single(spark.range(100).repartition(4), f"{tmp_path}/large", RUN_TS, max_rows=50)
+    assert not Path(f"{tmp_path}/none").exists()
+    large = writers.write_single(spark.range(100).repartition(4), f"{tmp_path}/large", RUN_TS, single=False)
     assert len(files(large)) == 4 and spark.read.parquet(large).count() == 100
 
 
@@ -176,7 +177,7 @@ def test_extract_reconcile(spark, shop, tmp_path, footers):
         "nulls_per_column|customer_name": ("OK", 7), "nulls_per_column|at": ("OK", 0), "duplicates_primary_key": ("OK", 2),
     }
     assert spark.read.json(f"{tmp_path}/qa_results/2024/05/06/070809").count() == 3
-    landed = spark.read.parquet(f"{tmp_path}/data")
+    landed = spark.read.parquet(f"{tmp_path}/data/2024/05/06/070809")
     assert landed.count() == 41 and landed.select("rn").distinct().count() == 41
 
 
@@ -199,9 +200,64 @@ def test_planted_faults_give_exactly_their_alerts(spark, shop, tmp_path, fault,
     assert {r.key: r.status for r in alerts.collect()} == expected
 
 
-def test_extract_of_a_staged_source(spark, shop, tmp_path):
-    landed = jobs.job_extract(shop[0], "OrderId", f"{tmp_path}/x", RUN_TS, land_first=True)
-    assert landed.count() == 41
+def test_a_live_source_is_read_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def live(frames):
+        for frame in frames:
+            reads.add(len(frame))
+            yield frame
+
+    source = spark.range(500).mapInPandas(live, "id long")
+    assert not tables.is_files(source)
+    before = len(list(Path(spark.conf.get("spark.checkpoint.dir")).glob("tableqa_source_*")))
+    landed = jobs.job_extract(source, "id", f"{tmp_path}/x", RUN_TS)
+    assert landed.count() == 500 and landed.select("rn").distinct().count() == 500
+    assert reads.value == 500
+    assert len(list(Path(spark.conf.get("spark.checkpoint.dir")).glob("tableqa_source_*"))) == before
+    spark.range(9).write.parquet(f"{tmp_path}/files")
+    assert tables.is_files(spark.read.parquet(f"{tmp_path}/files").filter("id > 3"))
+
+
+def test_a_query_result_is_computed_once(spark, tmp_path):
+    rows = spark.sparkContext.accumulator(0)
+
+    def live(frames):
+        for frame in frames:
+            rows.add(len(frame))
+            yield frame
+
+    writers.write_single(spark.range(100).mapInPandas(live, "id long"), f"{tmp_path}/one", RUN_TS)
+    assert rows.value == 100
+    rows.add(-100)
+    outcome = run.run_check(spark.range(100).mapInPandas(live, "id long"), "hashcheck", land=f"{tmp_path}/result")
+    assert (outcome["rowcount"], outcome["value"], rows.value) == (100, f"{tmp_path}/result", 100)
+
+
+def test_the_job_can_be_repeated(spark, shop, tmp_path):
+    df, plan, table = shop
+    for hour in (1, 2):
+        run_ts = datetime(2024, 1, 1, hour)
+        alerts = jobs.job_extract_reconcile(df, table, "OrderId", plan, CHECKS, str(tmp_path), run_ts)
+        assert {r.status for r in alerts.collect()} == {"OK"}
+    assert len(list(Path(tmp_path).glob("data/2024/01/01/*"))) == 2
+
+
+def test_staging_needs_a_shared_folder():
+    class Bare:
+        """A session without any shared folder."""
+
+        def __init__(self):
+            self.conf = self.sparkContext = self
+
+        def get(self, name, default):
+            return default
+
+        def getCheckpointDir(self):
+            return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.staging_path(Bare(), "x")
 
 
 def test_changes_after_what_the_target_holds(spark, tmp_path):

@@ -83,3 +83,9 @@ def test_the_bucket_search_is_compiled_into_the_scan_stage(spark):
     plan = numbering.number_rows(df, "k", layout=layout)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+
+
+@pytest.mark.parametrize("table, key, size", [("orders", "o_orderkey", 1000), ("lineitem", "l_orderkey", 5000), ("customer", "c_name", 100)])
+def test_registered_numberings_run_in_buckets(spark, table, key, size):
+    df = spark.read.parquet(f"/root/testdata/sf0.01/{table}.parquet")
+    assert len(numbering.plan_layout(df, key, size).bounds) > 1
