@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +71,13 @@ def words(text: str | Column) -> Column:
     return F.array_remove(F.split(plain, SEPARATORS), "")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with `value` computed once, also where `use` names it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def word_grams(words: Column, n: int) -> Column:
     """Hashes of all runs of n words, by their first word; the last n - 1 hashes are of shorter runs, to be ignored."""
-    return F.transform(words, lambda w, i: F.xxhash64(w, *[F.get(words, i + F.lit(k)) for k in range(1, n)]))
+    return bound(words, lambda all_: F.transform(
+        all_, lambda w, i: F.xxhash64(w, *[F.get(all_, i + F.lit(k)) for k in range(1, n)])
+    ))

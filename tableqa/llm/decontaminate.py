@@ -33,22 +33,27 @@ _LANES = 0x0000000100000001  # two counters of 32 bits in a long
 def simhash(grams: Column) -> Column:
     """Fingerprint of an array of hashes: bits set in over half of them. Counters of bits i and i + 32 share a long."""
     zeros, shifts = F.array_repeat(F.lit(0).cast("long"), 32), F.sequence(F.lit(0), F.lit(31))
-    counts = F.aggregate(grams, zeros, lambda sums, x: F.zip_with(
-        sums, shifts, lambda s, i: s + F.call_function("shiftrightunsigned", x, i).bitwiseAND(F.lit(_LANES))
-    ))
-    half = F.size(grams)
 
-    def bit(count: Column, at: Column) -> Column:
+    def bit(count: Column, half: Column, at: Column) -> Column:
         return F.when(count * 2 > half, F.call_function("shiftleft", F.lit(1).cast("long"), at)).otherwise(F.lit(0).cast("long"))
 
-    halves = F.zip_with(counts, shifts, lambda c, i: bit(c.bitwiseAND(F.lit(0xFFFFFFFF)), i).bitwiseOR(bit(F.shiftrightunsigned(c, 32), i + 32)))
-    return F.aggregate(halves, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    def of(hashes: Column) -> Column:
+        counts = F.aggregate(hashes, zeros, lambda sums, x: F.zip_with(
+            sums, shifts, lambda s, i: s + F.call_function("shiftrightunsigned", x, i).bitwiseAND(F.lit(_LANES))
+        ))
+        halves = F.zip_with(counts, shifts, lambda c, i: bit(c.bitwiseAND(F.lit(0xFFFFFFFF)), F.size(hashes), i).bitwiseOR(
+            bit(F.shiftrightunsigned(c, 32), F.size(hashes), i + 32)
+        ))
+        return F.aggregate(halves, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+
+    return common.bound(grams, of)
 
 
 def weighted(grams: Column) -> Column:
     """The multiset as a set: every hash with the number of equal ones before it."""
-    ordered = F.array_sort(grams)
-    return F.transform(ordered, lambda x, i: F.xxhash64(x, i.cast("long") - F.array_position(ordered, x)))
+    return common.bound(F.sort_array(grams), lambda ordered: F.transform(
+        ordered, lambda x, i: F.xxhash64(x, i.cast("long") - F.array_position(ordered, x))
+    ))
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -118,6 +123,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
                     F.slice("grams", F.col("w.start") + 1, F.col("w.n") - k + 1).alias("grams"))
             .withColumn("window_fp", simhash(F.col("grams")))
         )
+        cutouts = common.cut(cutouts)  # else the optimizer writes the fingerprint out anew for every block
         blocks = cutouts.select("key", "mark", "n", "start", "window_fp", "grams", F.explode(F.array(*[
             F.struct(F.lit(i).alias("b"), _block(F.col("window_fp"), first, width).alias("value")) for i, (first, width) in enumerate(BLOCKS)
         ])).alias("f")).select("key", "mark", "n", "start", "window_fp", "grams", "f.b", "f.value")
