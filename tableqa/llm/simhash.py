@@ -140,7 +140,7 @@ def _ball_points(fp: Column, reach: int) -> Column:
     points = F.array(fp)
     for _ in range(reach):
         points = F.array_distinct(F.concat(points, F.flatten(F.transform(
-            points, lambda p: F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: p.bitwiseXOR(F.shiftleft(F.lit(1).cast("long"), i)))
+            points, lambda p: F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: p.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
         ))))
     return points
 
