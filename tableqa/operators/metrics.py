@@ -27,6 +27,8 @@ from tableqa.schemas import EXTRACT_METADATA, METRIC
 
 log = logging.getLogger(__name__)
 
+MISSING_STATISTICS = "aggregatePushdown"  # the setting that Spark's error names when a footer lacks statistics
+
 # Result columns that may hold a row count (fixed values).
 COUNT_NAMES = ("total_rows", "count", "cnt")
 
@@ -81,7 +83,9 @@ def _counts(df: DataFrame, columns: list[str], count_rows: bool, keys: list[Colu
             counts = counts_from_footers(df.sparkSession, footers_of, flat, count_rows)
             return counts.unionByName(counts_long(df, nested, False)) if nested else counts
         except (Py4JJavaError, CapturedException) as error:
-            log.info("footers of %s not usable, reading the columns: %s", footers_of, type(error).__name__)
+            if MISSING_STATISTICS not in str(error):
+                raise
+            log.warning("no statistics in the footers of %s, reading the columns", footers_of)
     return counts_long(df, columns, count_rows, keys)
 
 

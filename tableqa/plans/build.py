@@ -85,13 +85,23 @@ def check_nulls(t: Target, wide: bool = True) -> Check:
     return Check(F.lit(NULLS_CHECK), _text("SELECT ", counts, " FROM ", t.name), F.lit(SCALAR))
 
 
-def check_hash(t: Target) -> Check:
-    """All columns of a row and the hash of their texts."""
+def check_hash(t: Target, encoding: str | None = None, null_token: str | None = None) -> Check:
+    """All columns of a row and the hash of their texts.
+
+    The server hashes wide characters, which `encoding="UTF-16LE"` does in the Spark dialect, too. `null_token` stands
+    for NULLs, which are skipped otherwise.
+    """
     if t.dialect == "tsql":
         text_type, head, tail = "NVARCHAR(MAX)", "CONVERT(VARCHAR(64), HASHBYTES('SHA2_256', CONCAT_WS('|', ", ")), 2)"
+    elif encoding:
+        text_type, head, tail = "STRING", "upper(sha2(encode(concat_ws('|', ", f"), '{encoding}'), 256))"
     else:
         text_type, head, tail = "STRING", "upper(sha2(concat_ws('|', ", "), 256))"
-    casts = F.concat_ws(", ", F.transform(t.columns, lambda c: _text("CAST(", t.quote(c), f" AS {text_type})")))
+    before, after = "CAST(", f" AS {text_type})"
+    if null_token is not None:
+        mark = null_token.replace("'", "''")
+        before, after = "COALESCE(" + before, after + f", '{mark}')"
+    casts = F.concat_ws(", ", F.transform(t.columns, lambda c: _text(before, t.quote(c), after)))
     text = _text("SELECT *, " + head, casts, tail + f" AS {HASH_CHECK} FROM ", t.name)
     return Check(F.lit(HASH_CHECK), text, F.lit(PER_ROW))
 
@@ -135,11 +145,13 @@ def generate_plan(
     parts: int = 3,
     skip_empty: bool = True,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    hash_encoding: str | None = None,
+    null_token: str | None = None,
 ) -> DataFrame:
     """The plan of all tables of a column catalog, numbered by table and check.
 
     `checks` chooses the checks and their order, `nulls` one null check per table ("wide") or per column ("narrow").
-    `pk` names the key for all tables or by table name; otherwise the first column is the key.
+    `hash_encoding` and `null_token` are those of check_hash. `pk` names the key for all tables or by table name; otherwise the first column is the key.
     """
     unknown = set(checks) - set(ALL_CHECKS)
     if unknown or nulls not in ("wide", "narrow"):
@@ -179,7 +191,7 @@ def generate_plan(
     built = {
         COUNT_CHECK: check_count(target),
         NULLS_CHECK: check_nulls(target, wide=nulls == "wide"),
-        HASH_CHECK: check_hash(target),
+        HASH_CHECK: check_hash(target, hash_encoding, null_token),
         VALUE_DIST_CHECK: check_value_dist(target),
         DUPLICATES_CHECK: check_duplicates(target),
     }

@@ -519,14 +519,16 @@ def _(spark, sf):
     "column_metadata",
     " UNION ALL ".join(
         f"SELECT 'db' AS table_catalog, 'tpch' AS table_schema, '{t}' AS table_name, '{c}' AS column_name, "
-        f"{i} AS ordinal_position, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {t}"
+        f"{i} AS ordinal_position, CASE lower(any_value(typeof({c}))) WHEN 'varchar' THEN 'string' WHEN 'integer' THEN 'int' "
+        f"WHEN 'timestamp' THEN 'timestamp_ntz' ELSE lower(any_value(typeof({c}))) END AS data_type, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {t}"
         for t, columns in TABLE_COLUMNS.items()
         for i, c in enumerate(columns, start=1)
     ),
 )
 def _(spark, sf):
     named = {t: load(spark, sf, t) for t in TABLE_COLUMNS}
-    catalog = tables.column_metadata(spark, named, "db", "tpch")
+    catalog = tables.column_metadata(spark, named, "db", "tpch", data_types=True)
     nulls = None
     for table, df in named.items():
         part = checks.nulls_long(df).select(F.lit(table).alias("table_name"), "key", F.col("value").alias("null_count"))
@@ -1127,3 +1129,15 @@ for _keep in ("first", "last"):
     def _(spark, sf, keep=_keep):
         results = both(_RESULTS_SQL.replace("VARCHAR", "STRING"), "orders")(spark, sf)
         return metrics.expected_metrics(results, keep=keep)
+
+
+@query(
+    "planned_hash_utf16",
+    "SELECT c_custkey, upper(sha256(from_hex(regexp_replace(hex(encode(concat_ws('|', "
+    + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in CUSTOMER_COLUMNS)
+    + "))), '(..)', '\\1' || '00', 'g')))) AS hashcheck FROM customer",
+)
+def _(spark, sf):
+    plan = table_plan(spark, sf, ("hashcheck",), hash_encoding="UTF-16LE", null_token="<null>")
+    text = select.read_plan(plan, "db", "tpch", "customer", ["hashcheck"]).first()["query_text"]
+    return spark.sql(text).select("c_custkey", "hashcheck")

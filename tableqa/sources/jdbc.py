@@ -12,7 +12,8 @@ FETCH_SIZE = 100_000
 
 def jdbc_options(config: dict) -> dict[str, str]:
     """Reader options from a config with server, database and, unless the driver signs in by itself, username and
-    password. `url` overrides the address; `driver` names the JDBC class."""
+    password. `url` overrides the address; `driver` names the JDBC class; `login_timeout` and `query_timeout` are
+    seconds."""
     if "url" in config:
         url = config["url"]
     else:
@@ -21,9 +22,12 @@ def jdbc_options(config: dict) -> dict[str, str]:
             f"encrypt=true;trustServerCertificate=true;packetSize={PACKET_SIZE}"
         )
     options = {"url": url}
-    for key, option in (("username", "user"), ("password", "password"), ("driver", "driver")):
+    for key, option in (
+        ("username", "user"), ("password", "password"), ("driver", "driver"),
+        ("login_timeout", "loginTimeout"), ("query_timeout", "queryTimeout"),
+    ):
         if config.get(key):
-            options[option] = config[key]
+            options[option] = str(config[key])
     return options
 
 
@@ -59,6 +63,18 @@ def change_query(schema: str, table: str, primary_key: str, min_version: int = 0
     )
 
 
+def change_rows_query(schema: str, table: str, primary_key: str, columns: list[str], min_version: int = 0) -> str:
+    """Tracked changes newer than a version with the current row of their key, joined by the server: only the changed
+    rows travel. The key comes from the change, so it is known for deleted rows; `columns` are those of the table."""
+    key = tsql_ident(primary_key)
+    values = [f"c.{key}" if c == primary_key else f"b.{tsql_ident(c)}" for c in columns]
+    return (
+        f"SELECT {', '.join(values)}, c.SYS_CHANGE_VERSION AS sys_change_version, c.SYS_CHANGE_OPERATION AS "
+        f"sys_change_operation FROM CHANGETABLE(CHANGES {tsql_ident(schema)}.{tsql_ident(table)}, {int(min_version)}) AS c "
+        f"LEFT JOIN {tsql_ident(schema)}.{tsql_ident(table)} AS b ON b.{key} = c.{key}"
+    )
+
+
 def jdbc_reader(
     spark: SparkSession,
     options: dict[str, str],
@@ -78,6 +94,8 @@ def jdbc_reader(
     reader = spark.read.format("jdbc").options(**options).option("fetchsize", fetch_size)
     if partition_column is None:
         return reader.option("query", query or table_query(schema, table))
+    if None in (lower_bound, upper_bound, num_partitions):
+        raise ValueError("a partition column needs lower_bound, upper_bound and num_partitions")
     source = f"({query}) AS src" if query else f"{tsql_ident(schema)}.{tsql_ident(table)}"
     return (
         reader.option("dbtable", source)
@@ -127,3 +145,38 @@ def read_jdbc_batches(
     """Read by one task per predicate of the caller, which must cover every row once."""
     properties = {k: v for k, v in options.items() if k != "url"} | {"fetchsize": str(fetch_size)}
     return spark.read.jdbc(options["url"], source, predicates=predicates, properties=properties)
+
+
+def quantile_query(source: str, column: str, parts: int) -> str:
+    """Smallest value of each of `parts` equally large groups of rows, found by the server."""
+    name = tsql_ident(column)
+    return (
+        f"SELECT MIN({name}) AS bound FROM (SELECT {name}, NTILE({int(parts)}) OVER (ORDER BY {name}) AS part "
+        f"FROM ({source}) AS src WHERE {name} IS NOT NULL) AS parts GROUP BY part"
+    )
+
+
+def range_predicates(column: str, bounds: list) -> list[str]:
+    """Predicates that together cover every row once: up to the second bound and NULL, between bounds, from the last on.
+    A value that fills several groups gives one range."""
+    name = tsql_ident(column)
+
+    def literal(value) -> str:
+        return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''") + "'"
+
+    inner = [literal(b) for b in sorted(set(bounds))[1:]]
+    if not inner:
+        return ["1 = 1"]
+    between = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(inner, inner[1:])]
+    return [f"{name} < {inner[0]} OR {name} IS NULL", *between, f"{name} >= {inner[-1]}"]
+
+
+def read_jdbc_balanced(
+    spark: SparkSession, options: dict[str, str], column: str, num_partitions: int, query: str | None = None,
+    schema: str | None = None, table: str | None = None, fetch_size: int = FETCH_SIZE,
+) -> DataFrame:
+    """As read_jdbc_split, but with ranges of about equal numbers of rows, whatever the distribution of the column."""
+    source = query or table_query(schema, table)
+    bounds = read_jdbc(spark, options, query=quantile_query(source, column, num_partitions)).collect()
+    predicates = range_predicates(column, [r.bound for r in bounds])
+    return read_jdbc_batches(spark, options, f"({source}) AS src", predicates, fetch_size)

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableqa.functions.names import col_of
@@ -39,21 +40,28 @@ def first_rows(df: DataFrame, n: int = 100, order_by: str | list[str] | None = N
 
 
 def column_metadata(
-    spark: SparkSession, tables: dict[str, DataFrame], catalog: str = "spark_catalog", schema: str = "default"
+    spark: SparkSession, tables: dict[str, DataFrame], catalog: str = "spark_catalog", schema: str = "default",
+    data_types: bool = False,
 ) -> DataFrame:
-    """Column catalog of named DataFrames, read from their schemas."""
+    """Column catalog of named DataFrames, read from their schemas, with the types of the columns if wanted."""
     rows = [
-        (catalog, schema, table, name, position)
+        (catalog, schema, table, name, position, kind)
         for table, df in tables.items()
-        for position, name in enumerate(df.columns, start=1)
+        for position, (name, kind) in enumerate(df.dtypes, start=1)
     ]
-    return spark.createDataFrame(rows, COLUMN_CATALOG)
+    typed = spark.createDataFrame(rows, T.StructType([*COLUMN_CATALOG, T.StructField("data_type", T.StringType())]))
+    return typed if data_types else typed.select(*COLUMN_CATALOG.names)
+
+
+def column_types(catalog: DataFrame, table: str) -> dict[str, str]:
+    """Types of one table's columns from a catalog that has them, as `cast_unsupported` takes them."""
+    return {r.column_name: r.data_type for r in catalog.where(F.col("table_name") == table).select("column_name", "data_type").collect()}
 
 
 def read_column_catalog(spark: SparkSession, table: str) -> DataFrame:
     """Column catalog kept as a table; the ordinal is taken along where the table has one."""
     df = spark.table(table)
-    return df.select(*[c for c in COLUMN_CATALOG.names if c in df.columns])
+    return df.select(*[c for c in (*COLUMN_CATALOG.names, "data_type") if c in df.columns])
 
 
 def staging_path(spark: SparkSession, name: str) -> str:

@@ -41,6 +41,30 @@ def test_jdbc_texts():
     )
 
 
+def test_changed_rows_are_joined_by_the_server():
+    assert jdbc.change_rows_query("s", "T", "Id", ["Id", "na]me"], 7) == (
+        "SELECT c.[Id], b.[na]]me], c.SYS_CHANGE_VERSION AS sys_change_version, c.SYS_CHANGE_OPERATION AS sys_change_operation "
+        "FROM CHANGETABLE(CHANGES [s].[T], 7) AS c LEFT JOIN [s].[T] AS b ON b.[Id] = c.[Id]"
+    )
+
+
+def test_jdbc_timeouts_and_bounds():
+    options = jdbc.jdbc_options({"url": "u", "login_timeout": 30, "query_timeout": 600})
+    assert options == {"url": "u", "loginTimeout": "30", "queryTimeout": "600"}
+    with pytest.raises(ValueError, match="lower_bound"):
+        jdbc.jdbc_reader(Recorder(), {"url": "u"}, schema="s", table="T", partition_column="k")
+
+
+def test_jdbc_ranges_of_equal_size():
+    assert jdbc.quantile_query("SELECT 1 AS k", "k", 4) == (
+        "SELECT MIN([k]) AS bound FROM (SELECT [k], NTILE(4) OVER (ORDER BY [k]) AS part FROM (SELECT 1 AS k) AS src "
+        "WHERE [k] IS NOT NULL) AS parts GROUP BY part"
+    )
+    assert jdbc.range_predicates("k", [30, 1, 10, 10]) == ["[k] < 10 OR [k] IS NULL", "[k] >= 10 AND [k] < 30", "[k] >= 30"]
+    assert jdbc.range_predicates("k", ["a", "o'b"]) == ["[k] < 'o''b' OR [k] IS NULL", "[k] >= 'o''b'"]
+    assert jdbc.range_predicates("k", [5, 5]) == ["1 = 1"] and jdbc.range_predicates("k", []) == ["1 = 1"]
+
+
 class Recorder:
     """Stands in for a reader and keeps its options."""
 
@@ -101,6 +125,8 @@ def test_sources(spark, tmp_path):
         tables.read_source(spark)
     assert [r.a for r in tables.first_rows(df, 1, "a").collect()] == [1]
     assert [tuple(r) for r in tables.column_metadata(spark, {"t": df}, "c", "s").collect()] == [("c", "s", "t", "a", 1)]
+    typed = tables.column_metadata(spark, {"t": df}, "c", "s", data_types=True)
+    assert tables.column_types(typed, "t") == {"a": "int"}
     staged = tables.stage(df, "t")
     assert sorted(r.a for r in staged.collect()) == [1, 2]
     assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]

@@ -87,6 +87,11 @@ def test_counts_from_footers_equal_counts_of_columns(spark, people, tmp_path):
         metrics.observed_metrics(df, needed, per_file=True, footers_of=path)
 
 
+def test_other_footer_errors_are_not_hidden(spark, people, tmp_path):
+    with pytest.raises(Exception, match="(?i)path"):
+        metrics.observed_metrics(people, NeededChecks(True), footers_of=f"{tmp_path}/nowhere").count()
+
+
 def results(spark, rows):
     return spark.createDataFrame(rows, "query_id bigint, check_type string, status string, value string")
 
