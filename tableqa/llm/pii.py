@@ -133,11 +133,10 @@ def disclosures(docs: DataFrame, near: DataFrame, text: str, threshold: float, s
     pairs = near.groupBy("entity", "term").agg(F.count_distinct("around").alias("n_te")).where(F.col("n_te") >= support)
     pairs = common.cut(pairs)
     entities = near.groupBy("entity").agg(F.count_distinct("around").alias("n_e"))
-    terms = pairs.select("term").distinct()
     total = docs.count()
     words = F.transform(F.regexp_extract_all(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(_WORD), F.lit(0)), lambda w: F.lower(w))
-    held = docs.select(F.explode(F.array_distinct(words)).alias("term")).join(common.small(terms), "term", "left_semi")
-    counts = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    # counted for all words, partly before the shuffle; only then do the candidates take their counts
+    counts = docs.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n = F.lit(float(total))
     pmi = F.log2(F.col("n_te") * n / (F.col("n_t") * F.col("n_e")))
     share = F.when(F.col("n_e") < n, pmi / F.log2(n / F.col("n_e"))).otherwise(F.lit(0.0))
