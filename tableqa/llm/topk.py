@@ -1,9 +1,10 @@
 """Exact top-k inner products by the threshold algorithm over sorted lists, one list for each dimension.
 
 Candidates are dealt into blocks. A block keeps its vectors and, for every dimension, their order by that component.
-A query walks each list from the end that its own component favours, scores the vectors it meets in full, and stops as
-soon as the best possible sum of the unseen rest is below its k-th result. Before that, every query gets a lower bound
-for its k-th result from one block, so that the other blocks stop early; bounds never change a result.
+The lists are walked from both ends, so that the queries of a group share what they meet; vectors are scored in full when
+they are met first, and a query stops as soon as the best possible sum of the unseen rest is below its k-th result.
+Before that, every query gets a lower bound for its k-th result from one block, so that the other blocks stop early;
+bounds never change a result.
 
 Queries travel in groups and candidates in blocks, so a task holds one of each, whatever the number of either. Equal
 vectors are one candidate with its k + 1 smallest ids (more cannot enter a result, as ties go to smaller ids).
@@ -27,7 +28,7 @@ from tableqa.llm import common
 SCALE = 64
 BLOCK = 8192  # candidates of a block
 GROUP = 1024  # queries of a group
-STEP = 16  # list entries taken at a time
+STEP = 512  # vectors scored between two looks at the bounds
 
 
 def usable(vector: str) -> Column:
@@ -45,60 +46,66 @@ def integer_vectors(df: DataFrame, key: str, vector: str, scale: int = SCALE) ->
     )
 
 
-def threshold_search(query: np.ndarray, block: np.ndarray, order: np.ndarray, need: int, floor: int) -> np.ndarray:
-    """Positions in `block` of all vectors that can be among the best `need` for `query`.
+def exact_type(queries: np.ndarray, block: np.ndarray) -> type:
+    """A float type in which all sums of products of these whole numbers are exact, or else int64."""
+    most = int(np.abs(block).max(initial=0)) * int(np.abs(queries).max(initial=0)) * block.shape[1]
+    return np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
 
-    order: dimensions x vectors, positions by falling component. floor: a score that at least `need` vectors reach
-    somewhere, so only scores of at least `floor` matter.
+
+def threshold_search(queries: np.ndarray, block: np.ndarray, need: int, floors: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Positions (query, vector) and scores of all vectors of `block` that can be among the best `need` of a query.
+
+    All lists are walked from both ends at once, so the vectors that have been met down to a depth are the same for
+    every query: those with a component of at most that rank from either end. They are taken in that order, some
+    hundred at a time, and scored for all queries that still run. No component of a vector not yet met lies outside the
+    list entries at the depth, so a query's best possible rest is the sum of its better products with these. It stops
+    when that is below its bound, the `need`-th score so far or its floor. floors: scores that `need` vectors reach
+    somewhere, so that lower ones do not matter.
     """
-    n = block.shape[0]
-    seen, positions, scores = np.zeros(n, dtype=bool), [], np.empty(0, dtype=np.int64)
-    active = np.flatnonzero(query)
-    active = active[np.argsort(-np.abs(query[active]), kind="stable")]
-    depth = 0
-    while depth < n:
-        upto = min(n, depth + STEP)
-        ahead = query[active] > 0
-        taken = np.concatenate([
-            order[active[ahead], depth:upto].ravel(), order[active[~ahead], n - upto : n - depth].ravel(),
-        ]) if len(active) else np.arange(n)
-        new = np.unique(taken[~seen[taken]])
-        seen[new] = True
-        positions.append(new)
-        scores = np.concatenate([scores, block[new] @ query])
-        depth = upto if len(active) else n
-        if depth < n:
-            edge = np.where(ahead, block[order[active, depth - 1], active], block[order[active, n - depth], active])
-            best_unseen = int(edge @ query[active])
-            bound = floor
-            if len(scores) >= need:
-                bound = max(bound, int(np.partition(scores, len(scores) - need)[len(scores) - need]))
-            if best_unseen < bound:
-                break
-    found = np.concatenate(positions) if positions else np.empty(0, dtype=np.int64)
-    if len(scores) >= need:
-        floor = max(floor, int(np.partition(scores, len(scores) - need)[len(scores) - need]))
-    return found[scores >= floor]
+    kind = exact_type(queries, block)
+    n = len(block)
+    ranks = np.argsort(np.argsort(block, axis=0, kind="stable"), axis=0, kind="stable")
+    depth = np.minimum(ranks, n - 1 - ranks).min(axis=1)
+    order = np.argsort(depth, kind="stable")
+    lists, met, q = np.sort(block, axis=0), block[order].astype(kind), queries.astype(kind)
+    running, bounds = np.arange(len(q)), floors.astype(np.int64).copy()
+    best = np.full((need, len(q)), np.iinfo(np.int64).min, dtype=np.int64)
+    found = []
+    for at in range(0, n, STEP):
+        scores = (met[at : at + STEP] @ q[running].T).astype(np.int64)
+        row, col = np.nonzero(scores >= bounds[running])
+        found.append((running[col], order[at + row], scores[row, col]))
+        kept = np.concatenate([best[:, running], scores])
+        best[:, running] = np.partition(kept, len(kept) - need, axis=0)[len(kept) - need :]
+        bounds[running] = np.maximum(bounds[running], best[:, running].min(axis=0))
+        if at + STEP >= n:
+            break
+        t = depth[order[at + STEP]]
+        of = queries[running]
+        rest = np.where(of > 0, of * lists[n - 1 - t], of * lists[t]).sum(axis=1)
+        running = running[rest >= bounds[running]]
+        if not len(running):
+            break
+    of, position, score = (np.concatenate(x) for x in zip(*found))
+    good = score >= bounds[of]
+    return of[good], position[good], score[good]
 
 
 def search_block(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
     """Rows (query_id, vec_id, score) that hold the k best of this block for each query."""
-    out = {"query_id": [], "vec_id": [], "score": []}
-    if len(queries) and len(candidates):
-        block = np.array(candidates["v"].tolist(), dtype=np.int64)
-        order = np.argsort(-block, axis=0, kind="stable").T.copy()
-        ids = candidates["ids"].tolist()
-        for query_id, v, floor in zip(queries["query_id"], queries["q"], queries["floor"]):
-            q = np.array(v, dtype=np.int64)
-            # one more than k, as the query's own vector may be among them
-            near = threshold_search(q, block, order, k + 1, floor)
-            best = sorted(
-                (-int(s), int(i)) for p, s in zip(near, block[near] @ q) for i in ids[p] if i != query_id
-            )[:k]
-            out["query_id"] += [query_id] * len(best)
-            out["vec_id"] += [i for _, i in best]
-            out["score"] += [-s for s, _ in best]
-    return pd.DataFrame(out).astype("int64")
+    if not len(queries) or not len(candidates):
+        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+    asked, block = (np.array(x.tolist(), dtype=np.int64) for x in (queries["q"], candidates["v"]))
+    # one more than k, as the query's own vector may be among them
+    of, position, score = threshold_search(asked, block, k + 1, queries["floor"].to_numpy())
+    ids = candidates["ids"].to_numpy()
+    lengths = np.array([len(i) for i in ids])[position]
+    rows = pd.DataFrame({
+        "query_id": np.repeat(queries["query_id"].to_numpy()[of], lengths),
+        "vec_id": np.concatenate([ids[p] for p in position]) if len(position) else [], "score": np.repeat(score, lengths),
+    }).astype("int64")
+    rows = rows[rows["query_id"] != rows["vec_id"]].sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+    return rows.groupby("query_id").head(k)
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int, block: int = BLOCK, group: int = GROUP) -> DataFrame:
