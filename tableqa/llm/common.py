@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows a table may have to be broadcast by an operator. Larger tables are joined by shuffles.
+# What a table may measure to be broadcast by an operator. Larger tables are joined by shuffles.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20  # of its rows as JSON
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -51,9 +52,11 @@ def fold(key: str | Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks `df` for broadcast if it was counted to have few rows, else leaves the join to the optimizer."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Marks `df` for broadcast if its rows and their size were measured to be few, else leaves the join to the optimizer."""
+    columns = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(columns)).cast("long")), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and total <= size else df
 
 
 # Everything of ASCII but letters and digits.
