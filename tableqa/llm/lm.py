@@ -169,13 +169,14 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", kept:
     totals = {"N": sums[0] or 0, "kept": sums[1] or 0, "V": sums[2] or 0}
     begins = texts.agg(F.count_if(F.expr("kept OR held")), F.count_if("kept")).first()
     # the unigram level: exact held-out counts by kept count
-    levels = words.groupBy("kept").agg(F.sum(F.col("train") - F.col("kept")).alias("n")).where("n > 0").toPandas()
-    low_ratio = levels["kept"].to_numpy() / max(1, totals["kept"]) * (totals["V"] + 1)
-    totals["m"] = fit_weight(low_ratio, levels["n"].to_numpy(dtype=float))
+    levels = words.groupBy("kept").agg(F.sum(F.col("train") - F.col("kept")).alias("n")).where("n > 0")
+    levels = _columns(levels, "kept", "n")  # as many rows as different counts
+    low_ratio = levels["kept"] / max(1, totals["kept"]) * (totals["V"] + 1)
+    totals["m"] = fit_weight(low_ratio, levels["n"].astype(float))
     totals["begin"], totals["begin_kept"] = begins
-    top = words.orderBy(F.desc("train"), "plain").limit(head).toPandas()
+    top = _columns(_frequent(words, head), "plain", "train", "kept")
     known = spark.sparkContext.broadcast(Head(
-        top["plain"].to_numpy().view(np.uint64), top["train"].to_numpy(), top["kept"].to_numpy(), totals,
+        top["plain"].view(np.uint64), top["train"], top["kept"], totals,
     ))
     buckets = max(1, -(-totals["N"] // BUCKET))
 
@@ -214,6 +215,21 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", kept:
     ).drop("copy")
 
 
+def _columns(df: DataFrame, *names: str) -> dict[str, np.ndarray]:
+    """Whole columns of a table of bounded size, through Arrow."""
+    table = df.select(*names).toArrow()
+    return {n: table[n].to_numpy() for n in names}
+
+
+def _frequent(words: DataFrame, head: int) -> DataFrame:
+    """Words whose count is reached by no more than `head` words: all above a count, none at random."""
+    counts = _columns(words.groupBy("train").agg(F.count(F.lit(1)).alias("n")), "train", "n")
+    order = np.argsort(-counts["train"])
+    upto = np.searchsorted(np.cumsum(counts["n"][order]), head, side="right")
+    least = counts["train"][order][upto - 1] if upto else None
+    return words.where(F.lit(False) if least is None else F.col("train") >= int(least))
+
+
 def _rare_rows(texts: DataFrame, known, words: DataFrame) -> DataFrame:
     """Bigrams with a word outside the head, with all counts: key, k2, n, n_held, c1, c1k, c2, c, ck, low, low_kept."""
 
@@ -320,7 +336,7 @@ def _head_statistics(texts: DataFrame, known, buckets: int) -> tuple[pd.DataFram
 
 
 def _head_scores(texts: DataFrame, known, buckets: int, weights: np.ndarray, hot: dict[int, int]) -> DataFrame:
-    """Sums over bigrams of head words: key, doc_id, copies, n_tokens, known, base, score (several rows for each key)."""
+    """Sums over bigrams of head words, key, doc_id, copies, n_tokens, known, base, score (several rows for each key)."""
     hot_codes = np.array(sorted(hot), dtype=np.int64)
     hot_counts = np.array([hot[c] for c in sorted(hot)], dtype=np.int64)
 
