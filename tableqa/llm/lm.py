@@ -32,7 +32,7 @@ from tableqa.llm import common
 
 HEAD = 1 << 20
 BATCH = 1 << 20  # tokens of a batch of texts
-BUCKET = 1 << 22  # tokens of a bucket
+BUCKET = 1 << 21  # tokens of a bucket
 HOT_SHARE = 16  # a bigram with more than 1 / HOT_SHARE of a bucket's tokens is hot
 CLASSES = 40  # of context frequencies, by power of two; the first is for contexts that training lacks
 STEP = 0.01  # of the logarithm of a ratio
@@ -336,7 +336,7 @@ def _head_statistics(texts: DataFrame, known, buckets: int) -> tuple[pd.DataFram
 
 
 def _head_scores(texts: DataFrame, known, buckets: int, weights: np.ndarray, hot: dict[int, int]) -> DataFrame:
-    """Sums over bigrams of head words, key, doc_id, copies, n_tokens, known, base, score (several rows for each key)."""
+    """Sums over bigrams of head words, a row for each text: key, doc_id, copies, n_tokens, known, base, score."""
     hot_codes = np.array(sorted(hot), dtype=np.int64)
     hot_counts = np.array([hot[c] for c in sorted(hot)], dtype=np.int64)
 
@@ -384,7 +384,7 @@ def _head_scores(texts: DataFrame, known, buckets: int, weights: np.ndarray, hot
         own = frame[frame["data"].isna()].drop(columns=["bucket", "data", "names"]).assign(copies=1)
         frame = frame[frame["data"].notna()]
         if not len(frame):
-            return own[order_out]
+            return grouped(own)
         parts = [unsqueeze(d, 2) for d in frame["data"]]
         names = [unsqueeze(d, 1)[0] for d in frame["names"]]
         keys, spots = np.unique(np.concatenate(names), return_inverse=True)
@@ -397,12 +397,35 @@ def _head_scores(texts: DataFrame, known, buckets: int, weights: np.ndarray, hot
             "key": keys, "doc_id": 0, "named": False, "n_tokens": 0, "known": 0, "base": 0.0, "copies": 0,
             "score": np.bincount(docs, weights=value[back], minlength=len(keys)),
         })
-        return pd.concat([own, inner])[order_out]
+        return grouped(pd.concat([own, inner]))
+
+    def grouped(rows: pd.DataFrame) -> pd.DataFrame:
+        """Sums of a bucket, packed for each group of texts: as many packets as groups, however many texts."""
+        out = [
+            (group, squeeze(*[part[c].to_numpy(np.int64) for c in order_out[:6]], *[part[c].to_numpy(np.float64).view("<i8") for c in order_out[6:]]))
+            for group, part in rows.groupby(rows["key"] % buckets)
+        ]
+        return pd.DataFrame(out, columns=["group", "data"])
+
+    def add_up(frame: pd.DataFrame) -> pd.DataFrame:
+        """Sums of the texts of a group over all buckets."""
+        parts = [unsqueeze(d, len(order_out)) for d in frame["data"]]
+        whole = {c: np.concatenate([p[i] for p in parts]) for i, c in enumerate(order_out)}
+        keys, spots = np.unique(whole["key"], return_inverse=True)
+        out = {"key": keys, "doc_id": np.zeros(len(keys), np.int64), "named": np.zeros(len(keys), bool)}
+        named = whole["named"] > 0
+        out["doc_id"][spots[named]], out["named"][spots[named]] = whole["doc_id"][named], True
+        for c in order_out[3:6]:
+            out[c] = np.bincount(spots, weights=whole[c], minlength=len(keys)).astype(np.int64)
+        for c in order_out[6:]:
+            out[c] = np.bincount(spots, weights=whole[c].view(np.float64), minlength=len(keys))
+        return pd.DataFrame(out)[order_out]
 
     columns = ["bucket", "data", "names", "key", "doc_id", "named", "n_tokens", "known", "base", "score"]
     order_out = ["key", "doc_id", "named", "copies", "n_tokens", "known", "base", "score"]
     sums = "key long, doc_id long, named boolean, {}n_tokens long, known long, base double, score double"
     sent = texts.mapInPandas(emit, "bucket long, data binary, names binary, " + sums.format(""))
     # packets and the sums of the texts themselves go through one shuffle
-    scored = sent.groupBy("bucket").applyInPandas(score_bucket, sums.format("copies long, "))
+    packed = sent.groupBy("bucket").applyInPandas(score_bucket, "group long, data binary")
+    scored = packed.groupBy("group").applyInPandas(add_up, sums.format("copies long, "))
     return scored.withColumn("doc_id", F.when(F.col("named"), F.col("doc_id"))).drop("named")
