@@ -19,13 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
 MARK = "▁"
-TABLE_ROWS = 1 << 19
+TABLE_ROWS = 1 << 18
+SLICE = 128  # texts whose results leave a task together
 _WORDS = re.compile(r" +[^ ]*")
 _MODELS: dict[str, "Pieces"] = {}
 
@@ -102,22 +105,29 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep_ids: bool
     """
     model = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
 
-    kinds = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary, decoded string" if keep_ids else "")
+    made = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
+    made += [("ids", T.BinaryType()), ("decoded", T.StringType())] if keep_ids else []
+    names = {n for n, _ in made}
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names or c == text])
+    place, kept = rows.columns.index(text), [i for i, c in enumerate(rows.columns) if c not in names]
+    schema = T.StructType([rows.schema[i] for i in kept] + [T.StructField(n, k) for n, k in made])
 
-    @F.pandas_udf(kinds)
-    def segment(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = opened(model_path, model.value)
-        for part in parts:
-            rows = []
-            for body in part:
-                ids, back = pieces.encode(body or "")
-                row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
-                rows.append(row + ((ids, back) if keep_ids else ()))
-            yield pd.DataFrame(rows, columns=[kind.split()[0] for kind in kinds.split(", ")])
-
-    made = {kind.split()[0] for kind in kinds.split(", ")}
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in made and c != "_pieces"]
-    return docs.select(*kept, segment(F.col(f"`{text}`")).alias("_pieces")).select(*kept, "_pieces.*")
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):  # results leave in small parts, so a batch is never held twice
+                part = batch.slice(at, SLICE)
+                found = [pieces.encode(body or "") for body in part.column(place).to_pylist()]
+                columns = [
+                    pa.array([len(ids) // 4 for ids, _ in found], pa.int64()),
+                    pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in found], pa.string()),
+                    pa.array([hashlib.sha256(back.encode()).hexdigest() for _, back in found], pa.string()),
+                ]
+                if keep_ids:
+                    columns += [pa.array([ids for ids, _ in found], pa.binary()), pa.array([back for _, back in found], pa.string())]
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], *columns], names=schema.names)
+
+    return rows.mapInArrow(segment, schema)
 
 
 def decode(rows: DataFrame, model_path: str, ids: str = "ids", output: str = "decoded") -> DataFrame:
