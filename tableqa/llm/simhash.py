@@ -163,85 +163,121 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 # ---------------------------------------------------------------------------------------------------------------
-# Near-duplicates by similarity: wider fingerprints, several segments
+# Near-duplicates by similarity: wider fingerprints find candidates, exact similarity decides
 # ---------------------------------------------------------------------------------------------------------------
 
+BITS = 512
+
 
 def bit_difference(similarity: float) -> float:
     """Expected share of differing bits of two texts of that Jaccard similarity: the angle of their shingle vectors."""
     return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def segment_plan(distinct: int, similarity: float, recall: float = 0.96) -> tuple[int, int]:
+def filter_radius(similarity: float, bits: int = BITS) -> int:
+    """Most bits in which candidates may differ: the mean at `similarity` plus three standard deviations."""
+    p = bit_difference(similarity)
+    return int(p * bits + 3 * (p * (1 - p) * bits) ** 0.5)
+
+
+def segment_plan(distinct: int, similarity: float, recall: float = 0.99, bits: int = BITS) -> tuple[int, int]:
     """Width of a segment and number of segments for so many fingerprints.
 
-    A segment's value has about 1 in 64 as many unrelated fingerprints as there are points in its ball. Two texts of
-    just `similarity` come within two bits of each other in one of the segments with probability `recall`, more similar
-    ones more often.
+    A segment is a random choice of `width` of the bits; its value is shared with less than one unrelated fingerprint on
+    average. Two texts of just `similarity` differ in d bits, binomially; they pass the filter and agree in one of the
+    segments, that is become candidates, with probability `recall` over both; more similar ones do so more often.
     """
-    width = min(31, max(12, (max(2, distinct) - 1).bit_length() + 6))
-    p = bit_difference(similarity)
-    close = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(3))
-    return width, max(1, math.ceil(math.log(1 - recall) / math.log(1 - close)))
+    width = min(31, max(12, (max(2, distinct) - 1).bit_length() + 2))
+    p, radius = bit_difference(similarity), filter_radius(similarity, bits)
+    share = np.array([math.comb(bits, d) * p**d * (1 - p) ** (bits - d) for d in range(radius + 1)])
+    apart = np.array([1 - math.comb(bits - d, width) / math.comb(bits, width) for d in range(radius + 1)])
+    segments = 1
+    while segments < 4096 and float((share * (1 - apart**segments)).sum()) < recall:
+        segments += 1
+    return width, segments
 
 
-def wide_fingerprint(text: str | None, words: int, longs: int) -> list[int]:
-    """As `fingerprint`, with 64 bits for each of `longs` remixed hashes of a shingle."""
-    found = (text or "").encode("utf-8", "replace").lower().split()
-    if not found:
-        return [0] * longs
-    n, digest = max(1, len(found) - words + 1), xxhash.xxh64_intdigest
-    ones = np.zeros((longs, 64), dtype=np.int64)
-    for at in range(0, n, PIECE):
-        hashes = np.array([digest(b" ".join(found[i : i + words]), SEED) for i in range(at, min(n, at + PIECE))], dtype=np.uint64)
-        for j in range(longs):
-            mixed = (hashes ^ (hashes >> np.uint64(29 + j % 5))) * np.uint64((0x9E3779B97F4A7C15 + 2 * j * 0x632BE59BD9B4E019) % 2**64 | 1)
-            bits = np.unpackbits((mixed ^ (mixed >> np.uint64(32))).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            for part in range(0, len(bits), 255):
-                ones[j] += bits[part : part + 255].sum(axis=0, dtype=np.uint8)
-    return np.packbits(ones * 2 > n, axis=1).view(">i8").ravel().tolist()
+def _shingle_hashes(found: list[bytes], words: int, first: int, last: int) -> np.ndarray:
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(b" ".join(found[i : i + words]), SEED) for i in range(first, last)], dtype=np.uint64)
+
+
+def _split(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def _cut_bits(longs: list[Column], first: int, width: int) -> Column:
-    """Bits first to first + width of a fingerprint of several longs, as an int."""
-    at, shift = divmod(first, 64)
-    low = F.shiftrightunsigned(longs[at], shift)
-    if shift + width > 64:
-        low = low.bitwiseOR(F.shiftleft(longs[at + 1], 64 - shift))
-    return low.bitwiseAND(F.lit((1 << width) - 1)).cast("int")
+def wide_bits(found: list[bytes], words: int, bits: int = BITS) -> np.ndarray:
+    """As `fingerprint`, with 64 bits for each of several remixed hashes of a shingle; one byte for each bit."""
+    ones, n = np.zeros(bits, dtype=np.int64), max(1, len(found) - words + 1)
+    j = np.arange(bits // 64, dtype=np.uint64)
+    turns, odd = np.uint64(29) + j % np.uint64(5), (np.uint64(0x9E3779B97F4A7C15) + j * np.uint64(0xC6A4A7935BD1E995 - 1)) | np.uint64(1)
+    for at in range(0, n if found else 0, 255):  # sums of so many bits fit a byte
+        hashes = _shingle_hashes(found, words, at, min(n, at + 255))[:, None]
+        mixed = (hashes ^ (hashes >> turns)) * odd
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
+        packed = np.ascontiguousarray(mixed ^ (mixed >> np.uint64(29))).view(np.uint8)
+        ones += np.unpackbits(packed, axis=1).sum(axis=0, dtype=np.uint8)
+    return (ones * 2 > n).astype(np.uint8)
+
+
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The multiset of a text's shingles as a set: hashes mixed with the number of equal ones before; none without words."""
+    found = _split(text)
+    hashes = np.sort(_shingle_hashes(found, words, 0, max(1, len(found) - words + 1) if found else 0))
+    first = np.concatenate([[True], hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, dtype=bool)
+    at = np.arange(len(hashes))
+    before = (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
+    return (hashes + before * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
 def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8,
-                    recall: float = 0.96) -> DataFrame:
-    """key, mark (hash of the text), class: classes of texts whose word shingles are about `similarity` or more alike.
-
-    Fingerprints have as many bits as `segment_plan` asks for. Every distinct one is entered under all values within a
-    bit of each of its segments, so two of them meet where a segment differs in two bits at most. Where up to four meet,
-    all pairs are taken. Where more meet, each is paired with the smallest and with its two neighbours in order; when
-    these have been joined to classes, those that are still apart from the smallest one's class are compared with all
-    that they met, so no pair is left out and a dense group costs no pairs within a class. A pair counts if its
-    complete distance is at most the one expected at `similarity` plus one standard deviation.
+                    recall: float = 0.99) -> DataFrame:
+    """key, mark (hash of the text), class: classes of texts whose word shingles are `similarity` or more alike.
+
+    Two texts link if the exact weighted similarity of their shingles (sum of the smaller by sum of the larger
+    multiplicities) is at least `similarity`. Fingerprints of BITS bits only find candidates: texts that agree in one of
+    the segments of `segment_plan` and differ in at most `filter_radius` bits; a pair of just `similarity` is found with
+    probability `recall`. Texts of the same words are one unit.
+
+    In a segment, each text is paired with the smallest and with its two neighbours in order, which is all pairs where up
+    to four meet. Of these, each text's nearest is verified first. When such links have been joined to classes, pairs
+    inside a class need no check; where more than four meet, those that are apart from the smallest one's class are
+    compared with all that they met. So no candidate is left out and a dense group costs no pairs within a class.
     """
     body = F.col(f"`{text}`")
-    exact = common.cut(docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("mark")).groupBy("key", "mark").agg(F.count(F.lit(1)).alias("n")))
-    width, segments = segment_plan(exact.select("mark").distinct().count(), similarity, recall)
-    count = -(-width * segments // 64)
-    bits, p = 64 * count, bit_difference(similarity)
-    radius = int(p * bits + (p * (1 - p) * bits) ** 0.5)
+    mark = F.xxhash64(F.coalesce(body, F.lit("")))
+    width, segments = segment_plan(docs.select(mark.alias("mark")).distinct().count(), similarity, recall)
+    radius, draw = filter_radius(similarity), np.random.default_rng(SEED)
+    places = np.array([draw.choice(BITS, width, replace=False) for _ in range(segments)])
+
+    @F.pandas_udf("unit long, n long, fp array<long>, keys array<int>")
+    def wide(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        weights = 1 << np.arange(width, dtype=np.int64)
+        for part in parts:
+            out = []
+            for t in part:
+                found = _split(t)
+                bits = wide_bits(found, words)
+                out.append((
+                    np.uint64(xxhash.xxh64_intdigest(b" ".join(found), SEED)).astype(np.int64), max(1, len(found) - words + 1),
+                    np.packbits(bits).view(np.int64), (bits[places] @ weights).astype(np.int32),
+                ))
+            yield pd.DataFrame(out, columns=["unit", "n", "fp", "keys"])
 
     @F.pandas_udf("array<long>")
-    def wide(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def shingles(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([wide_fingerprint(t, words, count) for t in part])
-
-    marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("mark"), wide(body).alias("fp")))
-    texts = marked.groupBy("fp").agg(F.min("mark").alias("id"))  # one id for each fingerprint
-    texts = common.cut(texts)
-    longs = [F.get("fp", F.lit(i)) for i in range(count)]
-    flips = F.array(F.lit(0), *[F.lit(1 << i) for i in range(width)])
-    entries = texts.select("id", F.posexplode(F.array(*[_cut_bits(longs, width * i, width) for i in range(segments)])).alias("s", "value")).select(
-        "id", F.col("s").cast("byte").alias("s"), F.explode(F.transform(flips, lambda f: F.col("value").bitwiseXOR(f))).alias("value"),
-    )
+            yield pd.Series([shingle_set(t, words) for t in part], dtype=object)
+
+    @F.pandas_udf("double")
+    def shared_part(a: pd.Series, b: pd.Series) -> pd.Series:
+        both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b)], dtype=float)
+        total = a.map(len).to_numpy(dtype=float) + b.map(len).to_numpy(dtype=float) - both
+        return pd.Series(both / np.maximum(total, 1))
+
+    marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), mark.alias("mark"), wide(body).alias("w")).select("key", "mark", "w.*"))
+    texts = common.cut(marked.select(F.col("unit").alias("id"), "mark", "n", "fp", "keys").dropDuplicates(["id"]))
+    entries = texts.select("id", F.posexplode("keys").alias("s", "value"))
     meeting, there = Window.partitionBy("s", "value"), Window.partitionBy("s", "value").orderBy("id")
     met = entries.select(
         "s", "value", "id", F.min("id").over(meeting).alias("hub"), F.count(F.lit(1)).over(meeting).alias("n"),
@@ -251,33 +287,47 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     met = common.cut(met.select(
         "id", F.array_distinct(F.filter(F.array("hub", "one", "two"), lambda x: x.isNotNull() & (x != F.col("id")))).alias("others"),
         F.when(crowded, F.struct("s", "value", "hub")).alias("crowd"),
-    ).where("size(others) > 0 OR crowd IS NOT NULL").dropDuplicates(["id", "others", "crowd"]))
-
-    def close(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) within the radius; fingerprints are joined by id."""
-        left, right = texts.select(F.col("id").alias("a"), F.col("fp").alias("fa")), texts.select(F.col("id").alias("b"), F.col("fp").alias("fb"))
-        apart = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        return pairs.distinct().join(left, "a").join(right, "b").where(apart <= radius).select("a", "b")
+    ).where("size(others) > 0 OR crowd IS NOT NULL"))
+    distance = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    possible = (distance <= radius) & (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(similarity - 1e-9))
+    left = texts.select(F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("n").alias("na"))
+    right = texts.select(F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("n").alias("nb"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) of the exact similarity; only texts of candidates are read again."""
+        held = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        wanted = texts.select("id", F.col("mark").alias("of")).join(held, "id", "left_semi")
+        bodies = docs.select(mark.alias("mark"), F.coalesce(body, F.lit("")).alias("body")).join(common.small(wanted), F.col("mark") == F.col("of"))
+        sets = common.cut(bodies.select("id", "body").dropDuplicates(["id"]).select("id", shingles("body").alias("set")))
+        compared = (
+            pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
+            .join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+            .select("a", "b", shared_part("sa", "sb").alias("similarity"))
+        )
+        return compared.where(F.col("similarity") >= similarity).select("a", "b")
 
-    links = common.cut(close(met.select(F.col("id").alias("a"), F.explode("others").alias("b"))))
+    candidates = met.select(F.col("id").alias("a"), F.explode("others").alias("b")).distinct()
+    near = common.cut(candidates.join(left, "a").join(right, "b").where(possible).select("a", "b", distance.alias("d")))
+    nearest = common.cut(near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
+    links = common.cut(verified(nearest))
     roots = common.cut(components(links))
 
     def root_of(rows: DataFrame, column: str) -> DataFrame:
         named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
         return rows.join(named, F.col(column) == F.col("_node"), "left").withColumn(f"{column}_root", F.coalesce("_root", column)).drop("_node", "_root")
 
+    more = root_of(root_of(near.select("a", "b").join(nearest, ["a", "b"], "left_anti"), "a"), "b").where("a_root <> b_root").select("a", "b")
     crowds = common.cut(root_of(root_of(met.where("crowd IS NOT NULL").select("id", "crowd.*"), "id"), "hub"))
     apart = crowds.where("id_root <> hub_root").select("s", "value", F.col("id").alias("a"), F.col("id_root").alias("a_root"))
-    fps = texts.select(F.col("id").alias("of"), "fp")
-    distance = F.aggregate(F.zip_with("fp", "other_fp", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     rest = (
-        apart.join(fps, F.col("a") == F.col("of")).drop("of")
-        .join(crowds.join(fps, F.col("id") == F.col("of")).select("s", "value", F.col("id").alias("b"), F.col("id_root").alias("b_root"), F.col("fp").alias("other_fp")), ["s", "value"])
-        .where((F.col("a_root") != F.col("b_root")) & (distance <= radius)).select("a", "b").distinct()
+        apart.join(left, "a")
+        .join(crowds.select("s", "value", F.col("id").alias("b"), F.col("id_root").alias("b_root")).join(right, "b"), ["s", "value"])
+        .where((F.col("a_root") != F.col("b_root")) & possible).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    )
+    final = components(links.union(verified(common.cut(more.union(rest).distinct()))))
+    return marked.join(common.small(final), F.col("unit") == F.col("node"), "left").select(
+        F.col("key").alias(key), "mark", F.coalesce("root", "unit").alias("class")
     )
-    final = components(links.union(rest))
-    classes = texts.join(final, texts.id == final.node, "left").select(F.col("fp").alias("of"), F.coalesce("root", "id").alias("class"))
-    return marked.join(classes, F.col("fp") == F.col("of")).select(F.col("key").alias(key), "mark", "class")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import pytest
 import xxhash
@@ -101,6 +102,32 @@ def test_similar_texts_are_one_class(spark):
     assert simhash.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_similar_classes_hold_the_threshold(spark):
+    random.seed(8)
+
+    def multiset(text):
+        found = text.lower().split()
+        return Counter(tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4)))
+
+    def alike(a, b):
+        return sum((multiset(a) & multiset(b)).values()) / sum((multiset(a) | multiset(b)).values())
+
+    rows, below, above = [], [], []
+    for g in range(240):
+        base = [f"g{g}w{i}" for i in range(204)]
+        changed = 25 if g % 2 else 22  # words at the end: 175 of 225 shingles alike (0.78), or 178 of 222 (0.80)
+        other = base[: 204 - changed] + [f"g{g}v{i}" for i in range(changed)]
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(other))]
+        (above if alike(rows[-2][1], rows[-1][1]) >= 0.8 else below).append(2 * g)
+    assert len(above) == len(below) == 120
+    # equal fingerprints, since one shingle is over half of each, but different texts
+    rows += [(1000 + i, "same " * 45 + " ".join(f"tail{i}x{k}" for k in range(36))) for i in range(3)]
+    got = {r.doc_id: r["class"] for r in simhash.similar_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(got[i] == got[i + 1] for i in below)
+    assert sum(got[i] == got[i + 1] for i in above) >= 115
+    assert len({got[1000 + i] for i in range(3)}) == 3
+
+
 def test_sharding(spark, documents, texts):
     rows = shards.shard_documents(documents, 24).collect()
     assert len(rows) == len(texts)
