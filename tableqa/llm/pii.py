@@ -1,22 +1,23 @@
 r"""Personal data: patterns with checks, and terms that reveal them by corpus co-occurrence; DataFrame operations only.
 
 Patterns find e-mail addresses, IP addresses, card numbers (Luhn) and phone numbers in whole texts. What they find are
-the protected entities. A word within a few words of an entity is a candidate. Over the whole corpus,
+the protected entities. Every word that stands in a text with an entity is a candidate. Over the whole corpus,
 
     pmi(term, entity) = log2(n_te * N / (n_t * n_e)),    ic(entity) = log2(N / n_e)
 
-with N texts, n_t texts that hold the term, n_e and n_te different surroundings of the entity, all and those with the
-term. pmi / ic is the share of the entity's information that the term gives away. A term is a disclosure where the
-share reaches `threshold` and it stands near the entity in `support` different surroundings or more; one surrounding
-shows nothing, since every rare word of a text would reveal its entities. Copies of a passage are one surrounding.
-Disclosing terms are marked near the entities that they reveal. Found data are generalised to their kind,
-capitalised terms to <NAME>, other terms are removed.
+with N distinct texts, n_t, n_e and n_te of them with the term, the entity and both. pmi / ic is the share of the
+entity's information that the term gives away. A term is a disclosure where the share reaches `threshold` and it stands
+in `support` distinct texts with the entity or more; one text shows nothing, since every rare word of a text would
+reveal its entities. Disclosing terms are marked wherever they stand, also in texts without the entity. Found data are
+generalised to their kind, capitalised terms to <NAME>, other terms are removed.
 
 Edges: null and empty texts hold nothing; a repeated row repeats its result; empty tables give no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +35,10 @@ PATTERNS = {
 KINDS = tuple(PATTERNS)
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 _WORD = r"[\p{L}][\p{L}\p{N}'’-]*"
-REACH = 5  # words on each side of an entity
-CONTEXT = 160  # code points looked at on each side
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches: array of (start, end, value), code points from 0, end exclusive."""
+def matches(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None) -> Column:
+    """Leftmost non-overlapping matches, those that `keep` takes: array of (start, end, value), code points from 0, end exclusive."""
     steps = F.zip_with(
         F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")),
@@ -50,9 +49,10 @@ def matches(text: Column, pattern: str) -> Column:
         begin = done["at"] + x["gap"]
         end = begin + F.length(x["hit"])
         span = F.struct(begin.alias("start"), end.alias("end"), x["hit"].alias("value"))
+        left_out = x["hit"].isNull() if keep is None else x["hit"].isNull() | ~keep(x["hit"])
         return F.struct(
             F.coalesce(end, begin).alias("at"),
-            F.when(x["hit"].isNull(), done["found"]).otherwise(F.concat(done["found"], F.array(span))).alias("found"),
+            F.when(left_out, done["found"]).otherwise(F.concat(done["found"], F.array(span))).alias("found"),
         )
 
     return F.aggregate(steps, start, step)["found"]
@@ -98,61 +98,55 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*kinds))
 
 
-def surroundings(docs: DataFrame, base: DataFrame, key: str, text: str) -> DataFrame:
-    """Words near entities: key, mark, entity, around (hash of the words around), term, start, end."""
-    held = base.where(F.size("spans") > 0).select(F.col("key").alias("of"), F.col("mark").alias("of_mark"), "spans").distinct()
-    body = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), F.col(f"`{text}`").alias("body"))
-    same = F.col("key").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark"))
-    here = body.join(common.small(held), same).select("key", "mark", "body", F.explode("spans").alias("s"))
-    left = F.greatest(F.col("s.start") - CONTEXT, F.lit(0))
-    cuts = here.select(
-        "key", "mark", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"), left.alias("left"), F.col("s.end").alias("right"),
-        F.substring("body", left + 1, F.col("s.start") - left).alias("before"),
-        F.substring("body", F.col("s.end") + 1, F.lit(CONTEXT)).alias("after"),
-    )
-    before = F.filter(matches(F.col("before"), _WORD), lambda w: (w["start"] > 0) | (F.col("left") == 0))
-    after = F.filter(matches(F.col("after"), _WORD), lambda w: w["end"] < CONTEXT)
-
-    def moved(words: Column, by: Column) -> Column:
-        return F.transform(words, lambda w: F.struct((w["start"] + by).alias("start"), (w["end"] + by).alias("end"), w["value"].alias("value")))
-
-    near = F.concat(
-        moved(F.reverse(F.slice(F.reverse(before), 1, REACH)), F.col("left")), moved(F.slice(after, 1, REACH), F.col("right")),
-    )
-    return (
-        cuts.select("key", "mark", "entity", near.alias("near"))
-        .withColumn("around", F.xxhash64(F.transform("near", lambda w: F.lower(w["value"]))))
-        .select("key", "mark", "entity", "around", F.explode("near").alias("w"))
-        .select("key", "mark", "entity", "around", F.lower("w.value").alias("term"), F.col("w.value").alias("value"), F.col("w.start").alias("start"), F.col("w.end").alias("end"))
-        .where(F.length("term") >= 3)
+def terms(text: Column) -> Column:
+    """Distinct lower-cased words outside e-mail addresses; no other pattern holds a letter."""
+    text = F.coalesce(text, F.lit(""))
+    plain = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, PATTERNS["email"], " ")).otherwise(text)
+    return F.array_distinct(F.transform(F.regexp_extract_all(plain, F.lit(_WORD), F.lit(0)), lambda w: F.lower(w)))
+
+
+def disclosures(docs: DataFrame, base: DataFrame, text: str, threshold: float, support: int) -> DataFrame:
+    """(entity, term, share): terms that reveal an entity. All counts are of distinct texts."""
+    entity = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))
+    named = base.select("mark", F.explode(F.array_distinct(entity)).alias("entity")).distinct()
+    sizes = named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= support)
+    held = common.cut(named.join(common.small(sizes), "entity").groupBy("mark").agg(F.collect_list(F.struct("entity", "n_e")).alias("entities")))
+    copies = common.cut(base.groupBy("mark").agg(F.count(F.lit(1)).alias("n"))).where("n > 1").select(F.col("mark").alias("of"), "n")
+    total, largest = base.select("mark").distinct().count(), held.agg(F.max(F.array_max(F.transform("entities", lambda e: e["n_e"])))).first()[0]
+    # each of c copies of a text counts 1/c; sums are rounded to the whole number of distinct texts
+    worded = docs.select(F.xxhash64(F.col(f"`{text}`")).alias("mark"), terms(F.col(f"`{text}`")).alias("terms")).join(
+        common.small(copies), F.col("mark") == F.col("of"), "left"
+    ).select("mark", "terms", (1 / F.coalesce("n", F.lit(1))).alias("weight"))
+    texts = F.round(F.sum("weight")).cast("long")
+    # counted for all words, partly before the shuffle; words too frequent for any entity leave before pairs are made
+    counts = common.cut(worded.select("weight", F.explode("terms").alias("term")).groupBy("term").agg(texts.alias("n_t")).where(F.col("n_t") >= support))
+    most = total ** (1 - threshold) * (largest or 0) ** threshold * (1 + 1e-9)
+    frequent = counts.where(F.col("n_t") > most).select("term")
+    pairs = (
+        worded.join(common.small(held), "mark").select("weight", "entities", F.explode("terms").alias("term"))
+        .join(common.small(frequent), "term", "left_anti").select("weight", "term", F.explode("entities").alias("e"))
+        .groupBy("e.entity", "e.n_e", "term").agg(texts.alias("n_te")).where(F.col("n_te") >= support)
     )
-
-
-def disclosures(docs: DataFrame, near: DataFrame, text: str, threshold: float, support: int) -> DataFrame:
-    """(entity, term, share): terms that reveal an entity. Counts cover all texts of `docs`."""
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("around").alias("n_te")).where(F.col("n_te") >= support)
-    pairs = common.cut(pairs)
-    entities = near.groupBy("entity").agg(F.count_distinct("around").alias("n_e"))
-    total = docs.count()
-    words = F.transform(F.regexp_extract_all(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(_WORD), F.lit(0)), lambda w: F.lower(w))
-    # counted for all words, partly before the shuffle; only then do the candidates take their counts
-    counts = docs.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n = F.lit(float(total))
     pmi = F.log2(F.col("n_te") * n / (F.col("n_t") * F.col("n_e")))
     share = F.when(F.col("n_e") < n, pmi / F.log2(n / F.col("n_e"))).otherwise(F.lit(0.0))
-    return (
-        pairs.join(entities, "entity").join(counts, "term").withColumn("share", share)
-        .where(F.col("share") >= threshold).select("entity", "term", "share")
-    )
+    return pairs.join(counts, "term").withColumn("share", share).where(F.col("share") >= threshold).select("entity", "term", "share")
 
 
 def added_spans(docs: DataFrame, base: DataFrame, key: str, text: str, threshold: float, support: int) -> DataFrame:
-    """key, mark, added: array of (start, order, end, kind, value) of disclosing terms, without those inside base spans."""
-    near = common.cut(surroundings(docs, base, key, text))
-    revealing = disclosures(docs, near, text, threshold, support).select("entity", "term")
-    return near.join(revealing, ["entity", "term"]).groupBy("key", "mark").agg(F.array_sort(F.collect_set(F.struct(
-        "start", F.lit(len(KINDS)).alias("order"), "end", F.lit("term").alias("kind"), "value",
-    ))).alias("added"))
+    """key, mark, added: array of (start, order, end, kind, value) of disclosing terms, wherever they stand in any text."""
+    revealing = common.cut(disclosures(docs, base, text, threshold, support).select("term").distinct())
+    body = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), F.col(f"`{text}`").alias("body"))
+    hits = common.cut(
+        body.select("key", "mark", F.explode(terms(F.col("body"))).alias("term")).join(common.small(revealing), "term")
+        .groupBy("key", "mark").agg(F.collect_set("term").alias("terms"))
+    ).select(F.col("key").alias("of"), F.col("mark").alias("of_mark"), "terms")
+    found = matches(F.col("body"), _WORD, lambda w: F.array_contains(F.col("terms"), F.lower(w)))
+    return body.join(common.small(hits), F.col("key").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark"))).select(
+        "key", "mark", F.transform(found, lambda w: F.struct(
+            w["start"].alias("start"), F.lit(len(KINDS)).alias("order"), w["end"].alias("end"), F.lit("term").alias("kind"), w["value"].alias("value"),
+        )).alias("added"),
+    ).dropDuplicates(["key", "mark"])
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, support: int = 2) -> DataFrame:
