@@ -1,6 +1,6 @@
 """Benchmark decontamination by SimHash of item-sized windows; DataFrame operations only.
 
-A window has as many words as a benchmark item. Windows are taken wherever a text shares a five-word shingle with an
+A window has as many words as a benchmark item; a text of fewer words is one window as a whole. Windows are taken wherever a text shares a five-word shingle with an
 item, so that the shared shingle has the same place in both; a window without one has similarity 0. Windows get a
 64-bit SimHash of their shingles. The fingerprint is cut into seven blocks, and the items are filed under all values
 within two bits of each block: fingerprints that differ in at most 20 bits agree up to two bits in one block at least,
@@ -85,17 +85,22 @@ def item_table(items: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def anchored_windows(docs: DataFrame, items: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """(key, mark, n, start): where a text shares a shingle with an item; one scan, no shuffle of texts."""
+def anchored_windows(docs: DataFrame, items: DataFrame, key: str, text: str, k: int, threshold: float) -> DataFrame:
+    """(key, mark, n, size, start): where a text shares a shingle with an item of n words; one scan, no shuffle of texts.
+
+    A text of fewer words is one window of its own size, if so few can reach `threshold`.
+    """
     places = items.where(F.col("k") == k).select("n", F.posexplode("grams").alias("at", "gram")).distinct()
     hashed = docs.select(
         F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), common.words(text).alias("w"),
     ).select("key", "mark", F.size("w").alias("words"), F.posexplode(common.word_grams(F.col("w"), k)).alias("p", "gram"))
     # a window that would stick out is moved to the begin or end of the text
     start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("at"), F.col("words") - F.col("n")))
+    size = F.least("words", "n")
     return (
-        hashed.join(common.small(places), "gram").where((F.col("words") >= F.col("n")) & (F.col("p") <= F.col("words") - k))
-        .select("key", "mark", "n", start.alias("start")).distinct()
+        hashed.join(common.small(places), "gram")
+        .where((size - k + 1 >= (F.col("n") - k + 1) * F.lit(threshold - 1e-9)) & (F.col("p") <= F.col("words") - k))
+        .select("key", "mark", "n", size.alias("size"), start.alias("start")).distinct()
     )
 
 
@@ -110,8 +115,8 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     ])).alias("f")).select("item", "n", "k", "fp", "f.b", "f.value")
     out = None
     for k in sorted(r[0] for r in known.select("k").distinct().collect()):  # one to five values
-        windows = common.cut(anchored_windows(docs, known, key, text, k))
-        of = windows.select(F.col("key").alias("of"), F.col("mark").alias("of_mark"), F.struct("start", "n").alias("window"))
+        windows = common.cut(anchored_windows(docs, known, key, text, k, threshold))
+        of = windows.select(F.col("key").alias("of"), F.col("mark").alias("of_mark"), F.struct("start", "n", "size").alias("window"))
         listed = of.groupBy("of", "of_mark").agg(F.collect_list("window").alias("windows"))
         named = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), F.col(f"`{text}`").alias("body"))
         same = F.col("key").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark"))
@@ -119,14 +124,14 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
             named.join(common.small(listed), same)
             .select("key", "mark", "windows", common.word_grams(common.words("body"), k).alias("grams"))
             .select("key", "mark", "grams", F.explode("windows").alias("w"))
-            .select("key", "mark", F.col("w.n").alias("n"), F.col("w.start").alias("start"),
-                    F.slice("grams", F.col("w.start") + 1, F.col("w.n") - k + 1).alias("grams"))
+            .select("key", "mark", F.col("w.n").alias("n"), F.col("w.size").alias("size"), F.col("w.start").alias("start"),
+                    F.slice("grams", F.col("w.start") + 1, F.col("w.size") - k + 1).alias("grams"))
             .withColumn("window_fp", simhash(F.col("grams")))
         )
         cutouts = common.cut(cutouts)  # else the optimizer writes the fingerprint out anew for every block
-        blocks = cutouts.select("key", "mark", "n", "start", "window_fp", "grams", F.explode(F.array(*[
+        blocks = cutouts.select("key", "mark", "n", "size", "start", "window_fp", "grams", F.explode(F.array(*[
             F.struct(F.lit(i).alias("b"), _block(F.col("window_fp"), first, width).alias("value")) for i, (first, width) in enumerate(BLOCKS)
-        ])).alias("f")).select("key", "mark", "n", "start", "window_fp", "grams", "f.b", "f.value")
+        ])).alias("f")).select("key", "mark", "n", "size", "start", "window_fp", "grams", "f.b", "f.value")
         distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("window_fp")))
         near = (
             blocks.join(common.small(files.where(F.col("k") == k)), ["n", "b", "value"])
@@ -136,7 +141,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
             .where(F.col("similarity") >= threshold)
         )
         best = near.groupBy("key", "mark", "item").agg(F.max(F.struct(
-            "similarity", (-F.col("start")).alias("before"), (-F.col("distance")).alias("nearer"), F.col("n").alias("words"),
+            "similarity", (-F.col("start")).alias("before"), (-F.col("distance")).alias("nearer"), F.col("size").alias("words"),
         )).alias("best"))
         found = best.select(
             F.col("key").alias(key), F.col("mark").alias("text_hash"), F.col("item").alias(item_key), (-F.col("best.before")).cast("long").alias("start"),

@@ -95,6 +95,23 @@ def test_terms_that_reveal(spark):
     assert pii.find(docs.limit(0)).count() == 0 and pii.sanitise(docs).columns == docs.columns
 
 
+def test_terms_are_counted_and_marked_by_text(spark):
+    far = " ".join(f"filler{i}" for i in range(12))
+    rows = [(i, f"Dear Quibbly of unit {i} {far} write to q@far.org {far} regards Quibbly and 李明 again") for i in range(4)]
+    rows += [(50, "meanwhile Quibbly was seen elsewhere without any address"), (51, "nobody at all")]
+    # the same sentence in different texts, and copies of it
+    rows += [(100 + i, f"contact Vexmoor by v@one.net today {'u' * (i + 1)}") for i in range(5)] + [(200 + i, "contact Vexmoor by v@one.net today u") for i in range(60)]
+    rows += [(1000 + i, f"contact by today dear of unit write to regards and again {far} text number{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [s["value"] for s in r.spans if s["kind"] == "term"] for r in pii.find(docs).collect()}
+    assert all(found[i].count("Quibbly") == 2 and found[i].count("李明") == 1 for i in range(4))
+    assert found[50] == ["Quibbly"] and not found[51]
+    assert all(found[i] == ["Vexmoor"] for i in (*range(100, 105), *range(200, 260)))
+    assert not any(found[i] for i in found if i >= 1000)
+    safe = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert not any("Quibbly" in t or "Vexmoor" in t for t in safe.values())
+
+
 def plain_places(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
     out = []
@@ -140,6 +157,16 @@ def test_leaks(spark, documents):
     assert [(r.doc_id, r.item_id, r.start) for r in decontaminate.leaks(spark.createDataFrame([(5, "here Two, words"), (6, "two")], "doc_id long, text string"), short).collect()] == [(5, 1, 1)]
 
 
+def test_leaks_of_shortened_items(spark):
+    words = [f"item{i}" for i in range(59)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(f"few{i}" for i in range(15)))], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, " ".join(words[:54])), (2, " ".join(words[1:58])), (3, " ".join(words[:40])), (4, " ".join(f"few{i}" for i in range(14))), (5, "few1 few2 few3 few4"),
+    ], "doc_id long, text string")
+    found = sorted((r.doc_id, r.item_id, r.start, r.n_words, round(r.similarity, 4)) for r in decontaminate.leaks(docs, items).collect())
+    assert found == [(1, 1, 0, 54, round(50 / 55, 4)), (2, 1, 0, 57, round(53 / 55, 4)), (4, 2, 0, 14, round(10 / 11, 4))]
+
+
 def test_fingerprints_in_sql_equal_plain_ones(spark):
     df = spark.createDataFrame([([1, -5, 2**62, 77],), ([-1],), ([3, 3],)], "g array<long>")
     for r in df.select("g", decontaminate.simhash(F.col("g")).alias("fp")).collect():
