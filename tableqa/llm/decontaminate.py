@@ -11,7 +11,7 @@ The radius: windows of similarity 0.8 differ in 9.7 of 64 bits on average, with
 about one pair in five thousand at the very threshold and fewer above it.
 
 Items of fewer than five words are one shingle. Edges: null, empty and too short texts leak nothing; items without
-words are ignored; repeated rows of documents or items give repeated results for each item row only; a doc id used by
+words are ignored; every text of a null item id is an item of its own, reported with the null id; repeated rows of documents or items give repeated results for each item row only; a doc id used by
 several texts gives a row for each text that leaks; empty tables give no rows.
 """
 
@@ -73,15 +73,15 @@ def _filed(fp: Column, number: int, first: int, width: int) -> Column:
 
 
 def item_table(items: DataFrame, key: str, text: str) -> DataFrame:
-    """item, n (words), k (words of a shingle), grams, fp, shingles."""
+    """item, id (hash of item and words, never null), n (words), k (words of a shingle), grams, fp, shingles."""
     n = F.size("w")
     shorter = [F.when(n == k, common.word_grams(F.col("w"), k)) for k in range(1, SHINGLE)]
     return (
         items.select(F.col(f"`{key}`").alias("item"), common.words(text).alias("w")).where(n > 0)
-        .select("item", n.alias("n"), F.least(n, F.lit(SHINGLE)).alias("k"),
+        .select("item", F.xxhash64("item", "w").alias("id"), n.alias("n"), F.least(n, F.lit(SHINGLE)).alias("k"),
                 F.coalesce(*shorter, common.word_grams(F.col("w"), SHINGLE)).alias("all"))
-        .select("item", "n", "k", F.slice("all", F.lit(1), F.col("n") - F.col("k") + 1).alias("grams"))
-        .select("item", "n", "k", "grams", simhash(F.col("grams")).alias("fp"), weighted(F.col("grams")).alias("shingles"))
+        .select("item", "id", "n", "k", F.slice("all", F.lit(1), F.col("n") - F.col("k") + 1).alias("grams"))
+        .select("item", "id", "n", "k", "grams", simhash(F.col("grams")).alias("fp"), weighted(F.col("grams")).alias("shingles"))
     )
 
 
@@ -110,9 +110,9 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     if not 0 <= radius < 3 * len(BLOCKS):
         raise ValueError(f"radius must be below {3 * len(BLOCKS)}")
     known = common.cut(item_table(items, item_key, item_text))
-    files = known.select("item", "n", "k", "fp", F.explode(F.concat(*[
+    files = known.select("item", "id", "n", "k", "fp", F.explode(F.concat(*[
         _filed(F.col("fp"), i, first, width) for i, (first, width) in enumerate(BLOCKS)
-    ])).alias("f")).select("item", "n", "k", "fp", "f.b", "f.value")
+    ])).alias("f")).select("item", "id", "n", "k", "fp", "f.b", "f.value")
     out = None
     for k in sorted(r[0] for r in known.select("k").distinct().collect()):  # one to five values
         windows = common.cut(anchored_windows(docs, known, key, text, k, threshold))
@@ -136,11 +136,11 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
         near = (
             blocks.join(common.small(files.where(F.col("k") == k)), ["n", "b", "value"])
             .withColumn("distance", distance).where(F.col("distance") <= radius)
-            .join(common.small(known.select("item", "shingles").dropDuplicates(["item", "shingles"])), "item")
+            .join(common.small(known.select("id", "shingles").dropDuplicates(["id"])), "id")
             .withColumn("similarity", similarity(weighted(F.col("grams")), F.col("shingles")))
             .where(F.col("similarity") >= threshold)
         )
-        best = near.groupBy("key", "mark", "item").agg(F.max(F.struct(
+        best = near.groupBy("key", "mark", "item", F.when(F.col("item").isNull(), F.col("id")).alias("unnamed")).agg(F.max(F.struct(
             "similarity", (-F.col("start")).alias("before"), (-F.col("distance")).alias("nearer"), F.col("size").alias("words"),
         )).alias("best"))
         found = best.select(

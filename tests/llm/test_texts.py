@@ -167,6 +167,15 @@ def test_leaks_of_shortened_items(spark):
     assert found == [(1, 1, 0, 54, round(50 / 55, 4)), (2, 1, 0, 57, round(53 / 55, 4)), (4, 2, 0, 14, round(10 / 11, 4))]
 
 
+def test_leaks_of_items_without_id(spark):
+    one, two = " ".join(f"one{i}" for i in range(20)), " ".join(f"two{i}" for i in range(20))
+    items = spark.createDataFrame([(None, one), (None, two), (3, "other words of an item here")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"before {one} after"), (2, f"{one} {two}"), (3, "nothing")], "doc_id long, text string")
+    found = decontaminate.leaks(docs, items)
+    assert sorted((r.doc_id, r.item_id, r.start) for r in found.collect()) == [(1, None, 1), (2, None, 0), (2, None, 20)]
+    assert [r.doc_id for r in decontaminate.clean(docs, found).collect()] == [3]
+
+
 def test_fingerprints_in_sql_equal_plain_ones(spark):
     df = spark.createDataFrame([([1, -5, 2**62, 77],), ([-1],), ([3, 3],)], "g array<long>")
     for r in df.select("g", decontaminate.simhash(F.col("g")).alias("fp")).collect():
