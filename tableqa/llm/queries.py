@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableqa.llm import chat, common, decontaminate, langid, licenses, lm, pieces, pii, shards, simhash, topk
+from tableqa.llm import chat, common, decontaminate, langid, licenses, lm, merkle, packing, pieces, pii, repair, shards, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,6 +113,21 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
 
 
+@query("op11_merkle_manifest", merkle.manifest_sql())
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.manifest(common.load(spark, sf, "documents"))
+
+
+@query("op12_conversation_repair", repair.repair_sql())
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.repaired_digests(common.load(spark, sf, "conversations"))
+
+
+@query("op13_lexical_packing")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(common.load(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
