@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tableqa.functions.values import normalize_values
 from tableqa.operators.compare import compare_content, compare_metrics, compare_tables, equality_result
 from tableqa.operators.extract import BATCH_SIZE, extract, table_high_water_mark
+from tableqa.operators.locate import locate_differences, same_columns
 from tableqa.operators.metrics import expected_metrics, needed_checks, observed_metrics
+from tableqa.operators.numbering import ROWS_PER_BUCKET
 from tableqa.plans.build import generate_plan
 from tableqa.plans.run import qa_results, run_plan
 from tableqa.plans.select import CHECK_LIMIT, read_plan
@@ -26,7 +28,7 @@ from tableqa.sinks.writers import (
     write_jsonl,
     write_single,
 )
-from tableqa.sources.tables import is_files, stage, staging_path
+from tableqa.sources.tables import stage, staging_path
 
 
 @dataclass(frozen=True)
@@ -55,27 +57,31 @@ def job_extract(
     target_table: str | None = None,
     batch_size: int = BATCH_SIZE,
     chunk_size: int = CHUNK_SIZE,
-    land_first: bool | None = None,
+    land_first: bool = True,
+    net: bool = False,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Numbered extract to Parquet, returned as read back.
 
-    With `target_table`, tracked changes start after the highest version that table holds. `land_first` stages the
-    source, so that it is read once and all passes see the same rows; by default this is done for all that is not read
-    from files alone (JDBC, queries). What was staged is removed at the end.
+    With `target_table`, tracked changes start after the highest version that table holds. The source is staged first,
+    so that a live one is read once and all passes see the same rows; what was staged is removed at the end. Sources
+    that are files, which give the same rows each time, need no staging: say `land_first=False`. `net` folds a raw
+    feed of changes to one net change for each key.
     """
     if target_table is not None:
         min_version = table_high_water_mark(source.sparkSession, target_table)
     spark, staged = source.sparkSession, []
 
     def landed(df: DataFrame | None) -> DataFrame | None:
-        if df is None or land_first is False or (land_first is None and is_files(df)):
+        if df is None or not land_first:
             return df
         staged.append(staging_path(spark, "source"))
         return stage(df, path=staged[-1])
 
     try:
         rows = extract(
-            landed(source), primary_key, run_ts, mode, reload, landed(changes), min_version, batch_size=batch_size
+            landed(source), primary_key, run_ts, mode, reload, landed(changes), min_version, batch_size=batch_size,
+            rows_per_bucket=rows_per_bucket, net=net,
         )
         written = write_extract(rows, output, chunk_size)
     finally:
@@ -143,9 +149,13 @@ def job_extract_and_qa(
     check_types: list[str] | None = None,
     limit: int | None = CHECK_LIMIT,
     runner: Callable[[str], DataFrame] | None = None,
+    single: bool = True,
 ) -> DataFrame:
-    """Extract to Parquet as it is, run the first checks of the plan, append their results."""
-    path = write_single(normalize_values(source), output, run_ts)
+    """Extract to Parquet as it is, run the first checks of the plan, append their results.
+
+    The extract is one file, written by one task, or with `single=False` a folder that all tasks write.
+    """
+    path = write_single(normalize_values(source), output, run_ts, single)
     checks = read_plan(
         plan, table.catalog, table.schema, table.table, check_types, empty_means_all=True, exact=True, limit=limit
     )
@@ -161,15 +171,30 @@ def job_query_compare(
     output: str,
     run_ts: datetime,
     runner: Callable[[str], DataFrame] | None = None,
+    single: bool = True,
+    by: str = "digest",
+    ordered_by: str | None = None,
+    key: str | list[str] | None = None,
 ) -> DataFrame:
-    """Query to Parquet, then compare the whole Parquet with the result of the check's query: PASS, FAIL or ERROR."""
+    """Query to Parquet, then compare the whole Parquet with the result of the check's query: PASS, FAIL or ERROR.
+
+    `single`, `by` and `ordered_by` are those of `write_single` and `compare_tables`. With a `key`, a FAIL of tables of
+    the same columns also writes the keys that differ as Parquet, into a folder of the run that the message names; the
+    check's query is then read several times.
+    """
     spark: SparkSession = source.sparkSession
-    path = write_single(source, output, run_ts)
+    path = write_single(source, output, run_ts, single)
     try:
         landed = source if path is None else spark.read.schema(source.schema).parquet(path)
-        outcome = compare_tables(landed, (runner or spark.sql)(check["query_text"])).collect()
+        queried = (runner or spark.sql)(check["query_text"])
+        outcome = compare_tables(landed, queried, by, ordered_by).collect()
         result = spark.createDataFrame(outcome, "status string, row_count_sql bigint, row_count_bq bigint")
-        return equality_result(result, check, path)
+        message = None
+        if key is not None and outcome[0]["status"] == "FAIL" and same_columns(landed, queried):
+            folder = run_prefix(f"{output.rstrip('/')}_differences", str(check.get("query_id")), run_ts)
+            locate_differences(landed, queried, key).write.parquet(folder)
+            message = f"differences: {folder}"
+        return equality_result(result, check, path, message)
     except Exception as error:  # a failing check is a result
         failed = spark.createDataFrame([("ERROR", None, None)], "status string, row_count_sql bigint, row_count_bq bigint")
         return equality_result(failed, check, path, str(error))

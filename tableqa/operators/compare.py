@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tableqa.functions.hashing import row_digest, row_hash
 from tableqa.functions.names import HASH_CHECK, VALUE_DIST_PREFIX, col_of, snake_name
 from tableqa.functions.values import safe_int, text_value
+from tableqa.operators.locate import compare_digests, compare_ordered, same_columns
 from tableqa.schemas import EQUALITY
 
 
@@ -57,15 +58,22 @@ def _totals() -> list[Column]:
     ]
 
 
-def compare_tables(expected: DataFrame, observed: DataFrame, by: str = "digest") -> DataFrame:
+def compare_tables(expected: DataFrame, observed: DataFrame, by: str = "digest", ordered_by: str | None = None) -> DataFrame:
     """One row: status PASS or FAIL, and the row count of both sides.
 
     Two tables are equal when names, types and order of their columns agree and every row occurs equally often in
     both; row order plays no part, NULL equals NULL and NaN equals NaN. Rows are counted per 128-bit digest of the
     whole row, so the shuffle moves four numbers per distinct row whatever the row width, and copies are combined
     before it. `by="columns"` groups by the columns themselves instead, for a result that rests on no hash.
+    `by="sums"` compares one order-free digest of each table, which shuffles no row at all.
+
+    With `ordered_by` the tables are compared in the order of that column on either side, position by position.
     """
-    if [(f.name, f.dataType) for f in expected.schema] != [(f.name, f.dataType) for f in observed.schema]:
+    if ordered_by is not None:
+        return compare_ordered(expected, observed, ordered_by).drop("first_difference")
+    if by == "sums":
+        return compare_digests(expected, observed)
+    if not same_columns(expected, observed):
         sides = expected.select(F.lit(1).alias("__sql"), F.lit(0).alias("__bq"))
         totals = sides.union(observed.select(F.lit(0), F.lit(1))).agg(*_totals())
         return totals.select(F.lit("FAIL").alias("status"), "row_count_sql", "row_count_bq")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tableqa.functions.names import col_of, snake_columns
 from tableqa.functions.values import normalized_value, text_value
+from tableqa.operators.changes import net_changes
 from tableqa.operators.numbering import ROWS_PER_BUCKET, number_rows
 from tableqa.schemas import EXTRACT_METADATA
 from tableqa.sources.tables import stage
@@ -110,18 +111,19 @@ def full_extract(
 
 
 def changed_rows(
-    changes: DataFrame, base: DataFrame, primary_key: str, min_version: int = 0, keep_null_pk: bool = False
+    changes: DataFrame, base: DataFrame, primary_key: str, min_version: int = 0, keep_null_pk: bool = False, net: bool = False
 ) -> DataFrame:
     """Changes newer than a version with the current row of their key; a deleted key has no row.
 
-    The key is taken from the change, so it is known for deleted rows too; `keep_null_pk` takes it from the row.
+    The key is taken from the change, so it is known for deleted rows too; `keep_null_pk` takes it from the row. A raw
+    feed, which may hold several changes of a key, is folded first with `net`: one row for each key, none for keys that
+    came and went.
 
     The base is first reduced to the keys of the feed by a semi join, whose small side Spark may broadcast by its own
     size check, so a few changes do not shuffle the whole base.
     """
-    feed = changes.filter(col_of(VERSION) > min_version).select(
-        col_of(primary_key).alias("__feed_key"), VERSION, OPERATION
-    )
+    newer = net_changes(changes, primary_key, min_version) if net else changes.filter(col_of(VERSION) > min_version)
+    feed = newer.select(col_of(primary_key).alias("__feed_key"), VERSION, OPERATION)
     keys = feed.select(F.col("__feed_key").alias("__wanted_key")).distinct()
     reduced = base.join(keys, col_of(primary_key) == F.col("__wanted_key"), "left_semi")
     joined = feed.join(reduced, F.col("__feed_key") == col_of(primary_key), "left")
@@ -140,9 +142,10 @@ def change_extract(
     as_text: bool = True,
     keep_null_pk: bool = False,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    net: bool = False,
 ) -> DataFrame:
     """Changed rows, numbered in key order. The join is staged once, because numbering reads it several times."""
-    joined = stage(changed_rows(changes, base, primary_key, min_version, keep_null_pk), "changes")
+    joined = stage(changed_rows(changes, base, primary_key, min_version, keep_null_pk, net), "changes")
     return _finish(number_rows(joined, primary_key, ROW_NUMBER, rows_per_bucket), run_ts, batch_size, as_text)
 
 
@@ -161,7 +164,8 @@ def extract(
     if not reload and mode not in MODES:
         raise ValueError(f"unsupported extraction mode {mode!r}, use one of {MODES}")
     if reload or mode == "full":
-        options.pop("keep_null_pk", None)
+        for option in ("keep_null_pk", "net"):
+            options.pop(option, None)
         return full_extract(df, primary_key, run_ts, version=high_water_mark(changes), **options)
     if changes is None:
         raise ValueError("change tracking needs a change feed")

@@ -150,6 +150,27 @@ def _count_below(df: DataFrame, value: Column, bounds: Column, size: int, out: s
     return located.drop("__value")
 
 
+def sampled_bounds(df: DataFrame, key: str, total: int, ranges: int, seed: int = 7) -> list[str]:
+    """At most `ranges - 1` rising values that cut the keys of a table of `total` rows into ranges of about equal size.
+
+    They are texts of the key type. The sample has some SAMPLES_PER_BUCKET values for each range, whatever the table.
+    """
+    fraction = min(1.0, ranges * SAMPLES_PER_BUCKET / max(total, 1))
+    sample = df.select(col_of(key).alias("k")).filter("k IS NOT NULL").sample(fraction, seed=seed)
+    ranked = sample.select("k", F.ntile(ranges).over(Window.orderBy("k")).alias("range"))
+    tops = ranked.groupBy("range").agg(F.max("k").alias("k")).groupBy("k").agg(F.min("range").alias("range")).orderBy("range")
+    return [r.k for r in tops.select(F.col("k").cast("string").alias("k")).collect()][: ranges - 1]
+
+
+def range_number(df: DataFrame, key: str, bounds: list[str], out: str) -> DataFrame:
+    """Add the number of a key's range: 0 for NULL, else one more than the number of bounds below the key."""
+    kind = df.schema[key].dataType.simpleString()
+    if not bounds:
+        return df.withColumn(out, F.when(col_of(key).isNull(), 0).otherwise(1))
+    located = _count_below(df, col_of(key), _literal_array(bounds, kind), len(bounds), out)
+    return located.withColumn(out, F.when(col_of(key).isNull(), 0).otherwise(F.col(out) + 1))
+
+
 def _bounds(layout: Layout) -> Column:
     return _literal_array(layout.bounds, layout.key_type.simpleString())
 

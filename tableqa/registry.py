@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tableqa import jobs
 from tableqa.functions import hashing, names, values
-from tableqa.operators import checks, compare, extract, metrics
+from tableqa.operators import changes, checks, compare, extract, locate, metrics
 from tableqa.operators.numbering import number_rows
 from tableqa.plans import build, run, select
 from tableqa.sinks import writers
@@ -909,7 +909,7 @@ def _(spark, sf):
     plan = table_plan(spark, sf, build.CHECKS)
     alerts = jobs.job_extract_reconcile(
         load(spark, sf, "lineitem"), jobs.TableId("db", "tpch", "lineitem"), "l_orderkey", plan, METRIC_CHECKS,
-        tables.staging_path(spark, "reconcile"), RUN_TS,
+        tables.staging_path(spark, "reconcile"), RUN_TS, land_first=False,
     )
     return alerts.select("key", "status", "expected", "observed")
 
@@ -930,6 +930,7 @@ def _(spark, sf):
     alerts = jobs.job_extract_reconcile(
         base, jobs.TableId("db", "tpch", "orders_changed"), "o_orderkey", plan, METRIC_CHECKS,
         tables.staging_path(spark, "reconcile"), RUN_TS, mode="change_tracking", changes=feed, min_version=MIN_VERSION,
+        land_first=False,
     )
     return alerts.select("key", "status", "expected", "observed")
 
@@ -1037,7 +1038,8 @@ def _(spark, sf):
 @query("extract_compare", _content_sql("SELECT * FROM orders", "o_orderpriority"))
 def _(spark, sf):
     return jobs.job_extract_compare(
-        load(spark, sf, "orders"), "o_orderkey", tables.staging_path(spark, "compare"), RUN_TS, ("o_orderpriority",)
+        load(spark, sf, "orders"), "o_orderkey", tables.staging_path(spark, "compare"), RUN_TS, ("o_orderpriority",),
+        land_first=False,
     )
 
 
@@ -1062,7 +1064,7 @@ def _(spark, sf):
     ):
         if name == "changes":
             options["min_version"] = extract.high_water_mark(spark.read.parquet(writers.run_prefix(output, "data", RUN_TS)))
-        jobs.job_extract_reconcile(orders, table, "o_orderkey", plan, ["count_total_rows"], output, run_ts, **options)
+        jobs.job_extract_reconcile(orders, table, "o_orderkey", plan, ["count_total_rows"], output, run_ts, land_first=False, **options)
         landed = spark.read.parquet(writers.run_prefix(output, "data", run_ts))
         parts.append(landed.agg(
             F.lit(name).alias("run"), F.count(F.lit(1)).alias("row_count"), F.max(F.col("rn").cast("bigint")).alias("last_rn")
@@ -1141,3 +1143,153 @@ def _(spark, sf):
     plan = table_plan(spark, sf, ("hashcheck",), hash_encoding="UTF-16LE", null_token="<null>")
     text = select.read_plan(plan, "db", "tpch", "customer", ["hashcheck"]).first()["query_text"]
     return spark.sql(text).select("c_custkey", "hashcheck")
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Net changes of a raw feed
+# ---------------------------------------------------------------------------------------------------------------
+
+# Every line is a change: of its part (a few keys, many changes) or of its order. Equal versions of a key occur.
+_RAW_SQL = """SELECT {key} AS k, l_orderkey * 8 + l_linenumber AS sys_change_version,
+ CASE l_returnflag WHEN 'R' THEN 'D' WHEN 'A' THEN 'U' ELSE 'I' END AS sys_change_operation FROM lineitem"""
+_RAW_PARTS = _RAW_SQL.format(key="CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_partkey END")  # a third of all on one key
+_RAW_ORDERS = _RAW_SQL.format(key="l_orderkey")
+_VERSIONS_SEEN = 4000
+
+
+def _net_sql(feed: str, min_version: int | None = None) -> str:
+    """First and last change of a key by windows; within a version D, I, U."""
+    newer = "" if min_version is None else f"WHERE sys_change_version > {min_version}"
+    order = "sys_change_version {0}, sys_change_operation {0}"
+    return f"""SELECT k, v AS sys_change_version, CASE WHEN a = 'I' THEN 'I' WHEN z = 'D' THEN 'D' ELSE 'U' END AS sys_change_operation
+FROM (SELECT k, sys_change_version AS v, row_number() OVER (PARTITION BY k ORDER BY {order.format("DESC")}) AS i,
+ first_value(sys_change_operation) OVER (PARTITION BY k ORDER BY {order.format("ASC")}) AS a,
+ first_value(sys_change_operation) OVER (PARTITION BY k ORDER BY {order.format("DESC")}) AS z FROM ({feed}) {newer})
+WHERE i = 1 AND NOT (a = 'I' AND z = 'D')"""
+
+
+@query("net_changes_hot_key", _net_sql(_RAW_PARTS))
+def _(spark, sf):
+    return changes.net_changes(both(_RAW_PARTS, "lineitem")(spark, sf), "k")
+
+
+@query("net_changes_since", _net_sql(_RAW_ORDERS, _VERSIONS_SEEN))
+def _(spark, sf):
+    return changes.net_changes(both(_RAW_ORDERS, "lineitem")(spark, sf), "k", _VERSIONS_SEEN)
+
+
+@query("net_changes_merged", _net_sql(_RAW_PARTS))
+def _(spark, sf):
+    """Net changes up to a version and after it, kept as text as extracts keep them, and merged."""
+    feed = both(_RAW_PARTS, "lineitem")(spark, sf)
+    until = changes.net_changes(feed.where(f"sys_change_version <= {_VERSIONS_SEEN}"), "k", keep_gone=True)
+    after = changes.net_changes(feed, "k", _VERSIONS_SEEN, keep_gone=True)
+    return changes.merge_net_changes(until.withColumn("sys_change_version", F.col("sys_change_version").cast("string")), after, "k")
+
+
+@query(
+    "net_change_extract",
+    f"""WITH net AS ({_net_sql(_RAW_ORDERS, _VERSIONS_SEEN)}), base AS ({BASE_SQL}), numbered AS (
+ SELECT net.k AS o_orderkey, {", ".join("base." + c for c in ORDER_COLUMNS[1:])}, sys_change_version AS v, sys_change_operation AS op,
+  row_number() OVER (ORDER BY net.k) AS n FROM net LEFT JOIN base ON net.k = base.o_orderkey)
+SELECT {_texts(ORDER_COLUMNS)}, CAST(v AS VARCHAR) AS sys_change_version, op AS sys_change_operation,
+ '{RUN_TEXT}' AS ingestion_datetime_utc, CAST(n AS VARCHAR) AS rn, CAST((n - 1) // 1000 AS BIGINT) AS batch_id FROM numbered""",
+)
+def _(spark, sf):
+    feed = both(_RAW_ORDERS, "lineitem")(spark, sf).withColumnRenamed("k", "o_orderkey")
+    return extract.change_extract(
+        feed, base_orders(spark, sf), "o_orderkey", RUN_TS, _VERSIONS_SEEN, batch_size=1000, rows_per_bucket=BUCKET, net=True
+    )
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Where tables differ, and in which order
+# ---------------------------------------------------------------------------------------------------------------
+
+# Lost, new, changed and repeated rows, spread over the keys; some keys unknown.
+_SOURCE_SQL = """SELECT nullif(o_orderkey, 77) AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"""
+_FAULTY_SQL = """SELECT nullif(o_orderkey, 77) AS o_orderkey, o_custkey, CASE WHEN o_orderkey % 97 = 3 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+ CASE WHEN o_orderkey % 194 = 3 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 101 <> 4
+UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 211 = 5
+UNION ALL SELECT nullif(o_orderkey, 77), o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 89 = 77"""
+
+
+def _located_sql(a: str, b: str) -> str:
+    columns = ", ".join(ORDER_COLUMNS)
+    return f"""SELECT o_orderkey, CASE WHEN o = 0 THEN 'MISSING' WHEN e = 0 THEN 'EXTRA' ELSE 'CHANGED' END AS status, e AS expected_rows,
+ o AS observed_rows, lost, added FROM (SELECT o_orderkey, CAST(sum(e) AS BIGINT) AS e, CAST(sum(o) AS BIGINT) AS o,
+ CAST(sum(greatest(e - o, 0)) AS BIGINT) AS lost, CAST(sum(greatest(o - e, 0)) AS BIGINT) AS added FROM (
+ SELECT {columns}, sum(e) AS e, sum(o) AS o FROM (SELECT {columns}, 1 AS e, 0 AS o FROM ({a}) UNION ALL SELECT {columns}, 0, 1 FROM ({b}))
+ GROUP BY {columns}) GROUP BY o_orderkey) WHERE lost > 0 OR added > 0"""
+
+
+source_orders, faulty_orders = both(_SOURCE_SQL, "orders"), both(_FAULTY_SQL, "orders")
+
+
+@query("locate_differences", _located_sql(_SOURCE_SQL, _FAULTY_SQL))
+def _(spark, sf):
+    return locate.locate_differences(source_orders(spark, sf), faulty_orders(spark, sf), "o_orderkey", ranges=100, leaf_rows=BUCKET)
+
+
+@query("locate_differences_few", _located_sql("SELECT * FROM orders", _CELL_SQL))
+def _(spark, sf):
+    """One changed cell: all ranges but its own are left out after the first level."""
+    return locate.locate_differences(load(spark, sf, "orders"), both(_CELL_SQL, "orders")(spark, sf), "o_orderkey", leaf_rows=BUCKET)
+
+
+@query(
+    "changed_columns",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 194 = 3 THEN ['o_orderstatus', 'o_totalprice'] ELSE ['o_orderstatus'] END AS columns "
+    "FROM orders WHERE o_orderkey % 97 = 3 AND o_orderkey % 101 <> 4 AND o_orderkey % 89 <> 77 AND o_orderkey <> 77",
+)
+def _(spark, sf):
+    sides = source_orders(spark, sf), faulty_orders(spark, sf)
+    return locate.changed_columns(*sides, "o_orderkey", locate.locate_differences(*sides, "o_orderkey", leaf_rows=BUCKET))
+
+
+@query("compare_digests_equal", _equality_sql("lineitem", "lineitem"))
+def _(spark, sf):
+    lineitem = load(spark, sf, "lineitem")
+    return compare.compare_tables(lineitem, lineitem.repartition("l_partkey"), by="sums")
+
+
+@query("compare_digests_repeated_rows", f"WITH c AS ({_URGENT_TWICE}) {_equality_sql('orders', 'c')}")
+def _(spark, sf):
+    return compare.compare_tables(load(spark, sf, "orders"), both(_URGENT_TWICE, "orders")(spark, sf), by="sums")
+
+
+# The same order by other numbers; two neighbouring rows swapped in the middle.
+_ORDERED_SQL = "SELECT o_orderkey AS place, o_custkey, o_totalprice FROM orders"
+_RENUMBERED_SQL = "SELECT o_orderkey * 2 + 5 AS place, o_custkey, o_totalprice FROM orders"
+_SWAP_SQL = """SELECT CASE o_orderkey - (SELECT CAST(floor(avg(o_orderkey)) AS BIGINT) FROM orders) WHEN 0 THEN o_orderkey + 1 WHEN 1 THEN o_orderkey - 1
+ ELSE o_orderkey END AS place, o_custkey, o_totalprice FROM orders"""
+
+
+def _ordered_equality_sql(a: str, b: str) -> str:
+    number = "row_number() OVER (ORDER BY place) AS n"
+    return f"""SELECT CASE WHEN count(*) FILTER (same) = count(*) THEN 'PASS' ELSE 'FAIL' END AS status, count(x.n) AS row_count_sql,
+ count(y.n) AS row_count_bq, min(coalesce(x.n, y.n)) FILTER (NOT same) AS first_difference FROM (
+ SELECT x, y, x.n IS NOT NULL AND y.n IS NOT NULL AND x.o_custkey = y.o_custkey AND x.o_totalprice = y.o_totalprice AS same
+ FROM (SELECT *, {number} FROM ({a})) x FULL JOIN (SELECT *, {number} FROM ({b})) y ON x.n = y.n)"""
+
+
+@query("compare_ordered_equal", _ordered_equality_sql(_ORDERED_SQL, _RENUMBERED_SQL))
+def _(spark, sf):
+    return locate.compare_ordered(both(_ORDERED_SQL, "orders")(spark, sf), both(_RENUMBERED_SQL, "orders")(spark, sf), "place", rows_per_bucket=BUCKET)
+
+
+@query("compare_ordered_swapped", _ordered_equality_sql(_ORDERED_SQL, _SWAP_SQL))
+def _(spark, sf):
+    swapped = both(_SWAP_SQL, "orders")(spark, sf)
+    return locate.compare_ordered(both(_ORDERED_SQL, "orders")(spark, sf), swapped, "place", rows_per_bucket=BUCKET)
+
+
+@query("query_compare_located", _located_sql(_SOURCE_SQL, _FAULTY_SQL))
+def _(spark, sf):
+    """A failed query compare and the differences that it has written."""
+    orders = load(spark, sf, "orders")
+    orders.createOrReplaceTempView("orders")
+    path = tables.staging_path(spark, "compare")
+    check = {"query_id": 1, "table_name": "orders", "check_type": "equality", "query_text": _FAULTY_SQL}
+    result = jobs.job_query_compare(source_orders(spark, sf), check, path, RUN_TS, single=False, by="sums", key="o_orderkey").first()
+    return spark.read.parquet(result["error_message"].removeprefix("differences: "))

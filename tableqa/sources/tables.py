@@ -79,10 +79,3 @@ def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFr
     path = path or staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def is_files(df: DataFrame) -> bool:
-    """Whether a table is read from files alone, so that it may be read again and gives the same rows."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    kinds = {leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())}
-    return bool(df.inputFiles()) and kinds <= {"LogicalRelation", "HiveTableRelation"}
