@@ -44,7 +44,7 @@ SHARD_TOKENS, QUERY_TERMS = 1 << 19, 32
 K1, B = 1.2, 0.75
 ROW_WEIGHT = 32  # tokens that a row counts beside its own, so shards of very short texts stay small
 TABLE_ROWS = 1 << 19
-SLICE_BYTES = 16 << 20
+SLICE_BYTES, SLICE_ROWS = 16 << 20, 512
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # letters, then ASCII punctuation but the apostrophe, which may begin a contraction
 WORD = f"^(?P<core>[{LETTERS}]+)(?P<tail>[!-&(-/:-@\\[-`{{-~]*)$"
@@ -170,6 +170,15 @@ def ids_of(rest: bytes) -> np.ndarray:
     return np.frombuffer(rest, dtype="<u2")
 
 
+def term_counts(rests: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (document, term, how often) in order of both, and the documents' lengths."""
+    lengths = np.array([len(r) for r in rests], dtype=np.int64)
+    flat = np.concatenate(rests) if rests else np.zeros(0, dtype="<u2")
+    pairs = np.sort(np.repeat(np.arange(len(rests)) << 16, lengths) | flat)
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    return pairs[first] >> 16, pairs[first] & 0xFFFF, np.diff(np.append(first, len(pairs))), lengths
+
+
 class Bm25:
     """Weights of terms from the document frequencies and the mean length of the whole collection."""
 
@@ -180,27 +189,30 @@ class Bm25:
     def weight(self, terms: np.ndarray, tf: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         return self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.mean))
 
-    def heaviest(self, ids: np.ndarray) -> int:
-        """The heaviest term that another document has, too; -1 without one."""
-        terms, tf = np.unique(ids, return_counts=True)
+    def heaviest(self, rests: list[np.ndarray]) -> np.ndarray:
+        """The heaviest term of each document that another one has, too; -1 without one."""
+        docs, terms, tf, lengths = term_counts(rests)
         shared = self.frequency[terms] > 1
-        if not shared.any():
-            return -1
-        return int(terms[np.argmax(np.where(shared, self.weight(terms, tf, len(ids)), -1.0))])
+        docs, terms, tf = docs[shared], terms[shared], tf[shared]
+        found = np.full(len(rests), -1, dtype=np.int64)
+        if len(docs):
+            weights = self.weight(terms, tf, lengths[docs])
+            starts = np.flatnonzero(np.diff(docs, prepend=-1))
+            most = np.maximum.reduceat(weights, starts)
+            best = np.flatnonzero(weights == np.repeat(most, np.diff(np.append(starts, len(docs)))))[::-1]
+            found[docs[best]] = terms[best]  # in falling order, so the smallest of equal terms stays
+        return found
 
 
 class Index:
     """Inverted index of one shard."""
 
     def __init__(self, rests: list[np.ndarray], model: Bm25, query_terms: int = QUERY_TERMS):
-        self.rests, self.model, self.query_terms, n = rests, model, query_terms, max(1, len(rests))
-        lengths = np.array([len(r) for r in rests], dtype=np.int64)
-        flat = np.concatenate(rests) if rests else np.zeros(0, dtype="<u2")
-        pairs = np.sort(flat.astype(np.int64) * n + np.repeat(np.arange(len(rests)), lengths))
-        first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, dtype=np.int64)
-        tf = np.diff(np.append(first, len(pairs)))
-        terms, self.members = pairs[first] // n, pairs[first] % n
-        self.weights = model.weight(terms, tf, lengths[self.members]) if len(pairs) else np.zeros(0)
+        self.rests, self.model, self.query_terms = rests, model, query_terms
+        docs, terms, tf, lengths = term_counts(rests)
+        order = np.argsort(terms, kind="stable")
+        terms, self.members = terms[order], docs[order]
+        self.weights = model.weight(terms, tf[order], lengths[self.members])
         self.bounds = np.searchsorted(terms, np.arange(len(model.idf) + 1))
 
     def scores(self, seed: int) -> np.ndarray:
@@ -311,8 +323,8 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
-            for rest in batch.column(0).to_pylist():
-                counts[np.unique(ids_of(rest))] += 1
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                counts += np.bincount(term_counts([ids_of(r) for r in batch.column(0).slice(at, SLICE_ROWS).to_pylist()])[1], minlength=vocabulary)
         terms = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(counts[terms], pa.int64())], names=["term", "n"])
 
@@ -323,10 +335,14 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
     filled, total = tokens.where("octet_length(rest) > 0").agg(F.count(F.lit(1)), F.sum(F.octet_length("rest") / 2)).first()
     model = spark.sparkContext.broadcast(Bm25(frequency, filled, (total or 0) / max(filled, 1)))
 
+    def heaviest(rest: pd.Series) -> np.ndarray:
+        parts = [model.value.heaviest([ids_of(r) for r in rest[at : at + SLICE_ROWS]]) for at in range(0, len(rest), SLICE_ROWS)]
+        return np.concatenate([np.zeros(0, dtype=np.int64), *parts])
+
     @F.pandas_udf("long")
     def route(rest: pd.Series) -> pd.Series:
-        terms = [model.value.heaviest(ids_of(r)) for r in rest]
-        return pd.Series([vocabulary if t < 0 else t for t in terms], dtype="int64")
+        terms = heaviest(rest)
+        return pd.Series(np.where(terms < 0, vocabulary, terms))
 
     weight = F.octet_length("rest") / 2 + 2 * F.size("windows") + ROW_WEIGHT
     sums = tokens.select(route("rest").alias("term"), weight.cast("long").alias("w")).groupBy("term").agg(F.sum("w").alias("w"))
@@ -335,7 +351,7 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
     @F.pandas_udf("long")
     def shard(rest: pd.Series, drawn: pd.Series) -> pd.Series:
         first, splits = plan.value
-        terms = np.array([model.value.heaviest(ids_of(r)) for r in rest], dtype=np.int64)  # -1 is the last entry
+        terms = heaviest(rest)  # -1 is the last entry
         return pd.Series(first[terms] + drawn.to_numpy() % splits[terms])
 
     def packed(shard_key: tuple, part: pd.DataFrame) -> pd.DataFrame:
