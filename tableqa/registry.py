@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tableqa import jobs
 from tableqa.functions import hashing, names, values
-from tableqa.operators import changes, checks, compare, extract, locate, metrics
+from tableqa.operators import changes, checks, compare, extract, frequent, locate, metrics
 from tableqa.operators.numbering import number_rows
 from tableqa.plans import build, run, select
-from tableqa.sinks import writers
+from tableqa.sinks import manifest, writers
 from tableqa.sources import tables
 
 RUN_TS = datetime(2024, 1, 1)
@@ -1293,3 +1293,47 @@ def _(spark, sf):
     check = {"query_id": 1, "table_name": "orders", "check_type": "equality", "query_text": _FAULTY_SQL}
     result = jobs.job_query_compare(source_orders(spark, sf), check, path, RUN_TS, single=False, by="sums", key="o_orderkey").first()
     return spark.read.parquet(result["error_message"].removeprefix("differences: "))
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Top values by summaries, extracts with a manifest
+# ---------------------------------------------------------------------------------------------------------------
+
+# A few frequent customers among very many rare ones; the frequencies of some are tied.
+_SKEWED_SQL = "SELECT CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN o_orderkey % 12 ELSE 100 + o_orderkey END AS v FROM orders"
+
+
+def _top_sql(table: str, column: str, n: int) -> str:
+    return f"SELECT {column}, count(*) AS freq FROM ({table}) GROUP BY {column} ORDER BY freq DESC, {column} NULLS FIRST LIMIT {n}"
+
+
+@query("top_values_skewed", _top_sql(_SKEWED_SQL, "v", 4))
+def _(spark, sf):
+    return frequent.top_values(both(_SKEWED_SQL, "orders")(spark, sf), "v", n=4)
+
+
+@query("top_values_fallback", _top_sql("SELECT * FROM lineitem", "l_orderkey", 10))
+def _(spark, sf):
+    """No order is frequent, so the summary proves nothing and all are counted."""
+    return frequent.top_values(load(spark, sf, "lineitem"), "l_orderkey", n=10, tracked=100)
+
+
+def numbered_orders(spark: SparkSession, sf: str) -> str:
+    """Folder of a numbered extract of orders with its manifest."""
+    path = tables.staging_path(spark, "numbered")
+    rows = extract.full_extract(load(spark, sf, "orders"), "o_orderkey", RUN_TS, version=7, batch_size=4000, rows_per_bucket=BUCKET)
+    manifest.write_numbered(rows, path, chunk_size=BUCKET)
+    return path
+
+
+@query(
+    "manifest_files",
+    f"SELECT count(*) AS row_count, min(n) AS first_rn, max(n) AS last_rn FROM (SELECT row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) GROUP BY (n - 1) // {BUCKET}",
+)
+def _(spark, sf):
+    return manifest.read_manifest(spark, numbered_orders(spark, sf)).select("row_count", "first_rn", "last_rn")
+
+
+@query("manifest_page", _full_sql(4000, "WHERE n BETWEEN 701 AND 1400"))
+def _(spark, sf):
+    return manifest.numbered_page(spark, numbered_orders(spark, sf), 701, 1400)
