@@ -3,12 +3,13 @@ r"""Personal data: patterns with checks, and terms that reveal them by corpus co
 Patterns find e-mail addresses, IP addresses, card numbers (Luhn) and phone numbers in whole texts. What they find are
 the protected entities. Every word that stands in a text with an entity is a candidate. Over the whole corpus,
 
-    pmi(term, entity) = log2(n_te * N / (n_t * n_e)),    ic(entity) = log2(N / n_e)
+    left(entity | term) = log2(n_t / n_te)
 
-with N distinct texts, n_t, n_e and n_te of them with the term, the entity and both. pmi / ic is the share of the
-entity's information that the term gives away. A term is a disclosure where the share reaches `threshold` and it stands
-in `support` distinct texts with the entity or more; one text shows nothing, since every rare word of a text would
-reveal its entities. Disclosing terms are marked wherever they stand, also in texts without the entity. Found data are
+is what remains unknown of an entity, in bits, to a reader who sees the term: n_t and n_te are the distinct texts with the
+term and with both. A term is a disclosure where at most `bits` remain (1: the entity is in half of the term's texts or
+more, whatever the size of the corpus), where it stands in `support` distinct texts with the entity or more, and where
+chance does not explain that: n_te texts at log2(N / n_e) bits each must tell more than it takes to name one term of all,
+by MARGIN bits. Disclosing terms are marked wherever they stand, also in texts without the entity. Found data are
 generalised to their kind, capitalised terms to <NAME>, other terms are removed.
 
 Edges: null and empty texts hold nothing; a repeated row repeats its result; empty tables give no rows.
@@ -16,6 +17,7 @@ Edges: null and empty texts hold nothing; a repeated row repeats its result; emp
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +35,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = tuple(PATTERNS)
+BITS, SUPPORT, MARGIN = 1.0, 2, 7.0
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 _WORD = r"[\p{L}][\p{L}\p{N}'’-]*"
 
@@ -105,8 +108,8 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(plain, F.lit(_WORD), F.lit(0)), lambda w: F.lower(w)))
 
 
-def disclosures(docs: DataFrame, base: DataFrame, text: str, threshold: float, support: int) -> DataFrame:
-    """(entity, term, share): terms that reveal an entity. All counts are of distinct texts."""
+def disclosures(docs: DataFrame, base: DataFrame, text: str, bits: float, support: int) -> DataFrame:
+    """(entity, term, bits): terms that reveal an entity, and what they leave unknown. All counts are of distinct texts."""
     entity = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))
     named = base.select("mark", F.explode(F.array_distinct(entity)).alias("entity")).distinct()
     sizes = named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= support)
@@ -120,22 +123,26 @@ def disclosures(docs: DataFrame, base: DataFrame, text: str, threshold: float, s
     texts = F.round(F.sum("weight")).cast("long")
     # counted for all words, partly before the shuffle; words too frequent for any entity leave before pairs are made
     counts = common.cut(worded.select("weight", F.explode("terms").alias("term")).groupBy("term").agg(texts.alias("n_t")).where(F.col("n_t") >= support))
-    most = total ** (1 - threshold) * (largest or 0) ** threshold * (1 + 1e-9)
+    # a term of more texts than this is left with more bits for every entity
+    most = 2**bits * (largest or 0) * (1 + 1e-9)
     frequent = counts.where(F.col("n_t") > most).select("term")
+    # of a text's entities only those that are frequent enough for the term meet it
+    fits = F.filter("entities", lambda e: e["n_e"] * F.lit(2**bits * (1 + 1e-9)) >= F.col("n_t"))
     pairs = (
         worded.join(common.small(held), "mark").select("weight", "entities", F.explode("terms").alias("term"))
-        .join(common.small(frequent), "term", "left_anti").select("weight", "term", F.explode("entities").alias("e"))
-        .groupBy("e.entity", "e.n_e", "term").agg(texts.alias("n_te")).where(F.col("n_te") >= support)
+        .join(common.small(frequent), "term", "left_anti").join(counts, "term")
+        .select("weight", "term", "n_t", F.explode(fits).alias("e"))
+        .groupBy("e.entity", "e.n_e", "term", "n_t").agg(texts.alias("n_te")).where(F.col("n_te") >= support)
     )
-    n = F.lit(float(total))
-    pmi = F.log2(F.col("n_te") * n / (F.col("n_t") * F.col("n_e")))
-    share = F.when(F.col("n_e") < n, pmi / F.log2(n / F.col("n_e"))).otherwise(F.lit(0.0))
-    return pairs.join(counts, "term").withColumn("share", share).where(F.col("share") >= threshold).select("entity", "term", "share")
+    left = F.log2(F.col("n_t") / F.col("n_te"))
+    told = F.col("n_te") * F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
+    to_name_one = math.log2(max(counts.count(), 1)) + MARGIN
+    return pairs.withColumn("bits", left).where((left <= bits + 1e-9) & (told >= to_name_one)).select("entity", "term", "bits")
 
 
-def added_spans(docs: DataFrame, base: DataFrame, key: str, text: str, threshold: float, support: int) -> DataFrame:
+def added_spans(docs: DataFrame, base: DataFrame, key: str, text: str, bits: float, support: int) -> DataFrame:
     """key, mark, added: array of (start, order, end, kind, value) of disclosing terms, wherever they stand in any text."""
-    revealing = common.cut(disclosures(docs, base, text, threshold, support).select("term").distinct())
+    revealing = common.cut(disclosures(docs, base, text, bits, support).select("term").distinct())
     body = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), F.col(f"`{text}`").alias("body"))
     hits = common.cut(
         body.select("key", "mark", F.explode(terms(F.col("body"))).alias("term")).join(common.small(revealing), "term")
@@ -149,12 +156,12 @@ def added_spans(docs: DataFrame, base: DataFrame, key: str, text: str, threshold
     ).dropDuplicates(["key", "mark"])
 
 
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, support: int = 2) -> DataFrame:
+def find(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: float = BITS, support: int = SUPPORT) -> DataFrame:
     """One row for each document: key, mark (hash of the text), base (spans of the patterns), spans (all, by start)."""
     base = common.cut(docs.select(
         F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), base_spans(F.col(f"`{text}`")).alias("spans"),
     ))
-    added = added_spans(docs, base, key, text, threshold, support)
+    added = added_spans(docs, base, key, text, bits, support)
     extra = added.select(F.col("key").alias("of"), F.col("mark").alias("of_mark"), "added")
     outside = F.filter("added", lambda a: ~F.exists("spans", lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])))
     every = F.when(F.col("added").isNull(), F.col("spans")).otherwise(F.array_sort(F.concat("spans", outside)))
@@ -184,12 +191,12 @@ def masked(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, F.concat(done["out"], rest)).otherwise(text)
 
 
-def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, support: int = 2) -> DataFrame:
+def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: float = BITS, support: int = SUPPORT) -> DataFrame:
     """`docs` with personal data and disclosing terms masked in `text`; texts without any stay as they are, nulls too."""
-    columns = docs.columns
-    found = find(docs, key, text, threshold, support).where(F.size("spans") > 0)
-    found = common.cut(found.select(F.col(key).alias("_of"), F.col("mark").alias("_of_mark"), F.col("spans").alias("_spans")).dropDuplicates(["_of", "_of_mark"]))
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_of")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_of_mark"))
+    of, of_mark, spans = common.free_names(docs, "of", "of_mark", "spans")
+    found = find(docs, key, text, bits, support).where(F.size("spans") > 0)
+    found = common.cut(found.select(F.col(key).alias(of), F.col("mark").alias(of_mark), F.col("spans").alias(spans)).dropDuplicates([of, of_mark]))
+    same = F.col(f"`{key}`").eqNullSafe(F.col(of)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(of_mark))
     body = F.col(f"`{text}`")
-    clean = F.when(F.col("_spans").isNull(), body).otherwise(masked(body, F.col("_spans"))).alias(text)
-    return docs.join(common.small(found), same, "left").select(*[clean if c == text else F.col(f"`{c}`") for c in columns])
+    clean = F.when(F.col(spans).isNull(), body).otherwise(masked(body, F.col(spans))).alias(text)
+    return docs.join(common.small(found), same, "left").select(*[clean if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -1,5 +1,8 @@
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -112,6 +115,32 @@ def test_terms_are_counted_and_marked_by_text(spark):
     assert not any("Quibbly" in t or "Vexmoor" in t for t in safe.values())
 
 
+def test_terms_equal_plain_counts(spark):
+    """Disclosing terms against counts over all pairs, and an ordinary word that stands with an address now and then."""
+    random.seed(9)
+    rows = [(i, " ".join(random.choices(["ab", "cd", "ef", "gh", "ij"], k=6)) + f" lone{i}") for i in range(900)]
+    for e in range(6):
+        rows += [(2000 + 10 * e + i, f"mail p{e}@x.org name{e} ordinary{i % 2} twin{e if i < 2 else 99} c{e}{i}") for i in range(4)]
+    rows += [(5000 + i, f"ordinary{i % 2} day c{i}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    base = pii.common.cut(docs.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("mark"), pii.base_spans(F.col("text")).alias("spans")))
+    got = {(r.entity, r.term) for r in pii.disclosures(docs, base, "text", 1.0, 2).collect()}
+    words = {i: {w.lower() for w in t.split() if "@" not in w} for i, t in rows}
+    holds = {i: {f"email:{w}" for w in t.split() if "@" in w} for i, t in rows}
+    n_t, n_e, n_te = Counter(), Counter(), Counter()
+    for i, _ in rows:
+        n_t.update(words[i])
+        n_e.update(holds[i])
+        n_te.update((e, w) for e in holds[i] for w in words[i])
+    several = sum(n >= 2 for n in n_t.values())
+    expected = {
+        (e, w) for (e, w), n in n_te.items()
+        if n >= 2 and 2 * n >= n_t[w] and n * math.log2(len(rows) / n_e[e]) >= math.log2(several) + pii.MARGIN
+    }
+    assert got == expected and {(f"email:p{e}@x.org", f"name{e}") for e in range(6)} <= got
+    assert not any(w.startswith("ordinary") for _, w in got)
+
+
 def plain_places(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
     out = []
