@@ -41,6 +41,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores in front that `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def only(df: DataFrame, *columns: str) -> DataFrame:
     """The named columns of a table that may have others, whatever their names."""
     return df.select(*[F.col(f"`{c}`") for c in columns])

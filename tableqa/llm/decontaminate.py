@@ -155,5 +155,6 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
 def clean(docs: DataFrame, leaked: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` without the texts that `leaks` has found."""
-    bad = leaked.select(F.col(key).alias("_leak_key"), F.col("text_hash").alias("_leak_mark")).distinct()
-    return docs.join(common.small(bad), F.col(f"`{key}`").eqNullSafe(F.col("_leak_key")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_leak_mark")), "left_anti")
+    of, of_mark = common.free_names(docs, "leak_key", "leak_mark")
+    bad = leaked.select(F.col(key).alias(of), F.col("text_hash").alias(of_mark)).distinct()
+    return docs.join(common.small(bad), F.col(f"`{key}`").eqNullSafe(F.col(of)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(of_mark)), "left_anti")

@@ -61,7 +61,7 @@ WITH v AS (
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]), 0) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
 ), ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score

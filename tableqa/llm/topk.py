@@ -9,9 +9,8 @@ bounds never change a result.
 Queries travel in groups and candidates in blocks, so a task holds one of each, whatever the number of either. Equal
 vectors are one candidate with its k + 1 smallest ids (more cannot enter a result, as ties go to smaller ids).
 
-Edges: vectors that are null, hold a null or a non-finite component, or lack an id take no part; all vectors must have
-the same length (rows of another length than the most frequent one raise an error); repeated ids count as separate
-rows; fewer than k candidates give what there is; an empty table gives an empty result.
+Edges: vectors that are null, hold a null or a non-finite component, or lack an id take no part; vectors
+that are shorter than the longest one, empty ones too, count as if zeros followed; repeated ids count as separate rows; fewer than k candidates give what there is; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -121,9 +120,14 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, block: int = BLOCK,
     shared = common.cut(shared)
     asked = common.cut(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).distinct())
     n, m = shared.count(), asked.count()
-    widths = [r[0] for r in shared.select(F.size("v")).union(asked.select(F.size("q"))).distinct().limit(3).collect()]
-    if len(widths) > 1:
-        raise ValueError(f"vectors have different lengths: {sorted(widths)}")
+    widths = shared.select(F.size("v").alias("w")).union(asked.select(F.size("q"))).agg(F.min("w"), F.max("w")).first()
+    if widths[0] != widths[1]:  # missing components count as zero
+        filled = lambda c: F.concat(c, F.array_repeat(F.lit(0).cast("long"), F.lit(widths[1]) - F.size(c))).alias(c)
+        # vectors that become equal are told apart by nothing but their ids
+        shared = common.cut(shared.select(filled("v"), F.explode("ids").alias("vec_id")).withColumn("n", F.row_number().over(least)).where(
+            F.col("n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
+        asked = common.cut(asked.select("query_id", filled("q")).distinct())
+        n = shared.count()
     blocks, groups = max(1, -(-n // block)), max(1, -(-m // group))
     blocked = shared.withColumn("b", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int"))
     grouped = asked.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))

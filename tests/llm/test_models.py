@@ -138,6 +138,31 @@ def test_stages_keep_clean_documents_and_columns(spark, documents):
     assert sorted(r.doc_id or 0 for r in kept) == [0, 9005, 9006, 9007]
 
 
+CLASHING = ["score", "ambiguous", "lang_pred", "_guess", "key", "mark", "_key", "_mark", "_n", "class", "copies", "of", "of_mark", "spans", "_of", "_of_mark",
+            "_spans", "_leak_key", "_leak_mark", "leak_key", "leak_mark", "id", "unit", "item", "grams", "words", "body", "term", "other_column_5", "a.b"]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:4])
+def test_stages_keep_columns_of_any_name(spark, documents, name, stage):
+    rows = documents.select("doc_id", "text", "lang", "source", "n_chars").where("doc_id < 60 OR doc_id > 9000")
+    for c in CLASHING:
+        rows = rows.withColumn(c, F.lit(f"own {c}"))
+    kept = stage(spark, rows, SF_DIR)
+    assert kept.columns == rows.columns
+    assert kept.select(*[F.col(f"`{c}`") for c in CLASHING]).distinct().collect() == [tuple(f"own {c}" for c in CLASHING)]
+
+
+def test_shorter_vectors_count_as_if_zeros_followed(spark):
+    rows = [(0, [1.0, 2.0, 3.0]), (1, [1.0]), (2, []), (3, [1.0, 0.0, 0.0]), (4, [0.0, -1.0]), (5, None)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    vectors = topk.integer_vectors(table, "vec_id", "embedding")
+    padded = {i: [64 * x for x in v] + [0] * (3 - len(v)) for i, v in rows if v is not None}
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(vectors, vectors, k=3).collect()}
+    for q in padded:
+        order = sorted((-sum(a * b for a, b in zip(padded[q], padded[c])), c) for c in padded if c != q)[:3]
+        assert [got[q, i + 1] for i in range(3)] == [(c, -s) for s, c in order]
+
+
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES if n != "pipeline" and not n.startswith(("op5", "op6", "op1_"))])
 def test_queries_cover_the_whole_table(spark, name):
     rows = queries.QUERIES[name](spark, SF_DIR)
@@ -148,5 +173,9 @@ def test_queries_cover_the_whole_table(spark, name):
         assert {(d, i) for d, t in texts.items() for i, x in items.items() if x in t} <= found
     elif name.startswith("op2"):
         assert rows.count() == common.load(spark, SF_DIR, "conversations").select("conv_id").distinct().count() + 1
+    elif name.startswith("op12"):
+        assert rows.count() == common.load(spark, SF_DIR, "conversations").select("conv_id").distinct().count()
+    elif name.startswith("op13"):
+        assert rows.select("doc_id").distinct().count() == common.load(spark, SF_DIR, "documents").count()
     else:
         assert rows.count() == common.load(spark, SF_DIR, "documents").count()
