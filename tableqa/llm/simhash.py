@@ -17,14 +17,14 @@ are separate members; null ids stay, and a class whose ids are all null has a nu
 
 from __future__ import annotations
 
+import functools
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableqa.llm import common
@@ -163,10 +163,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 # ---------------------------------------------------------------------------------------------------------------
-# Near-duplicates by similarity: wider fingerprints find candidates, exact similarity decides
+# Near-duplicates by similarity: min-hash bands find candidates, wide fingerprints sift them, exact similarity decides
 # ---------------------------------------------------------------------------------------------------------------
 
 BITS = 512
+BANDS, ROWS = 20, 6  # two texts of similarity s share a band with probability s^ROWS: 0.997 over all bands at 0.8
+DEPTH = 3  # times that a crowded value is split, by bands of the same rows in another order
+FEW = 16  # texts of one value that are compared in pairs
+HUB = 256  # pairs of one text that are verified in one place
 
 
 def bit_difference(similarity: float) -> float:
@@ -180,23 +184,6 @@ def filter_radius(similarity: float, bits: int = BITS) -> int:
     return int(p * bits + 3 * (p * (1 - p) * bits) ** 0.5)
 
 
-def segment_plan(distinct: int, similarity: float, recall: float = 0.99, bits: int = BITS) -> tuple[int, int]:
-    """Width of a segment and number of segments for so many fingerprints.
-
-    A segment is a random choice of `width` of the bits; its value is shared with less than one unrelated fingerprint on
-    average. Two texts of just `similarity` differ in d bits, binomially; they pass the filter and agree in one of the
-    segments, that is become candidates, with probability `recall` over both; more similar ones do so more often.
-    """
-    width = min(31, max(12, (max(2, distinct) - 1).bit_length() + 2))
-    p, radius = bit_difference(similarity), filter_radius(similarity, bits)
-    share = np.array([math.comb(bits, d) * p**d * (1 - p) ** (bits - d) for d in range(radius + 1)])
-    apart = np.array([1 - math.comb(bits - d, width) / math.comb(bits, width) for d in range(radius + 1)])
-    segments = 1
-    while segments < 4096 and float((share * (1 - apart**segments)).sum()) < recall:
-        segments += 1
-    return width, segments
-
-
 def _shingle_hashes(found: list[bytes], words: int, first: int, last: int) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
     return np.array([digest(b" ".join(found[i : i + words]), SEED) for i in range(first, last)], dtype=np.uint64)
@@ -230,39 +217,80 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return (hashes + before * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8,
-                    recall: float = 0.99) -> DataFrame:
+_DRAW = np.random.default_rng(SEED)
+_FACTORS = _DRAW.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ORDERS = [np.arange(BANDS * ROWS), *(_DRAW.permutation(BANDS * ROWS) for _ in range(DEPTH))]
+
+
+def agreement(similarity: float) -> int:
+    """Least number of equal min-hashes that candidates may have: the mean at `similarity` less four standard deviations."""
+    rows = BANDS * ROWS
+    return int(similarity * rows - 4 * (similarity * (1 - similarity) * rows) ** 0.5)
+
+
+def min_hashes(shingles: np.ndarray) -> np.ndarray:
+    """Upper half of the least value of the shingles under each of the random orders; -1 where there are none."""
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, dtype=np.uint64)
+    values = shingles.view(np.uint64)
+    for at in range(0, len(values), 256):
+        np.minimum(least, (values[None, at : at + 256] * _FACTORS[:, None]).min(axis=1), out=least)
+    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _bands(least: str, depth: int) -> Column:
+    """Values of the bands at a depth: hashes of ROWS min-hashes each."""
+    order = _ORDERS[depth].reshape(BANDS, ROWS).tolist()
+    return F.array(*[F.xxhash64(F.lit(depth * BANDS + k), *[F.get(F.col(least), F.lit(i)) for i in band]) for k, band in enumerate(order)])
+
+
+def _meetings(entries: DataFrame, everything: bool) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a > b) of entries (value, id) and the entries of crowded values.
+
+    Up to FEW texts of a value are paired with each other; of more, each is paired with the smallest, the hub. With
+    `everything` all texts of a value are paired. Counts and minima are combined before the shuffle.
+    """
+    counts = entries.groupBy("value").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = common.cut(entries.join(counts, "value"))
+    if everything:
+        pairs = met.select("value", F.col("id").alias("a")).join(met.select("value", F.col("id").alias("b")), "value").where("a > b").select("a", "b")
+        return pairs.distinct(), met.limit(0)
+    few = met.where(F.col("n") <= FEW).groupBy("value").agg(F.collect_set("id").alias("ids"))  # FEW ids at most
+    pairs = few.select(F.explode("ids").alias("a"), "ids").select("a", F.explode("ids").alias("b")).where("a > b")
+    crowd = met.where(F.col("n") > FEW)
+    return pairs.union(crowd.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))).distinct(), crowd
+
+
+def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """key, mark (hash of the text), class: classes of texts whose word shingles are `similarity` or more alike.
 
     Two texts link if the exact weighted similarity of their shingles (sum of the smaller by sum of the larger
-    multiplicities) is at least `similarity`. Fingerprints of BITS bits only find candidates: texts that agree in one of
-    the segments of `segment_plan` and differ in at most `filter_radius` bits; a pair of just `similarity` is found with
-    probability `recall`. Texts of the same words are one unit.
-
-    In a segment, each text is paired with the smallest and with its two neighbours in order, which is all pairs where up
-    to four meet. Of these, each text's nearest is verified first. When such links have been joined to classes, pairs
-    inside a class need no check; where more than four meet, those that are apart from the smallest one's class are
-    compared with all that they met. So no candidate is left out and a dense group costs no pairs within a class.
+    multiplicities) is at least `similarity`. Candidates are texts that share one of BANDS min-hash bands, the same number
+    for a table of any size, agree in `agreement` min-hashes, and whose fingerprints of BITS bits differ in at most
+    `filter_radius` bits. Texts of the same words are one unit.
+
+    Of a crowded band value each text is first compared with the smallest, which joins groups of near copies to classes.
+    Where several classes remain, one text for each of them goes on: the value is split by bands of all rows in another
+    order, so texts that merely share a passage part and pairs grow with the texts, not with their square. What is
+    crowded after DEPTH splits is compared in pairs.
+
+    Edges: null texts and texts without words are one class; repeated rows are rows of one class; null keys stay; other
+    columns are not read; an empty table gives no rows.
     """
     body = F.col(f"`{text}`")
     mark = F.xxhash64(F.coalesce(body, F.lit("")))
-    width, segments = segment_plan(docs.select(mark.alias("mark")).distinct().count(), similarity, recall)
-    radius, draw = filter_radius(similarity), np.random.default_rng(SEED)
-    places = np.array([draw.choice(BITS, width, replace=False) for _ in range(segments)])
+    radius, least_equal = filter_radius(similarity), agreement(similarity)
 
-    @F.pandas_udf("unit long, n long, fp array<long>, keys array<int>")
-    def wide(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        weights = 1 << np.arange(width, dtype=np.int64)
+    @F.pandas_udf("unit long, n long, fp array<long>, least array<int>")
+    def signature(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in parts:
             out = []
             for t in part:
                 found = _split(t)
-                bits = wide_bits(found, words)
                 out.append((
                     np.uint64(xxhash.xxh64_intdigest(b" ".join(found), SEED)).astype(np.int64), max(1, len(found) - words + 1),
-                    np.packbits(bits).view(np.int64), (bits[places] @ weights).astype(np.int32),
+                    np.packbits(wide_bits(found, words)).view(np.int64), min_hashes(shingle_set(t, words)),
                 ))
-            yield pd.DataFrame(out, columns=["unit", "n", "fp", "keys"])
+            yield pd.DataFrame(out, columns=["unit", "n", "fp", "least"])
 
     @F.pandas_udf("array<long>")
     def shingles(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -275,70 +303,95 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         total = a.map(len).to_numpy(dtype=float) + b.map(len).to_numpy(dtype=float) - both
         return pd.Series(both / np.maximum(total, 1))
 
-    marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), mark.alias("mark"), wide(body).alias("w")).select("key", "mark", "w.*"))
-    texts = common.cut(marked.select(F.col("unit").alias("id"), "mark", "n", "fp", "keys").dropDuplicates(["id"]))
-    entries = texts.select("id", F.posexplode("keys").alias("s", "value"))
-    meeting, there = Window.partitionBy("s", "value"), Window.partitionBy("s", "value").orderBy("id")
-    met = entries.select(
-        "s", "value", "id", F.min("id").over(meeting).alias("hub"), F.count(F.lit(1)).over(meeting).alias("n"),
-        F.lag("id", 1).over(there).alias("one"), F.lag("id", 2).over(there).alias("two"),
-    ).where("n > 1")
-    crowded = F.col("n") > 4
-    met = common.cut(met.select(
-        "id", F.array_distinct(F.filter(F.array("hub", "one", "two"), lambda x: x.isNotNull() & (x != F.col("id")))).alias("others"),
-        F.when(crowded, F.struct("s", "value", "hub")).alias("crowd"),
-    ).where("size(others) > 0 OR crowd IS NOT NULL"))
+    marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), mark.alias("mark"), signature(body).alias("w")).select("key", "mark", "w.*"))
+    texts = common.cut(marked.select(F.col("unit").alias("id"), "mark", "n", "fp", "least").dropDuplicates(["id"]))
+    units = marked.select("key", "mark", "unit")
     distance = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    possible = (distance <= radius) & (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(similarity - 1e-9))
-    left = texts.select(F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("n").alias("na"))
-    right = texts.select(F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("n").alias("nb"))
+    equal = F.aggregate(F.zip_with("ha", "hb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    possible = (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(similarity - 1e-9)) & (equal >= least_equal) & (distance <= radius)
+    left, right = (texts.select(F.col("id").alias(x), *[F.col(c).alias(f"{c[0] if c != 'least' else 'h'}{x}") for c in ("fp", "n", "least")]) for x in "ab")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of the exact similarity; only texts of candidates are read again."""
+        """Pairs (a, b) of the exact similarity; only texts of candidates are read again. Hubs are dealt to several places."""
         held = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         wanted = texts.select("id", F.col("mark").alias("of")).join(held, "id", "left_semi")
         bodies = docs.select(mark.alias("mark"), F.coalesce(body, F.lit("")).alias("body")).join(common.small(wanted), F.col("mark") == F.col("of"))
         sets = common.cut(bodies.select("id", "body").dropDuplicates(["id"]).select("id", shingles("body").alias("set")))
-        compared = (
-            pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-            .select("a", "b", shared_part("sa", "sb").alias("similarity"))
-        )
-        return compared.where(F.col("similarity") >= similarity).select("a", "b")
+        hubs = common.cut(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / HUB).cast("int").alias("places")))
+        busy = common.small(hubs.where("places > 1"))
+        dealt = pairs.join(busy, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("places", F.lit(1))).cast("int").alias("place"))
+        sent = sets.withColumnRenamed("id", "b").join(hubs, "b").select("b", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.col("set").alias("sb"))
+        compared = dealt.join(sent, ["b", "place"]).join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
+        return compared.select("a", "b", shared_part("sa", "sb").alias("similarity")).where(F.col("similarity") >= similarity).select("a", "b")
 
-    candidates = met.select(F.col("id").alias("a"), F.explode("others").alias("b")).distinct()
-    near = common.cut(candidates.join(left, "a").join(right, "b").where(possible).select("a", "b", distance.alias("d")))
-    nearest = common.cut(near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
-    links = common.cut(verified(nearest))
-    roots = common.cut(components(links))
+    entries = texts.select("id", F.explode(_bands("least", 0)).alias("value"))
+    links = roots = None
 
     def root_of(rows: DataFrame, column: str) -> DataFrame:
+        """Adds the class of a text so far."""
+        if roots is None:
+            return rows.withColumn(f"{column}_root", F.col(column))
         named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
         return rows.join(named, F.col(column) == F.col("_node"), "left").withColumn(f"{column}_root", F.coalesce("_root", column)).drop("_node", "_root")
 
-    more = root_of(root_of(near.select("a", "b").join(nearest, ["a", "b"], "left_anti"), "a"), "b").where("a_root <> b_root").select("a", "b")
-    crowds = common.cut(root_of(root_of(met.where("crowd IS NOT NULL").select("id", "crowd.*"), "id"), "hub"))
-    apart = crowds.where("id_root <> hub_root").select("s", "value", F.col("id").alias("a"), F.col("id_root").alias("a_root"))
-    rest = (
-        apart.join(left, "a")
-        .join(crowds.select("s", "value", F.col("id").alias("b"), F.col("id_root").alias("b_root")).join(right, "b"), ["s", "value"])
-        .where((F.col("a_root") != F.col("b_root")) & possible).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    )
-    final = components(links.union(verified(common.cut(more.union(rest).distinct()))))
-    return marked.join(common.small(final), F.col("unit") == F.col("node"), "left").select(
+    def apart(pairs: DataFrame) -> DataFrame:
+        return root_of(root_of(pairs, "a"), "b").where("a_root <> b_root").select("a", "b")
+
+    # first the nearest candidate of each text, which joins most copies; pairs that are then in one class need no check
+    left_over = []
+    for depth in range(DEPTH + 1):
+        pairs, crowd = _meetings(entries, depth == DEPTH)
+        near = common.cut(apart(pairs).join(left, "a").join(right, "b").where(possible).select("a", "b", distance.alias("d")))
+        if depth == 0 and not near.isEmpty():
+            nearest = common.cut(near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
+            links = common.cut(verified(nearest))
+            roots = common.cut(components(links))
+            near = near.join(nearest, ["a", "b"], "left_anti")
+        left_over.append(near.select("a", "b"))
+        # one text for each class of a crowded value that has several
+        kept = common.cut(root_of(crowd.select("value", "id"), "id").groupBy("value", "id_root").agg(F.min("id").alias("id")))
+        several = kept.groupBy("value").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+        rest = kept.join(several, "value", "left_semi").select("value", "id")
+        if depth == DEPTH or rest.isEmpty():
+            break
+        again = rest.join(texts.select(F.col("id").alias("of"), _bands("least", depth + 1).alias("bands")), F.col("id") == F.col("of"))
+        entries = common.cut(again.select("id", F.explode(F.transform("bands", lambda v: F.xxhash64("value", v))).alias("value")))
+    more = common.cut(apart(functools.reduce(DataFrame.union, left_over)).distinct())
+    if not more.isEmpty():
+        found = verified(more)
+        roots = common.cut(components(found if links is None else links.union(found)))
+    if roots is None:
+        return units.select(F.col("key").alias(key), "mark", F.col("unit").alias("class"))
+    return units.join(common.small(roots), F.col("unit") == F.col("node"), "left").select(
         F.col("key").alias(key), "mark", F.coalesce("root", "unit").alias("class")
     )
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """`docs` with one row for each class: that of the smallest key (null keys last; for equal keys the smallest mark)."""
-    classes = similar_classes(docs, key, text, **options)
-    least = classes.groupBy("class").agg(F.min(F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), "mark")).alias("kept"))
-    kept = least.select(F.col("kept.key").alias("_key"), F.col("kept.mark").alias("_mark"))
-    mark = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    """`docs` with one row for each class: that of the smallest key (null keys last; for equal keys the smallest mark).
+
+    Of rows that agree in key and text the one of the smallest hash of all columns stays. Internal columns get names that
+    `docs` does not have.
+    """
+    classes = common.cut(similar_classes(docs, key, text, **options).toDF("key", "mark", "class"))
+    least = classes.groupBy("class").agg(F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "mark")).alias("kept"))
+    times = classes.groupBy("key", "mark").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    of_key, of_mark, copies = common.free_names(docs, "key", "mark", "copies")
+    kept = least.select(F.col("kept.key").alias(of_key), F.col("kept.mark").alias(of_mark))
+    repeated = times.select(F.col("key").alias("_k"), F.col("mark").alias("_m"), "times")
+    kept = common.cut(kept.join(repeated, F.col(of_key).eqNullSafe(F.col("_k")) & (F.col(of_mark) == F.col("_m")), "left").select(
+        of_key, of_mark, F.coalesce("times", F.lit(1)).alias(copies)
+    ))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    first = Window.partitionBy("_key", "_mark").orderBy(*[c for c in columns[:1]])
-    return (
-        docs.join(kept, F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (mark == F.col("_mark")))
-        .withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*columns)
+    mark = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    same = F.col(f"`{key}`").eqNullSafe(F.col(of_key)) & (mark == F.col(of_mark))
+    once = docs.join(common.small(kept.where(F.col(copies) == 1)), same).select(*columns)
+    more = kept.where(F.col(copies) > 1)
+    if more.isEmpty():
+        return once
+    row = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
+    # the least of a group is found map-side, so rows of one null key and text are one row a task
+    chosen = docs.join(common.small(more), same).select(of_key, of_mark, row.alias("row")).groupBy(of_key, of_mark).agg(
+        F.min_by("row", F.xxhash64("row")).alias("row")
     )
+    return once.union(chosen.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)]))

@@ -128,6 +128,59 @@ def test_similar_classes_hold_the_threshold(spark):
     assert len({got[1000 + i] for i in range(3)}) == 3
 
 
+def test_pairs_grow_with_texts_that_share_a_majority_shingle(spark, monkeypatch):
+    """Texts whose fingerprints are equal by one frequent shingle, though they are 0.43 alike."""
+    meetings, pairs = simhash._meetings, []
+
+    def counted(entries, everything):
+        found, crowd = meetings(entries, everything)
+        pairs.append(found.count())
+        return found, crowd
+
+    monkeypatch.setattr(simhash, "_meetings", counted)
+    made = {}
+    for n in (100, 300):
+        rows = [(i, "same " * 64 + " ".join(f"t{i}x{k}" for k in range(36))) for i in range(n)]
+        pairs.clear()
+        got = {r["class"] for r in simhash.similar_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert len(got) == n
+        made[n] = sum(pairs)
+    assert made[300] < 5 * max(made[100], 300)
+
+
+def test_recall_against_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, Counter(simhash.shingle_set(r.text, 5).tolist())) for r in docs.collect()]
+    holders, shared = {}, Counter()
+    for i, shingles in rows:
+        for x in shingles:
+            holders.setdefault(x, []).append(i)
+    for ids in holders.values():
+        if len(ids) < 200:
+            shared.update((a, b) for k, a in enumerate(ids) for b in ids[k + 1 :])
+    size = {i: len(s) for i, s in rows}
+    pairs = [(a, b) for (a, b), n in shared.items() if n / (size[a] + size[b] - n) >= 0.8]
+    got = {r.doc_id: r["class"] for r in simhash.similar_classes(docs).collect()}
+    assert len(pairs) > 20
+    assert sum(got[a] == got[b] for a, b in pairs) >= 0.95 * len(pairs)
+    expected = classes(pairs, [i for i, _ in rows])
+    assert all(expected[a] == expected[b] for a in got for b in got if a < b and got[a] == got[b])
+
+
+def test_dropping_with_clashing_names_and_null_keys(spark):
+    columns = ["key", "mark", "class", "copies", "unit", "n", "fp", "bands", "more", "_key", "_mark", "_n", "id", "node", "root"]
+    docs = spark.createDataFrame([(None, "one two three four five six")] * 4 + [(3, "other words stand in this one here")] * 2 + [(9, None)], "doc_id long, text string")
+    for c in columns:
+        docs = docs.withColumn(c, F.lit(c))
+    docs = docs.withColumn("copies", F.monotonically_increasing_id())
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.text, r["class"], r._key) for r in kept.collect()} == {
+        (None, "one two three four five six", "class", "_key"), (3, "other words stand in this one here", "class", "_key"), (9, None, "class", "_key"),
+    }
+    assert kept.count() == 3
+
+
 def test_sharding(spark, documents, texts):
     rows = shards.shard_documents(documents, 24).collect()
     assert len(rows) == len(texts)
