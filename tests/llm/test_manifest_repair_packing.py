@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tableqa.llm import merkle, packing, repair
+from oracle_check import connect, difference
+from tableqa.llm import merkle, packing, queries, repair
 from tableqa.llm.queries import tokenizer_path
 
 WORDS = tokenizer_path("word_bpe_49k.json")
@@ -277,3 +278,9 @@ def test_packing_of_odd_tables(spark):
     rows = packing.pack(copies, WORDS, shard_tokens=600).collect()
     assert sum(r.length for r in rows) == 500 * 4 + 300
     assert len({r.sequence_id >> 32 for r in rows}) > 10  # one text of many copies is split over shards
+
+
+@pytest.mark.parametrize("name", ["op11_merkle_manifest", "op12_conversation_repair"])
+def test_queries_equal_their_sql(spark, name):
+    sf_dir = "/root/testdata/sf0.001"
+    assert difference(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLES[name]) is None
