@@ -33,6 +33,11 @@ from tableqa.llm import common
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 _PARTS = 4
+MARKS = ("size", "loss_from", "position", "attention", "intervals")
+DIGESTS = (
+    "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
+    "positions_sha256", "attention_sha256", "n_intervals",
+)
 
 
 def escaped(text: Column) -> Column:
@@ -145,30 +150,38 @@ def _places(chains: DataFrame) -> DataFrame:
 
 
 def read_back(nodes: DataFrame, conversations: DataFrame) -> DataFrame:
-    """Each conversation's formatted text and loss spans (in it, end exclusive), put together from the stream.
+    """Each conversation's formatted text and marks of its turns, read through its intervals of the stream.
 
-    A chain's nodes are joined to a text once; a conversation takes the begin of every chain it runs through.
+    A chain's nodes are put together once; of each interval a conversation takes the nodes that start in it. Marks (in
+    order of the turns): size, loss_from, position of the first token, attention (digest of the intervals attended to,
+    as `start-end` joined by commas) and how many these are.
     """
-    blocks = nodes.groupBy("chain").agg(F.sort_array(F.collect_list(F.struct("depth", "segment", "loss_from"))).alias("nodes"))
-    blocks = blocks.select(
-        F.col("chain").alias("of"), F.array_join(F.transform("nodes", lambda n: n["segment"]), "").alias("block"),
-        F.transform("nodes", lambda n: F.struct(F.length(n["segment"]).alias("size"), n["loss_from"].alias("loss_from"))).alias("marks"),
+    intervals = F.array_join(F.transform("attends", lambda a: F.concat_ws("-", a["start"], a["end"])), ",")
+    marked = F.struct(
+        "start", "segment", "size", "loss_from", "position",
+        F.sha2(intervals.cast("binary"), 256).alias("attention"), F.size("attends").cast("long").alias("intervals"),
     )
+    blocks = nodes.groupBy("chain").agg(F.sort_array(F.collect_list(marked)).alias("nodes")).withColumnRenamed("chain", "of")
+    inside = F.filter("nodes", lambda n: (n["start"] >= F.col("begin")) & (n["start"] < F.col("end")))
     parts = (
-        conversations.select("conv", F.explode("runs").alias("run")).select("conv", "run.*")
+        conversations.select("conv", F.explode("runs").alias("run"))
+        .select("conv", "run.n", "run.chain", F.col("run.start").alias("begin"), F.col("run.end").alias("end"))
         .join(blocks, F.col("chain").eqNullSafe(F.col("of")))
-        .select("conv", F.struct("n", F.substring("block", F.lit(1), (F.col("end") - F.col("start")).cast("int")).alias("text"),
-                                 F.slice("marks", F.lit(1), F.col("turns").cast("int")).alias("marks")).alias("part"))
-        .groupBy("conv").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+        .groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("n", inside.alias("nodes")))).alias("parts"))
     )
-    return parts.select(
-        "conv", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("formatted"),
-        F.flatten(F.transform("parts", lambda p: p["marks"])).alias("marks"),
+    turns = parts.select("conv", F.flatten(F.transform("parts", lambda p: p["nodes"])).alias("turns"))
+    return turns.select(
+        "conv", F.array_join(F.transform("turns", lambda n: n["segment"]), "").alias("formatted"),
+        F.transform("turns", lambda n: F.struct(*[n[c].alias(c) for c in MARKS])).alias("marks"),
     )
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """Turns, loss texts and their digests, parsed from the formatted text and its loss marks."""
+    """Turns, loss texts and their digests, parsed from the formatted text and its marks.
+
+    positions_sha256 is of the turns' position ids joined by commas, attention_sha256 of their attention digests joined by
+    newlines; n_intervals counts the intervals that the turns attend to.
+    """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -182,14 +195,17 @@ def digests(formatted: DataFrame) -> DataFrame:
                         loss.append(unescaped(text[at + int(start) : at + int(size) - len(END)]))
                     at += int(size)
                 learnt = "".join(loss)
+                positions, attention = ",".join(str(m["position"]) for m in marks), "\n".join(m["attention"] for m in marks)
                 out.append((
                     conv, len(turns), hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest(),
                     len(learnt), hashlib.sha256(learnt.encode()).hexdigest(), len(text),
+                    hashlib.sha256(positions.encode()).hexdigest(), hashlib.sha256(attention.encode()).hexdigest(),
+                    sum(m["intervals"] for m in marks),
                 ))
-            yield pd.DataFrame(out, columns=["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+            yield pd.DataFrame(out, columns=["conv", *DIGESTS])
 
     # ids travel as text, since pandas would turn whole numbers with nulls into floats
     kind = dict(formatted.dtypes)["conv"]
     return formatted.withColumn("conv", F.col("conv").cast("string")).mapInPandas(
-        read, "conv string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+        read, "conv string, " + ", ".join(f"{name} {'string' if name.endswith('sha256') else 'long'}" for name in DIGESTS)
     ).withColumn("conv", F.col("conv").cast(kind))

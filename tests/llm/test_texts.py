@@ -246,3 +246,48 @@ def test_the_stream_is_depth_first_and_shares_turns(talks):
         assert len(path) == n.depth and seen == "".join(path) + n.segment  # depth-first: ancestors are on the current path
         path.append(n.segment)
     assert sum("<|turn|>user<|text|>turn 0<|end|>" == n.segment and n.depth == 0 for n in nodes) == 1
+
+
+def test_positions_and_attention_against_a_walk_of_the_tree(talks):
+    """The digests of the query against a tree of nested dicts that is walked depth-first, a chain before its branches."""
+    df, rows = talks
+
+    def segment(role, text):
+        marked = [re.sub(r"([<\[])(\\*)(\||/?s>|/?INST\])", r"\1\\\2\3", part or "") for part in (role, text)]
+        return f"{chat.TURN}{marked[0]}{chat.TEXT}{marked[1]}{chat.END}"
+
+    def rank(conv):
+        return (conv is not None, conv or 0)
+
+    root = {"children": {}}
+    convs = {conv: [segment(r[2], r[3]) for r in sorted((r for r in rows if r[0] == conv), key=lambda r: r[1])] for conv in {r[0] for r in rows}}
+    for conv in sorted(convs, key=rank):  # the smallest conversation that passes through a node owns it
+        at = root
+        for text in convs[conv]:
+            at = at["children"].setdefault(text, {"children": {}, "owner": conv, "text": text})
+    place, todo = 0, [(root, 0, [])]
+    while todo:
+        node, position, spans = todo.pop()
+        if node is not root:
+            node["position"] = position
+            size, same = len(node["text"]), spans and spans[-1][2] == node["owner"]
+            spans = [*spans[:-1], (spans[-1][0], place + size, node["owner"])] if same else [*spans, (place, place + size, node["owner"])]
+            node["attends"] = ",".join(f"{a}-{b}" for a, b, _ in spans)
+            node["n"], place, position = len(spans), place + size, position + size
+        own = node.get("owner", "no conversation")
+        after = sorted(node["children"].values(), key=lambda c: (c["owner"] != own, rank(c["owner"])))
+        todo += [(child, position, spans) for child in reversed(after)]
+    nodes, conversations = chat.prefix_tree(df)
+    got = {r.conv: r for r in chat.digests(chat.read_back(nodes, conversations)).collect()}
+    assert got.keys() == convs.keys()
+    for conv, texts in convs.items():
+        at, path = root, []
+        for text in texts:
+            at = at["children"][text]
+            path.append(at)
+        r = got[conv]
+        masks = [hashlib.sha256(n["attends"].encode()).hexdigest() for n in path]
+        assert r.positions_sha256 == hashlib.sha256(",".join(str(n["position"]) for n in path).encode()).hexdigest()
+        assert r.attention_sha256 == hashlib.sha256("\n".join(masks).encode()).hexdigest()
+        assert r.n_intervals == sum(n["n"] for n in path)
+    assert place == max(e for n in nodes.collect() for e in [n.start + n.size])
