@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tableqa import jobs
 from tableqa.functions import hashing, names, values
-from tableqa.operators import changes, checks, compare, extract, frequent, locate, metrics
+from tableqa.operators import changes, checks, compare, extract, frequent, incremental, locate, metrics
 from tableqa.operators.numbering import number_rows
 from tableqa.plans import build, run, select
 from tableqa.sinks import manifest, writers
@@ -1337,3 +1337,27 @@ def _(spark, sf):
 @query("manifest_page", _full_sql(4000, "WHERE n BETWEEN 701 AND 1400"))
 def _(spark, sf):
     return manifest.numbered_page(spark, numbered_orders(spark, sf), 701, 1400)
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Metrics from the stored states of files
+# ---------------------------------------------------------------------------------------------------------------
+
+def two_deliveries(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Folders of orders that came in two deliveries, and of the states of their files; each was measured when it came."""
+    data, states = tables.staging_path(spark, "deliveries"), tables.staging_path(spark, "states")
+    orders = load(spark, sf, "orders")
+    for part in (orders.where("o_orderstatus <> 'O'"), orders.where("o_orderstatus = 'O'")):
+        writers.write_extract(part, data, mode="append")
+        incremental.measure_new_files(spark, data, states, ["o_custkey", "o_orderpriority"])
+    return data, states
+
+
+@query("incremental_metrics", _metric_rows("orders", ORDER_COLUMNS, "o_custkey"))
+def _(spark, sf):
+    return incremental.merged_metrics(spark, *two_deliveries(spark, sf), primary_key="o_custkey")
+
+
+@query("incremental_top_values", _top_sql("SELECT * FROM orders", "o_custkey", 10))
+def _(spark, sf):
+    return incremental.merged_top_values(spark, *two_deliveries(spark, sf), "o_custkey", n=10)
