@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableqa.functions.names import col_of
+from tableqa.sources.tables import stage
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKET_ROWS = 10_000
 SAMPLES_PER_BUCKET = 20
+MOST_BUCKETS = 1 << 20  # what a field of a bucket number holds
 COMPILED_STEPS = 9  # steps of the bound search that Spark compiles; more are folded, with the same result
 
 _BUCKET, _HASH, _POS, _COUNT, _CHUNK, _BASE = (
@@ -70,16 +72,18 @@ def _row_hash(df: DataFrame) -> Column:
 
 
 def plan_layout(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET, seed: int = 7) -> Layout:
-    """Choose the buckets from a row count and a sample of the key column. `rows_per_bucket` alone decides how many;
-    a table that fits one bucket has no bounds."""
+    """Choose the buckets from a row count and a sample of the key column: enough for `rows_per_bucket` and for all tasks,
+    unless that left fewer than MIN_BUCKET_ROWS in each. A table of one bucket has no bounds."""
     order_key, key_type = _order_key(df, key)
     layout = Layout(key_type)
     total = df.count()
-    if total <= rows_per_bucket:
-        return layout
     # Some more buckets than shuffle partitions, so that hashing the bucket numbers spreads them evenly.
     spread = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // MIN_BUCKET_ROWS)
-    buckets = max(-(-total // rows_per_bucket), spread, 2)
+    buckets = max(-(-total // rows_per_bucket), spread)
+    if buckets < 2:
+        return layout
+    if buckets >= MOST_BUCKETS:
+        raise ValueError(f"{buckets} buckets, but a table may have {MOST_BUCKETS - 1}: raise rows_per_bucket")
 
     fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / total)
     sample = df.select(order_key.alias("k")).sample(fraction, seed=seed)
@@ -281,3 +285,21 @@ def number_rows(
     restored = [col_of(c).cast(floats[c]).alias(c) if c in floats else col_of(c) for c in df.columns]
     heavy = chunks.select(*restored, F.explode(F.sequence(first, last)).alias(out))
     return light.unionByName(heavy)
+
+
+def running_totals(df: DataFrame, order: list[str], size: str, out: str) -> DataFrame:
+    """Add the sum of `size` over all rows before, in `order` (NULLs first), which must tell the rows apart.
+
+    The rows are staged once in ranges of that order, so the range of a row stays the same; one row for each range
+    carries its total, which bounds the single-task sum and the broadcast.
+    """
+    sorting = [col_of(c).asc_nulls_first() for c in order]
+    ranges = stage(df.repartitionByRange(*sorting).withColumn("__range", F.spark_partition_id()), "ranges")
+    zero = F.lit(0).cast("bigint")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranges.groupBy("__range").agg(F.sum(col_of(size)).alias("__total")).select(
+        "__range", F.coalesce(F.sum("__total").over(before), zero).alias(_BASE)
+    )
+    inside = Window.partitionBy("__range").orderBy(*sorting).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranges.withColumn(out, F.coalesce(F.sum(col_of(size)).over(inside), zero)).join(F.broadcast(totals), "__range")
+    return summed.select(*[col_of(c) for c in df.columns], (F.col(_BASE) + F.col(out)).cast("bigint").alias(out))

@@ -19,7 +19,7 @@ from tableqa.functions.names import (
     quote_ident,
 )
 from tableqa.operators.checks import TOP_VALUES
-from tableqa.operators.numbering import ROWS_PER_BUCKET, number_rows
+from tableqa.operators.numbering import running_totals
 from tableqa.schemas import PLAN
 
 TABLE = ("table_catalog", "table_schema", "table_name")
@@ -144,7 +144,6 @@ def generate_plan(
     dialect: str = "spark",
     parts: int = 3,
     skip_empty: bool = True,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
     hash_encoding: str | None = None,
     null_token: str | None = None,
 ) -> DataFrame:
@@ -160,7 +159,7 @@ def generate_plan(
     if skip_empty:
         tables = tables.filter(F.size("columns") > 0)
 
-    # One light row per check, numbered before any text is built; the column list goes along where a text needs it.
+    # One light row per check; the column list goes along where a text needs it.
     def rows_of(check: str) -> Column:
         one = F.array(F.struct(F.lit(check).alias("kind"), F.lit(None).cast("string").alias("column")))
         if check == COUNT_CHECK:
@@ -169,17 +168,15 @@ def generate_plan(
             return F.transform("columns", lambda c: F.struct(F.lit(check).alias("kind"), c.alias("column")))
         return F.when(F.size("columns") > 0, one).otherwise(F.slice(one, 1, 0))
 
-    rows = tables.select(
-        *TABLE, "columns", "first", F.posexplode(F.concat(*[rows_of(c) for c in checks])).alias("position", "row")
-    )
+    tables = tables.withColumn("checks", F.concat(*[rows_of(c) for c in checks]))
+    # Tables are numbered by running totals of their checks, so only one row for each table is sorted.
+    tables = running_totals(tables.withColumn("size", F.size("checks")), list(TABLE), "size", "before")
+    rows = tables.select(*TABLE, "columns", "first", "before", F.posexplode("checks").alias("position", "row"))
     needs_columns = F.col("row.kind").isin(NULLS_CHECK, HASH_CHECK) & F.col("row.column").isNull()
-    rows = rows.select(
-        *TABLE, "first", "position", "row.*", F.when(needs_columns, F.col("columns")).alias("columns")
+    numbered = rows.select(
+        (F.col("before") + F.col("position") + 1).alias("query_id"), *TABLE, "first", "row.*",
+        F.when(needs_columns, F.col("columns")).alias("columns"),
     )
-    # A text key that sorts like (catalog, schema, table, position): NUL sorts below every other character.
-    names = [F.coalesce(F.col(c), F.lit("")) for c in TABLE]
-    order = F.concat_ws("\u0000", *names, F.lpad(F.col("position").cast("string"), 9, "0"))
-    numbered = number_rows(rows.withColumn("__order", order), "__order", "query_id", rows_per_bucket)
 
     key = F.col("first")
     if isinstance(pk, str):

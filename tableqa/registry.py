@@ -607,12 +607,12 @@ SELECT row_number() OVER (ORDER BY table_catalog, table_schema, table_name, chec
 
 @query("generate_plan", _plan_sql(True, True, build.ALL_CHECKS) + " SELECT * FROM plan")
 def _(spark, sf):
-    return build.generate_plan(part_catalog(spark, sf), build.ALL_CHECKS, rows_per_bucket=BUCKET)
+    return build.generate_plan(part_catalog(spark, sf), build.ALL_CHECKS)
 
 
 @query("generate_plan_narrow", _plan_sql(False, False, build.CHECKS) + " SELECT * FROM plan")
 def _(spark, sf):
-    return build.generate_plan(part_catalog(spark, sf), nulls="narrow", dialect="tsql", rows_per_bucket=BUCKET)
+    return build.generate_plan(part_catalog(spark, sf), nulls="narrow", dialect="tsql")
 
 
 def part_plan(spark: SparkSession, sf: str) -> DataFrame:
@@ -1081,7 +1081,7 @@ def _(spark, sf):
     """A saved plan (written twice, so replaced), merged with itself under new numbers."""
     path = tables.staging_path(spark, "plan_table")
     for _ in range(2):
-        jobs.job_generate_plan(part_catalog(spark, sf), path=path, checks=build.ALL_CHECKS, rows_per_bucket=BUCKET)
+        jobs.job_generate_plan(part_catalog(spark, sf), path=path, checks=build.ALL_CHECKS)
     saved = spark.read.parquet(path)
     return build.merge_plans(saved, saved)
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -89,3 +91,23 @@ def test_the_bucket_search_is_compiled_into_the_scan_stage(spark):
 def test_registered_numberings_run_in_buckets(spark, table, key, size):
     df = spark.read.parquet(f"/root/testdata/sf0.01/{table}.parquet")
     assert len(numbering.plan_layout(df, key, size).bounds) > 1
+
+
+def test_running_totals(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, "", "a", "b"]), i, rng.randrange(4)) for i in range(400)]
+    df = spark.createDataFrame(rows, "a string, b int, n int").repartition(5)
+    got = {(r.a, r.b): r.before for r in numbering.running_totals(df, ["a", "b"], "n", "before").collect()}
+    total = 0
+    for a, b, n in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1])):
+        assert got[a, b] == total
+        total += n
+    assert len(got) == len(rows)
+    assert numbering.running_totals(df.limit(0), ["a"], "n", "before").count() == 0
+
+
+def test_buckets_for_all_tasks_and_no_more_than_a_number_holds(spark):
+    assert numbering.plan_layout(spark.range(15_000), "id").bounds == []
+    assert len(numbering.plan_layout(spark.range(45_000), "id").bounds) >= 3  # below a million rows, but worth several tasks
+    with pytest.raises(ValueError, match="rows_per_bucket"):
+        numbering.plan_layout(spark.range(1 << 20), "id", rows_per_bucket=1)
