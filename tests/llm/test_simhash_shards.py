@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 from collections import Counter
@@ -206,3 +207,15 @@ def test_weights_and_moves(spark):
         shards.rendezvous_shard(F.col("k"), [1, 0])
     copies = keys.select(F.lit(1).alias("a"), F.lit(0).alias("shard"))
     assert [tuple(r) for r in shards.number_slots(copies).agg(F.min("slot"), F.max("slot"), F.count_distinct("slot")).collect()] == [(0, 19_999, 20_000)]
+
+
+def test_shards_equal_a_plain_draw(spark, documents):
+    def shard_of(key, weights):
+        seed = 42 if key is None else xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+        units = [((xxhash.xxh64_intdigest(i.to_bytes(4, "little"), seed) >> 11) + 0.5) / 2**53 for i in range(len(weights))]
+        return max(range(len(weights)), key=lambda i: (-weights[i] / math.log(units[i]), -i))
+
+    for r in shards.shard_documents(documents, 24).collect():
+        assert (r.shard, r.grown_shard) == (shard_of(r.doc_id, [1.0] * 24), shard_of(r.doc_id, [1.0] * 25))
+    keys = spark.range(-500, 1500).withColumnRenamed("id", "k")
+    assert all(r.shard == shard_of(r.k, [1, 2, 5]) for r in shards.assign_shards(keys, "k", [1, 2, 5]).collect())

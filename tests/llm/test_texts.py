@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tableqa.llm import chat, decontaminate, langid, licenses, pieces, pii
+from tableqa.llm import chat, common, decontaminate, langid, licenses, pieces, pii
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -49,6 +49,13 @@ def test_language_id(spark, documents, texts):
     assert {r.lang_pred for r in one} == {"de", "und"}
 
 
+def test_language_id_of_documents_it_has_not_learned_from(documents):
+    held_out = common.fold("doc_id", 5) == 0
+    model = langid.train(documents.where(~held_out))
+    rows = langid.predict(documents.where(held_out).where("doc_id < 9000"), model).collect()
+    assert len(rows) > 30 and sum(r.lang_pred == r.lang for r in rows) > 0.97 * len(rows)
+
+
 def test_codewords_tell_languages_apart():
     for n in (2, 3, 5, 12):
         code = langid.codewords(n)
