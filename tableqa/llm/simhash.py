@@ -168,7 +168,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 BITS = 512
 BANDS, ROWS = 20, 6  # two texts of similarity s share a band with probability s^ROWS: 0.997 over all bands at 0.8
-DEPTH = 3  # times that a crowded value is split, by bands of the same rows in another order
+DEPTH = 3  # times that a crowded value is split
+SPLITS, SPLIT_ROWS = 5, 5  # bands that split a crowded value and their rows: a pair of 0.8 meets 1.6 times in a split, of 0.7 0.8 times
 FEW = 16  # texts of one value that are compared in pairs
 HUB = 256  # pairs of one text that are verified in one place
 
@@ -237,10 +238,22 @@ def min_hashes(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _bands(least: str, depth: int) -> Column:
-    """Values of the bands at a depth: hashes of ROWS min-hashes each."""
-    order = _ORDERS[depth].reshape(BANDS, ROWS).tolist()
-    return F.array(*[F.xxhash64(F.lit(depth * BANDS + k), *[F.get(F.col(least), F.lit(i)) for i in band]) for k, band in enumerate(order)])
+def _bands(least: str, groups: list[list[int]], seed: int) -> Column:
+    """Hashes of groups of min-hashes."""
+    return F.array(*[F.xxhash64(F.lit(seed + k), *[F.get(F.col(least), F.lit(i)) for i in group]) for k, group in enumerate(groups)])
+
+
+def _first_bands(least: str) -> Column:
+    return _bands(least, _ORDERS[0].reshape(BANDS, ROWS).tolist(), 0)
+
+
+def _split_bands(value: str, least: str, depth: int) -> Column:
+    """Values of the SPLITS bands by which a crowded value is split: neighbours in a ring of bands, from a place that the
+    value chooses, so that a pair which no band of one value joins has another chance in the next value it meets in."""
+    ring = _ORDERS[depth].reshape(-1, SPLIT_ROWS).tolist()
+    bands = _bands(least, ring, depth * BANDS * ROWS)
+    start = (F.pmod(F.col(value), F.lit(len(ring))) + 1).cast("int")
+    return F.transform(F.slice(F.concat(bands, bands), start, F.lit(SPLITS)), lambda band: F.xxhash64(F.col(value), band))
 
 
 def _meetings(entries: DataFrame, everything: bool) -> tuple[DataFrame, DataFrame]:
@@ -269,9 +282,10 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     `filter_radius` bits. Texts of the same words are one unit.
 
     Of a crowded band value each text is first compared with the smallest, which joins groups of near copies to classes.
-    Where several classes remain, one text for each of them goes on: the value is split by bands of all rows in another
-    order, so texts that merely share a passage part and pairs grow with the texts, not with their square. What is
-    crowded after DEPTH splits is compared in pairs.
+    Where several classes remain, one text for each of them goes on: the value is split by SPLITS bands of further
+    min-hashes, so texts that merely share a passage part and pairs grow with the texts, not with their square; a pair of
+    0.8 is met by one band of all the splits at least with probability 0.99. What is crowded after DEPTH splits is
+    compared in pairs.
 
     Edges: null texts and texts without words are one class; repeated rows are rows of one class; null keys stay; other
     columns are not read; an empty table gives no rows.
@@ -324,7 +338,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         compared = dealt.join(sent, ["b", "place"]).join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
         return compared.select("a", "b", shared_part("sa", "sb").alias("similarity")).where(F.col("similarity") >= similarity).select("a", "b")
 
-    entries = texts.select("id", F.explode(_bands("least", 0)).alias("value"))
+    entries = texts.select("id", F.explode(_first_bands("least")).alias("value"))
     links = roots = None
 
     def root_of(rows: DataFrame, column: str) -> DataFrame:
@@ -354,8 +368,8 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         rest = kept.join(several, "value", "left_semi").select("value", "id")
         if depth == DEPTH or rest.isEmpty():
             break
-        again = rest.join(texts.select(F.col("id").alias("of"), _bands("least", depth + 1).alias("bands")), F.col("id") == F.col("of"))
-        entries = common.cut(again.select("id", F.explode(F.transform("bands", lambda v: F.xxhash64("value", v))).alias("value")))
+        again = rest.join(texts.select(F.col("id").alias("of"), "least"), F.col("id") == F.col("of"))
+        entries = common.cut(again.select("id", F.explode(_split_bands("value", "least", depth + 1)).alias("value")))
     more = common.cut(apart(functools.reduce(DataFrame.union, left_over)).distinct())
     if not more.isEmpty():
         found = verified(more)
