@@ -169,8 +169,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 BITS = 512
 BANDS, ROWS = 20, 6  # two texts of similarity s share a band with probability s^ROWS: 0.997 over all bands at 0.8
 DEPTH = 3  # times that a crowded value is split
-SPLITS, SPLIT_ROWS = 5, 5  # bands that split a crowded value and their rows: a pair of 0.8 meets 1.6 times in a split, of 0.7 0.8 times
-FEW = 16  # texts of one value that are compared in pairs
+SPLITS, SPLIT_ROWS = 9, 8  # bands that split a crowded value and their rows: a pair of 0.8 meets 1.5 times in a split, of 0.7 0.5 times
+FEW = (16, 16, 128)  # texts of one value that are compared in pairs, by splits so far; of more splits the texts are likelier alike
 HUB = 256  # pairs of one text that are verified in one place
 
 
@@ -220,7 +220,7 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 _DRAW = np.random.default_rng(SEED)
 _FACTORS = _DRAW.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ORDERS = [np.arange(BANDS * ROWS), *(_DRAW.permutation(BANDS * ROWS) for _ in range(DEPTH))]
+_RINGS = [np.concatenate([_DRAW.permutation(BANDS * ROWS) for _ in range(3)]).reshape(-1, SPLIT_ROWS).tolist() for _ in range(DEPTH)]
 
 
 def agreement(similarity: float) -> int:
@@ -244,32 +244,32 @@ def _bands(least: str, groups: list[list[int]], seed: int) -> Column:
 
 
 def _first_bands(least: str) -> Column:
-    return _bands(least, _ORDERS[0].reshape(BANDS, ROWS).tolist(), 0)
+    return _bands(least, np.arange(BANDS * ROWS).reshape(BANDS, ROWS).tolist(), 0)
 
 
 def _split_bands(value: str, least: str, depth: int) -> Column:
     """Values of the SPLITS bands by which a crowded value is split: neighbours in a ring of bands, from a place that the
     value chooses, so that a pair which no band of one value joins has another chance in the next value it meets in."""
-    ring = _ORDERS[depth].reshape(-1, SPLIT_ROWS).tolist()
+    ring = _RINGS[depth - 1]
     bands = _bands(least, ring, depth * BANDS * ROWS)
     start = (F.pmod(F.col(value), F.lit(len(ring))) + 1).cast("int")
     return F.transform(F.slice(F.concat(bands, bands), start, F.lit(SPLITS)), lambda band: F.xxhash64(F.col(value), band))
 
 
-def _meetings(entries: DataFrame, everything: bool) -> tuple[DataFrame, DataFrame]:
+def _meetings(entries: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a > b) of entries (value, id) and the entries of crowded values.
 
-    Up to FEW texts of a value are paired with each other; of more, each is paired with the smallest, the hub. With
-    `everything` all texts of a value are paired. Counts and minima are combined before the shuffle.
+    Up to `most` texts of a value are paired with each other; of more, each is paired with the smallest, the hub. With
+    None all texts of a value are paired. Counts and minima are combined before the shuffle.
     """
     counts = entries.groupBy("value").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     met = common.cut(entries.join(counts, "value"))
-    if everything:
+    if most is None:
         pairs = met.select("value", F.col("id").alias("a")).join(met.select("value", F.col("id").alias("b")), "value").where("a > b").select("a", "b")
         return pairs.distinct(), met.limit(0)
-    few = met.where(F.col("n") <= FEW).groupBy("value").agg(F.collect_set("id").alias("ids"))  # FEW ids at most
+    few = met.where(F.col("n") <= most).groupBy("value").agg(F.collect_set("id").alias("ids"))
     pairs = few.select(F.explode("ids").alias("a"), "ids").select("a", F.explode("ids").alias("b")).where("a > b")
-    crowd = met.where(F.col("n") > FEW)
+    crowd = met.where(F.col("n") > most)
     return pairs.union(crowd.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))).distinct(), crowd
 
 
@@ -284,7 +284,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     Of a crowded band value each text is first compared with the smallest, which joins groups of near copies to classes.
     Where several classes remain, one text for each of them goes on: the value is split by SPLITS bands of further
     min-hashes, so texts that merely share a passage part and pairs grow with the texts, not with their square; a pair of
-    0.8 is met by one band of all the splits at least with probability 0.99. What is crowded after DEPTH splits is
+    0.8 is met by one band of all the splits at least with probability 0.98. What is crowded after DEPTH splits is
     compared in pairs.
 
     Edges: null texts and texts without words are one class; repeated rows are rows of one class; null keys stay; other
@@ -354,7 +354,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     # first the nearest candidate of each text, which joins most copies; pairs that are then in one class need no check
     left_over = []
     for depth in range(DEPTH + 1):
-        pairs, crowd = _meetings(entries, depth == DEPTH)
+        pairs, crowd = _meetings(entries, FEW[depth] if depth < DEPTH else None)
         near = common.cut(apart(pairs).join(left, "a").join(right, "b").where(possible).select("a", "b", distance.alias("d")))
         if depth == 0 and not near.isEmpty():
             nearest = common.cut(near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
