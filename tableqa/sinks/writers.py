@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tableqa.schemas import PLAN, QA_RESULTS
 
 CHUNK_SIZE = 100_000
+SINGLE_ROW_GROUP = 500_000  # rows of a row group of a single file at most, so that many tasks can read the file
 
 
 def write_extract(df: DataFrame, path: str, chunk_size: int = CHUNK_SIZE, mode: str = "errorifexists") -> str:
@@ -31,7 +32,8 @@ def write_single(
     if path.endswith("/"):
         path = f"{path}extract_{run_ts:%Y%m%d_%H%M%S}.snappy.parquet"
     spark = df.sparkSession
-    (df.coalesce(1) if single else df).write.mode(mode).option("compression", "snappy").parquet(path)
+    writer = (df.coalesce(1) if single else df).write.mode(mode).option("compression", "snappy")
+    (writer.option("parquet.block.row.count.limit", SINGLE_ROW_GROUP) if single else writer).parquet(path)
     if spark.read.schema(df.schema).parquet(path).isEmpty():
         remove_folder(spark, path)
         return None

@@ -2,6 +2,7 @@ import json
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -316,6 +317,13 @@ def test_extract_and_qa(spark, shop, tmp_path):
     assert [(r.parquet_path, r.result_value) for r in empty.collect()] == [(None, "41")]
 
 
+def test_single_file_has_row_groups_for_several_readers(spark, tmp_path):
+    path = writers.write_single(spark.range(1_200_000), f"{tmp_path}/one", RUN_TS)
+    (name,) = files(path)
+    held = pq.ParquetFile(name).metadata
+    assert [held.row_group(i).num_rows for i in range(held.num_row_groups)] == [500_000, 500_000, 200_000]
+
+
 def test_query_compare(spark, shop, tmp_path):
     df = shop[0]
     check = {"query_id": 5, "table_name": "Shop", "check_type": "equality"}
