@@ -95,16 +95,21 @@ def observed_metrics(
     per_file: bool = False,
     exclude: tuple[str, ...] = (*EXTRACT_METADATA, "batch_id"),
     footers_of: str | None = None,
+    per: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Metrics of a table, or of every file it was read from.
+    """Metrics of a table, of every file it was read from, or of every part: the rows that agree in the columns `per`,
+    which are not measured. The partition columns of a table tell its folders apart, however many files they hold.
 
     Wanted columns that the table lacks give no row. Counts need no shuffle; duplicates read the key alone.
     `footers_of` is the Parquet folder that `df` reads in full: counts then come from its footers.
     """
-    if per_file and footers_of is not None:
-        raise ValueError("footers give counts of the whole folder, not of every file")
-    keys = [F.col("_metadata.file_path").alias("file_path")] if per_file else []
-    present = [c for c in df.columns if c not in exclude]
+    if (per_file or per) and footers_of is not None:
+        raise ValueError("footers give counts of the whole folder, not of every file or part")
+    if per_file and per:
+        raise ValueError("metrics are of every file or of every part, not both")
+    shards = ("file_path",) if per_file else per
+    keys = [F.col("_metadata.file_path").alias("file_path")] if per_file else [col_of(c) for c in per]
+    present = [c for c in df.columns if c not in exclude and c not in per]
     if needed.nulls == "all":
         columns = present
     else:
@@ -115,11 +120,11 @@ def observed_metrics(
     key_columns = [c for k in needed.primary_key for c in df.columns if snake_name(c) == k]
     if needed.duplicates and len(key_columns) == len(needed.primary_key):
         excess = duplicate_excess(df, key_columns, keys)
-        files = [F.col("__per_0").alias("file_path")] if per_file else []
-        parts.append(excess.select(*files, F.lit(DUPLICATES_CHECK).alias("key"), F.col("excess_rows").alias("value")))
+        named = [F.col(f"__per_{i}").alias(n) for i, n in enumerate(shards)]
+        parts.append(excess.select(*named, F.lit(DUPLICATES_CHECK).alias("key"), F.col("excess_rows").alias("value")))
     if not parts:
-        schema = "file_path string, key string, value bigint" if per_file else "key string, value bigint"
-        return df.sparkSession.createDataFrame([], schema)
+        named = [T.StructField("file_path", T.StringType())] if per_file else [df.schema[c] for c in per]
+        return df.sparkSession.createDataFrame([], T.StructType([*named, *METRIC]))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

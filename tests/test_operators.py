@@ -53,6 +53,19 @@ def test_duplicates_inside_files_and_across_them(spark, tmp_path):
     }
 
 
+def test_metrics_of_parts_of_several_files(spark, tmp_path):
+    for keys in ([1, 1, 2], [1, None, 3], [2, None]):
+        rows = spark.createDataFrame([(k, p) for k in keys for p in ("a", None)], "k int, p1 string")
+        rows.coalesce(1).write.mode("append").partitionBy("p1").parquet(f"{tmp_path}/t")
+    got = metrics.observed_metrics(spark.read.parquet(f"{tmp_path}/t"), NeededChecks(True, "all", True, ("k",)), per=("p1",))
+    assert sorted((r.p1 or "", r.key, r.value) for r in got.collect()) == sorted(
+        (p, k, n) for p in ("a", "") for k, n in (("count_total_rows", 8), ("nulls_per_column|k", 2), ("duplicates_primary_key", 4))
+    )
+    assert metrics.observed_metrics(spark.range(2), NeededChecks(), per=("id",)).columns == ["id", "key", "value"]
+    with pytest.raises(ValueError):
+        metrics.observed_metrics(spark.range(2), NeededChecks(True), per_file=True, per=("id",))
+
+
 def test_value_distribution_breaks_ties_by_value(spark):
     df = spark.createDataFrame([(v,) for v in "bbaacd"], "v string")
     assert [(r.v, r.freq) for r in checks.value_distribution(df, "v", 3).collect()] == [("a", 2), ("b", 2), ("c", 1)]
