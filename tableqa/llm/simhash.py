@@ -163,10 +163,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 # ---------------------------------------------------------------------------------------------------------------
-# Near-duplicates by similarity: min-hash bands find candidates, wide fingerprints sift them, exact similarity decides
+# Near-duplicates by similarity: links of fingerprints come first, min-hash bands add candidates that are further apart,
+# exact similarity decides
 # ---------------------------------------------------------------------------------------------------------------
 
-BITS = 512
+RADIUS = 4  # bits in which fingerprints that link may differ
 BANDS, ROWS = 20, 6  # two texts of similarity s share a band with probability s^ROWS: 0.997 over all bands at 0.8
 DEPTH = 3  # times that a crowded value is split
 SPLITS, SPLIT_ROWS = 9, 8  # bands that split a crowded value and their rows: a pair of 0.8 meets 1.5 times in a split, of 0.7 0.5 times
@@ -174,17 +175,6 @@ FEW = (16, 16, 128)  # texts of one value that are compared in pairs, by splits
 HUB = 256  # pairs of one text that are verified in one place
 
 
-def bit_difference(similarity: float) -> float:
-    """Expected share of differing bits of two texts of that Jaccard similarity: the angle of their shingle vectors."""
-    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-
-
-def filter_radius(similarity: float, bits: int = BITS) -> int:
-    """Most bits in which candidates may differ: the mean at `similarity` plus three standard deviations."""
-    p = bit_difference(similarity)
-    return int(p * bits + 3 * (p * (1 - p) * bits) ** 0.5)
-
-
 def _shingle_hashes(found: list[bytes], words: int, first: int, last: int) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
     return np.array([digest(b" ".join(found[i : i + words]), SEED) for i in range(first, last)], dtype=np.uint64)
@@ -194,20 +184,6 @@ def _split(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def wide_bits(found: list[bytes], words: int, bits: int = BITS) -> np.ndarray:
-    """As `fingerprint`, with 64 bits for each of several remixed hashes of a shingle; one byte for each bit."""
-    ones, n = np.zeros(bits, dtype=np.int64), max(1, len(found) - words + 1)
-    j = np.arange(bits // 64, dtype=np.uint64)
-    turns, odd = np.uint64(29) + j % np.uint64(5), (np.uint64(0x9E3779B97F4A7C15) + j * np.uint64(0xC6A4A7935BD1E995 - 1)) | np.uint64(1)
-    for at in range(0, n if found else 0, 255):  # sums of so many bits fit a byte
-        hashes = _shingle_hashes(found, words, at, min(n, at + 255))[:, None]
-        mixed = (hashes ^ (hashes >> turns)) * odd
-        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
-        packed = np.ascontiguousarray(mixed ^ (mixed >> np.uint64(29))).view(np.uint8)
-        ones += np.unpackbits(packed, axis=1).sum(axis=0, dtype=np.uint8)
-    return (ones * 2 > n).astype(np.uint8)
-
-
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """The multiset of a text's shingles as a set: hashes mixed with the number of equal ones before; none without words."""
     found = _split(text)
@@ -273,13 +249,26 @@ def _meetings(entries: DataFrame, most: int | None) -> tuple[DataFrame, DataFram
     return pairs.union(crowd.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))).distinct(), crowd
 
 
+def _fingerprint_pairs(texts: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Candidate pairs (a > b) of texts (id, fp): `links` between the smallest texts of fingerprints, and each text of a
+    fingerprint with its smallest one."""
+    hubs = common.cut(texts.groupBy("fp").agg(F.min("id").alias("hub")))
+    equal = texts.select("id", "fp").join(hubs, "fp").where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    near = links(hubs.select("fp"), radius).toDF("fa", "fb")
+    for x in "ab":
+        near = near.join(hubs.select(F.col("fp").alias(f"f{x}"), F.col("hub").alias(f"h{x}")), f"f{x}")
+    return equal.union(near.select(F.greatest("ha", "hb").alias("a"), F.least("ha", "hb").alias("b"))).distinct()
+
+
 def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """key, mark (hash of the text), class: classes of texts whose word shingles are `similarity` or more alike.
 
     Two texts link if the exact weighted similarity of their shingles (sum of the smaller by sum of the larger
-    multiplicities) is at least `similarity`. Candidates are texts that share one of BANDS min-hash bands, the same number
-    for a table of any size, agree in `agreement` min-hashes, and whose fingerprints of BITS bits differ in at most
-    `filter_radius` bits. Texts of the same words are one unit.
+    multiplicities) is at least `similarity`. Candidates are the links of `links`: all pairs whose fingerprints differ in at
+    most RADIUS bits, found in Hamming balls around the segments (chains of them in hot segments, hubs among equal ones). At
+    a similarity of 0.96 half of the pairs are that near, at 0.8 few, which is why they are followed by the texts that share
+    one of BANDS min-hash bands, the same number for a table of any size, and are not of one class yet. Candidates agree in
+    `agreement` min-hashes, compared by their lowest 7 bits. Texts of the same words are one unit.
 
     Of a crowded band value each text is first compared with the smallest, which joins groups of near copies to classes.
     Where several classes remain, one text for each of them goes on: the value is split by SPLITS bands of further
@@ -292,9 +281,9 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     """
     body = F.col(f"`{text}`")
     mark = F.xxhash64(F.coalesce(body, F.lit("")))
-    radius, least_equal = filter_radius(similarity), agreement(similarity)
+    least_equal = agreement(similarity)
 
-    @F.pandas_udf("unit long, n long, fp array<long>, least array<int>")
+    @F.pandas_udf("unit long, n long, fp long, least array<int>")
     def signature(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in parts:
             out = []
@@ -302,7 +291,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
                 found = _split(t)
                 out.append((
                     np.uint64(xxhash.xxh64_intdigest(b" ".join(found), SEED)).astype(np.int64), max(1, len(found) - words + 1),
-                    np.packbits(wide_bits(found, words)).view(np.int64), min_hashes(shingle_set(t, words)),
+                    fingerprint(t, words), min_hashes(shingle_set(t, words)),
                 ))
             yield pd.DataFrame(out, columns=["unit", "n", "fp", "least"])
 
@@ -320,10 +309,11 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), mark.alias("mark"), signature(body).alias("w")).select("key", "mark", "w.*"))
     texts = common.cut(marked.select(F.col("unit").alias("id"), "mark", "n", "fp", "least").dropDuplicates(["id"]))
     units = marked.select("key", "mark", "unit")
-    distance = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    distance = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb")))
     equal = F.aggregate(F.zip_with("ha", "hb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    possible = (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(similarity - 1e-9)) & (equal >= least_equal) & (distance <= radius)
-    left, right = (texts.select(F.col("id").alias(x), *[F.col(c).alias(f"{c[0] if c != 'least' else 'h'}{x}") for c in ("fp", "n", "least")]) for x in "ab")
+    possible = (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(similarity - 1e-9)) & (equal >= least_equal)
+    sketch = F.transform("least", lambda x: x.bitwiseAND(F.lit(127)).cast("byte"))
+    left, right = (texts.select(F.col("id").alias(x), F.col("fp").alias(f"f{x}"), F.col("n").alias(f"n{x}"), sketch.alias(f"h{x}")) for x in "ab")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of the exact similarity; only texts of candidates are read again. Hubs are dealt to several places."""
@@ -339,7 +329,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         return compared.select("a", "b", shared_part("sa", "sb").alias("similarity")).where(F.col("similarity") >= similarity).select("a", "b")
 
     entries = texts.select("id", F.explode(_first_bands("least")).alias("value"))
-    links = roots = None
+    found = roots = None
 
     def root_of(rows: DataFrame, column: str) -> DataFrame:
         """Adds the class of a text so far."""
@@ -351,17 +341,26 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     def apart(pairs: DataFrame) -> DataFrame:
         return root_of(root_of(pairs, "a"), "b").where("a_root <> b_root").select("a", "b")
 
-    # first the nearest candidate of each text, which joins most copies; pairs that are then in one class need no check
-    left_over = []
+    def sifted(pairs: DataFrame) -> DataFrame:
+        return common.cut(apart(pairs).join(left, "a").join(right, "b").where(possible).select("a", "b", distance.alias("d")))
+
+    def nearest_joined(near: DataFrame) -> DataFrame:
+        """Joins each text with its nearest candidate, which joins most copies; gives the other pairs. Those that are then
+        in one class need no check."""
+        nonlocal found, roots
+        if near.isEmpty():
+            return near.select("a", "b")
+        nearest = common.cut(near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
+        joined = common.cut(verified(nearest))
+        found = joined if found is None else found.union(joined)
+        roots = common.cut(components(found))
+        return near.join(nearest, ["a", "b"], "left_anti").select("a", "b")
+
+    left_over = [nearest_joined(sifted(_fingerprint_pairs(texts)))]
     for depth in range(DEPTH + 1):
         pairs, crowd = _meetings(entries, FEW[depth] if depth < DEPTH else None)
-        near = common.cut(apart(pairs).join(left, "a").join(right, "b").where(possible).select("a", "b", distance.alias("d")))
-        if depth == 0 and not near.isEmpty():
-            nearest = common.cut(near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
-            links = common.cut(verified(nearest))
-            roots = common.cut(components(links))
-            near = near.join(nearest, ["a", "b"], "left_anti")
-        left_over.append(near.select("a", "b"))
+        near = sifted(pairs)
+        left_over.append(nearest_joined(near) if depth == 0 else near.select("a", "b"))
         # one text for each class of a crowded value that has several
         kept = common.cut(root_of(crowd.select("value", "id"), "id").groupBy("value", "id_root").agg(F.min("id").alias("id")))
         several = kept.groupBy("value").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
@@ -372,8 +371,8 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         entries = common.cut(again.select("id", F.explode(_split_bands("value", "least", depth + 1)).alias("value")))
     more = common.cut(apart(functools.reduce(DataFrame.union, left_over)).distinct())
     if not more.isEmpty():
-        found = verified(more)
-        roots = common.cut(components(found if links is None else links.union(found)))
+        last = verified(more)
+        roots = common.cut(components(last if found is None else found.union(last)))
     if roots is None:
         return units.select(F.col("key").alias(key), "mark", F.col("unit").alias("class"))
     return units.join(common.small(roots), F.col("unit") == F.col("node"), "left").select(

@@ -182,6 +182,28 @@ def test_dropping_with_clashing_names_and_null_keys(spark):
     assert kept.count() == 3
 
 
+def test_links_of_fingerprints_are_candidates(spark, monkeypatch):
+    """Without the bands, what links by fingerprint is joined if it is similar, over several hops and in hot segments."""
+    random.seed(9)
+    rows, groups = [], []
+    for g in range(30):
+        base = [f"g{g}w{i}" for i in range(300)]
+        groups.append([])
+        for c in range(4):  # one word more is changed at each step
+            groups[-1].append(len(rows))
+            rows.append((len(rows), " ".join(["x"] * c + base[c:])))
+    rows += [(1000 + i, "same " * 64 + " ".join(f"t{i}x{k}" for k in range(36))) for i in range(20)]  # equal fingerprints, 0.43 alike
+    monkeypatch.setattr(simhash, "_meetings", lambda entries, most: (
+        entries.limit(0).select(F.col("id").alias("a"), F.col("id").alias("b")), entries.limit(0)
+    ))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r["class"] for r in simhash.similar_classes(docs).collect()}
+    fps = {i: plain_fingerprint(t, 5) for i, t in rows}
+    near = [(a, b) for ids in groups for k, a in enumerate(ids) for b in ids[k + 1 :] if bin(fps[a] ^ fps[b]).count("1") <= 4]
+    assert len(near) > 30 and all(got[a] == got[b] for a, b in near)
+    assert len({got[1000 + i] for i in range(20)}) == 20
+
+
 def test_sharding(spark, documents, texts):
     rows = shards.shard_documents(documents, 24).collect()
     assert len(rows) == len(texts)
