@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # What a table may measure to be broadcast by an operator. Larger tables are joined by shuffles.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20  # of its rows as JSON
+TASK_ROWS = 1 << 16  # rows of a few numbers that make a task
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,6 +42,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tasks(rows: int, each: int = TASK_ROWS) -> int:
+    """Tasks that so many rows are worth."""
+    return max(1, -(-rows // each))
+
+
+def packed(df: DataFrame, each: int = TASK_ROWS) -> DataFrame:
+    """`cut`, and no more partitions than its rows fill: every shuffle writes files for each of them, however few its rows."""
+    done = cut(df)
+    return done.coalesce(tasks(done.count(), each))
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """The names, with as many underscores in front that `df` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -173,6 +173,7 @@ DEPTH = 3  # times that a crowded value is split
 SPLITS, SPLIT_ROWS = 9, 8  # bands that split a crowded value and their rows: a pair of 0.8 meets 1.5 times in a split, of 0.7 0.5 times
 FEW = (16, 16, 128)  # texts of one value that are compared in pairs, by splits so far; of more splits the texts are likelier alike
 HUB = 256  # pairs of one text that are verified in one place
+TEXTS, PAIRS_EACH = 4096, 2048  # texts with their min-hashes or shingles, and pairs to be compared, that make a task
 
 
 def _shingle_hashes(found: list[bytes], words: int, first: int, last: int) -> np.ndarray:
@@ -239,7 +240,7 @@ def _meetings(entries: DataFrame, most: int | None) -> tuple[DataFrame, DataFram
     None all texts of a value are paired. Counts and minima are combined before the shuffle.
     """
     counts = entries.groupBy("value").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = common.cut(entries.join(counts, "value"))
+    met = common.packed(entries.join(counts, "value"))
     if most is None:
         pairs = met.select("value", F.col("id").alias("a")).join(met.select("value", F.col("id").alias("b")), "value").where("a > b").select("a", "b")
         return pairs.distinct(), met.limit(0)
@@ -252,11 +253,11 @@ def _meetings(entries: DataFrame, most: int | None) -> tuple[DataFrame, DataFram
 def _fingerprint_pairs(texts: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Candidate pairs (a > b) of texts (id, fp): `links` between the smallest texts of fingerprints, and each text of a
     fingerprint with its smallest one."""
-    hubs = common.cut(texts.groupBy("fp").agg(F.min("id").alias("hub")))
+    hubs = common.packed(texts.groupBy("fp").agg(F.min("id").alias("hub")))
     equal = texts.select("id", "fp").join(hubs, "fp").where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
     near = links(hubs.select("fp"), radius).toDF("fa", "fb")
     for x in "ab":
-        near = near.join(hubs.select(F.col("fp").alias(f"f{x}"), F.col("hub").alias(f"h{x}")), f"f{x}")
+        near = common.small(common.packed(near)).join(hubs.select(F.col("fp").alias(f"f{x}"), F.col("hub").alias(f"h{x}")), f"f{x}")
     return equal.union(near.select(F.greatest("ha", "hb").alias("a"), F.least("ha", "hb").alias("b"))).distinct()
 
 
@@ -307,7 +308,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         return pd.Series(both / np.maximum(total, 1))
 
     marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), mark.alias("mark"), signature(body).alias("w")).select("key", "mark", "w.*"))
-    texts = common.cut(marked.select(F.col("unit").alias("id"), "mark", "n", "fp", "least").dropDuplicates(["id"]))
+    texts = common.packed(marked.select(F.col("unit").alias("id"), "mark", "n", "fp", "least").dropDuplicates(["id"]), TEXTS)
     units = marked.select("key", "mark", "unit")
     distance = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb")))
     equal = F.aggregate(F.zip_with("ha", "hb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
@@ -315,17 +316,26 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     sketch = F.transform("least", lambda x: x.bitwiseAND(F.lit(127)).cast("byte"))
     left, right = (texts.select(F.col("id").alias(x), F.col("fp").alias(f"f{x}"), F.col("n").alias(f"n{x}"), sketch.alias(f"h{x}")) for x in "ab")
 
+    def held(pairs: DataFrame) -> DataFrame:
+        """The texts of pairs."""
+        return common.small(common.packed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
+
     def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of the exact similarity; only texts of candidates are read again. Hubs are dealt to several places."""
-        held = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        wanted = texts.select("id", F.col("mark").alias("of")).join(held, "id", "left_semi")
+        """Pairs (a, b) of the exact similarity; only texts of candidates are read again. A few sets go to all pairs; of
+        many, each goes to the pairs of its text, and hubs are dealt to several places."""
+        wanted = common.packed(texts.select("id", F.col("mark").alias("of")).join(held(pairs), "id", "left_semi"))
         bodies = docs.select(mark.alias("mark"), F.coalesce(body, F.lit("")).alias("body")).join(common.small(wanted), F.col("mark") == F.col("of"))
-        sets = common.cut(bodies.select("id", "body").dropDuplicates(["id"]).select("id", shingles("body").alias("set")))
-        hubs = common.cut(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / HUB).cast("int").alias("places")))
-        busy = common.small(hubs.where("places > 1"))
-        dealt = pairs.join(busy, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("places", F.lit(1))).cast("int").alias("place"))
-        sent = sets.withColumnRenamed("id", "b").join(hubs, "b").select("b", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.col("set").alias("sb"))
-        compared = dealt.join(sent, ["b", "place"]).join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
+        sets = common.packed(bodies.select("id", "body").dropDuplicates(["id"]).select("id", shingles("body").alias("set")), TEXTS)
+        few = common.small(sets)
+        of_a, of_b = (few.select(F.col("id").alias(x), F.col("set").alias(f"s{x}")) for x in "ab")
+        if few is not sets:
+            compared = pairs.repartition(common.tasks(pairs.count(), PAIRS_EACH)).join(of_b, "b").join(of_a, "a")
+        else:
+            hubs = common.packed(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / HUB).cast("int").alias("places")))
+            busy = common.small(hubs.where("places > 1"))
+            dealt = pairs.join(busy, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("places", F.lit(1))).cast("int").alias("place"))
+            sent = of_b.join(common.small(hubs), "b").select("b", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), "sb")
+            compared = dealt.join(sent, ["b", "place"]).join(of_a, "a")
         return compared.select("a", "b", shared_part("sa", "sb").alias("similarity")).where(F.col("similarity") >= similarity).select("a", "b")
 
     entries = texts.select("id", F.explode(_first_bands("least")).alias("value"))
@@ -335,14 +345,16 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         """Adds the class of a text so far."""
         if roots is None:
             return rows.withColumn(f"{column}_root", F.col(column))
-        named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        named = common.small(roots.select(F.col("node").alias("_node"), F.col("root").alias("_root")))
         return rows.join(named, F.col(column) == F.col("_node"), "left").withColumn(f"{column}_root", F.coalesce("_root", column)).drop("_node", "_root")
 
     def apart(pairs: DataFrame) -> DataFrame:
         return root_of(root_of(pairs, "a"), "b").where("a_root <> b_root").select("a", "b")
 
     def sifted(pairs: DataFrame) -> DataFrame:
-        return common.cut(apart(pairs).join(left, "a").join(right, "b").where(possible).select("a", "b", distance.alias("d")))
+        pairs = common.packed(apart(pairs))
+        of_b = right.join(held(pairs).withColumnRenamed("id", "b"), "b", "left_semi")
+        return common.packed(left.join(common.small(pairs), "a").join(of_b, "b").where(possible).select("a", "b", distance.alias("d")))
 
     def nearest_joined(near: DataFrame) -> DataFrame:
         """Joins each text with its nearest candidate, which joins most copies; gives the other pairs. Those that are then
@@ -350,11 +362,11 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         nonlocal found, roots
         if near.isEmpty():
             return near.select("a", "b")
-        nearest = common.cut(near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
-        joined = common.cut(verified(nearest))
+        nearest = common.packed(near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
+        joined = common.packed(verified(nearest))
         found = joined if found is None else found.union(joined)
-        roots = common.cut(components(found))
-        return near.join(nearest, ["a", "b"], "left_anti").select("a", "b")
+        roots = common.packed(components(found))
+        return near.join(common.small(nearest), ["a", "b"], "left_anti").select("a", "b")
 
     left_over = [nearest_joined(sifted(_fingerprint_pairs(texts)))]
     for depth in range(DEPTH + 1):
@@ -362,17 +374,17 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         near = sifted(pairs)
         left_over.append(nearest_joined(near) if depth == 0 else near.select("a", "b"))
         # one text for each class of a crowded value that has several
-        kept = common.cut(root_of(crowd.select("value", "id"), "id").groupBy("value", "id_root").agg(F.min("id").alias("id")))
+        kept = common.packed(root_of(crowd.select("value", "id"), "id").groupBy("value", "id_root").agg(F.min("id").alias("id")))
         several = kept.groupBy("value").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-        rest = kept.join(several, "value", "left_semi").select("value", "id")
+        rest = common.packed(kept.join(several, "value", "left_semi").select("value", "id"))
         if depth == DEPTH or rest.isEmpty():
             break
-        again = rest.join(texts.select(F.col("id").alias("of"), "least"), F.col("id") == F.col("of"))
-        entries = common.cut(again.select("id", F.explode(_split_bands("value", "least", depth + 1)).alias("value")))
-    more = common.cut(apart(functools.reduce(DataFrame.union, left_over)).distinct())
+        again = common.small(rest).join(texts.select(F.col("id").alias("of"), "least"), F.col("id") == F.col("of"))
+        entries = common.packed(again.select("id", F.explode(_split_bands("value", "least", depth + 1)).alias("value")))
+    more = common.packed(apart(functools.reduce(DataFrame.union, left_over)).distinct())
     if not more.isEmpty():
         last = verified(more)
-        roots = common.cut(components(last if found is None else found.union(last)))
+        roots = common.packed(components(last if found is None else found.union(last)))
     if roots is None:
         return units.select(F.col("key").alias(key), "mark", F.col("unit").alias("class"))
     return units.join(common.small(roots), F.col("unit") == F.col("node"), "left").select(
@@ -392,13 +404,21 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     of_key, of_mark, copies = common.free_names(docs, "key", "mark", "copies")
     kept = least.select(F.col("kept.key").alias(of_key), F.col("kept.mark").alias(of_mark))
     repeated = times.select(F.col("key").alias("_k"), F.col("mark").alias("_m"), "times")
-    kept = common.cut(kept.join(repeated, F.col(of_key).eqNullSafe(F.col("_k")) & (F.col(of_mark) == F.col("_m")), "left").select(
+    kept = common.packed(kept.join(repeated, F.col(of_key).eqNullSafe(F.col("_k")) & (F.col(of_mark) == F.col("_m")), "left").select(
         of_key, of_mark, F.coalesce("times", F.lit(1)).alias(copies)
     ))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     mark = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     same = F.col(f"`{key}`").eqNullSafe(F.col(of_key)) & (mark == F.col(of_mark))
-    once = docs.join(common.small(kept.where(F.col(copies) == 1)), same).select(*columns)
+    single = kept.where(F.col(copies) == 1)
+    listed = common.small(single)
+    if listed is not single:
+        once = docs.join(listed, same).select(*columns)
+    else:  # too many to be sent to the texts, unlike most often the rows that go; if both are, the texts are shuffled
+        named = classes.select(F.col("key").alias(of_key), F.col("mark").alias(of_mark)).distinct()
+        stays = single.select(F.col(of_key).alias("_k"), F.col(of_mark).alias("_m"))
+        goes = common.packed(named.join(stays, F.col(of_key).eqNullSafe(F.col("_k")) & (F.col(of_mark) == F.col("_m")), "left_anti"))
+        once = docs.join(common.small(goes), same, "left_anti").select(*columns)
     more = kept.where(F.col(copies) > 1)
     if more.isEmpty():
         return once

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tableqa.llm import shards, simhash
+from tableqa.llm import common, shards, simhash
 from tableqa.llm.components import components
 
 
@@ -204,6 +204,53 @@ def test_links_of_fingerprints_are_candidates(spark, monkeypatch):
     assert len({got[1000 + i] for i in range(20)}) == 20
 
 
+def test_components_of_few_links_take_few_tasks(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = [(i, i // 2) for i in range(1, 500)] + [(-i, -i // 3) for i in range(600, 700)]
+        got = components(spark.createDataFrame(pairs, "a long, b long"))
+        assert got.rdd.getNumPartitions() == 1
+        expected = classes(pairs, {n for p in pairs for n in p})
+        assert {r.node: r.root for r in got.collect()} == expected
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_many_kept_texts_are_not_shuffled(spark, monkeypatch, capsys):
+    """More texts stay than may be broadcast, but few go."""
+    rows = [(i, f"text number {i} has words {i * 7} of its own {i * 13}") for i in range(400)]
+    rows += [(1000 + i, rows[i][1]) for i in range(20)] + [(None, rows[30][1]), (None, "a text without an id stands here"), (5, rows[5][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(common.small, "__defaults__", (100, 32 << 20))
+    kept = simhash.drop_near_duplicates(docs)
+    capsys.readouterr()
+    kept.explain()
+    plan = capsys.readouterr().out
+    assert "LeftAnti" in plan and "SortMergeJoin" not in plan
+    assert sorted((r.doc_id if r.doc_id is not None else -1) for r in kept.collect()) == [-1, *range(400)]
+
+
+def test_classes_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    random.seed(10)
+    rows = []
+    for g in range(6):
+        base = [f"g{g}w{i}" for i in range(150)]
+        for _ in range(25):  # some pairs over 0.8, some below
+            copy = list(base)
+            for _ in range(random.choice((1, 3, 5))):
+                copy[random.randrange(150)] = f"v{random.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for limit in (200_000, 0):
+        monkeypatch.setattr(common.small, "__defaults__", (limit, 32 << 20))
+        found.append({r.doc_id: r["class"] for r in simhash.similar_classes(docs).collect()})
+    assert found[0] == found[1] and 6 <= len(set(found[0].values())) < 150
+
+
 def test_sharding(spark, documents, texts):
     rows = shards.shard_documents(documents, 24).collect()
     assert len(rows) == len(texts)
