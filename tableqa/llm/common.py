@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,18 @@ def packed(df: DataFrame, each: int = TASK_ROWS) -> DataFrame:
     return done.coalesce(tasks(done.count(), each))
 
 
+@contextmanager
+def batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is computed inside goes to Python in batches of `rows` rows at most: a batch of long values is held whole there."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """The names, with as many underscores in front that `df` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -174,6 +174,7 @@ SPLITS, SPLIT_ROWS = 9, 8  # bands that split a crowded value and their rows: a
 FEW = (16, 16, 128)  # texts of one value that are compared in pairs, by splits so far; of more splits the texts are likelier alike
 HUB = 256  # pairs of one text that are verified in one place
 TEXTS, PAIRS_EACH = 4096, 2048  # texts with their min-hashes or shingles, and pairs to be compared, that make a task
+BATCH = 1000  # texts or pairs that Python holds at once
 
 
 def _shingle_hashes(found: list[bytes], words: int, first: int, last: int) -> np.ndarray:
@@ -307,7 +308,8 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         total = a.map(len).to_numpy(dtype=float) + b.map(len).to_numpy(dtype=float) - both
         return pd.Series(both / np.maximum(total, 1))
 
-    marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), mark.alias("mark"), signature(body).alias("w")).select("key", "mark", "w.*"))
+    with common.batches(docs.sparkSession, BATCH):
+        marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), mark.alias("mark"), signature(body).alias("w")).select("key", "mark", "w.*"))
     texts = common.packed(marked.select(F.col("unit").alias("id"), "mark", "n", "fp", "least").dropDuplicates(["id"]), TEXTS)
     units = marked.select("key", "mark", "unit")
     distance = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb")))
@@ -325,7 +327,8 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         many, each goes to the pairs of its text, and hubs are dealt to several places."""
         wanted = common.packed(texts.select("id", F.col("mark").alias("of")).join(held(pairs), "id", "left_semi"))
         bodies = docs.select(mark.alias("mark"), F.coalesce(body, F.lit("")).alias("body")).join(common.small(wanted), F.col("mark") == F.col("of"))
-        sets = common.packed(bodies.select("id", "body").dropDuplicates(["id"]).select("id", shingles("body").alias("set")), TEXTS)
+        with common.batches(docs.sparkSession, BATCH):
+            sets = common.packed(bodies.select("id", "body").dropDuplicates(["id"]).select("id", shingles("body").alias("set")), TEXTS)
         few = common.small(sets)
         of_a, of_b = (few.select(F.col("id").alias(x), F.col("set").alias(f"s{x}")) for x in "ab")
         if few is not sets:
@@ -336,7 +339,9 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
             dealt = pairs.join(busy, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("places", F.lit(1))).cast("int").alias("place"))
             sent = of_b.join(common.small(hubs), "b").select("b", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), "sb")
             compared = dealt.join(sent, ["b", "place"]).join(of_a, "a")
-        return compared.select("a", "b", shared_part("sa", "sb").alias("similarity")).where(F.col("similarity") >= similarity).select("a", "b")
+        alike = compared.select("a", "b", shared_part("sa", "sb").alias("similarity")).where(F.col("similarity") >= similarity)
+        with common.batches(docs.sparkSession, BATCH):
+            return common.packed(alike.select("a", "b"))
 
     entries = texts.select("id", F.explode(_first_bands("least")).alias("value"))
     found = roots = None
@@ -363,7 +368,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         if near.isEmpty():
             return near.select("a", "b")
         nearest = common.packed(near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
-        joined = common.packed(verified(nearest))
+        joined = verified(nearest)
         found = joined if found is None else found.union(joined)
         roots = common.packed(components(found))
         return near.join(common.small(nearest), ["a", "b"], "left_anti").select("a", "b")
