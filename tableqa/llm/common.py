@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20  # of its rows as JSON
 TASK_ROWS = 1 << 16  # rows of a few numbers that make a task
+BATCH_BYTES = 2 << 20  # of rows that go to Python together
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -66,6 +67,16 @@ def batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def light_batches(spark: SparkSession) -> None:
+    """From here on the session sends Python BATCH_BYTES at once at most, unless it has a limit of its own.
+
+    The JVM and Python hold a batch whole, in each task; Spark's default allows 64 MB. What an operator returns is computed
+    only after it has returned, so the limit is not put back. It changes no result."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """The names, with as many underscores in front that `df` has no such column."""
     taken = {c.lower() for c in df.columns}

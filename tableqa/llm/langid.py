@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tableqa.llm import common
+
 UNKNOWN = "und"
 FEATURES = 1 << 16
 PIECE = 1 << 20  # bytes of a text looked at in one step
@@ -99,6 +101,7 @@ def labelled_sample(docs: DataFrame, key: str, text: str, lang: str, rows: int)
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = 20_000,
           smoothing: float = 0.5) -> LanguageModel:
     """Learns from the rows of `docs` that have a language; `sample_rows` bounds how many are read for it."""
+    common.light_batches(docs.sparkSession)
     sample = labelled_sample(docs, key, text, lang, sample_rows)
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,6 +185,7 @@ def decode(margin: np.ndarray | None, model: LanguageModel, gap: float) -> tuple
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", gap: float = 0.1) -> DataFrame:
     """`docs` with `lang_pred`, `score` (0 to 1) and `ambiguous`; only the text goes to Python."""
+    common.light_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")

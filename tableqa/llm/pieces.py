@@ -3,9 +3,11 @@
 A text is a begin marker and words that start with their white-space markers. No piece of the model has a marker after
 another character (checked when the model is opened), so merges never cross from one word into the next and words can be
 segmented apart. Every task keeps a table of the distinct marked words it has met: a word is segmented and decoded once,
-and the ids and texts of a document are joined from the table by position. The table is bounded (`table_rows`); when
-it is full, it starts anew, which costs time but changes nothing. A table for the whole corpus would have to send the
-position of every word through two shuffles, several times the size of the texts themselves.
+and the ids and texts of a document are joined from the table by position. The table is bounded in words (`table_rows`)
+and in their characters (`table_chars`): of two tables of half that size the older one goes when the newer one is full,
+and words that are met again move to the newer one. What goes is segmented again, which costs time but changes nothing;
+one text's own words are held beyond that only if they alone are more. A table for the whole corpus would have to send
+the position of every word through two shuffles, several times the size of the texts themselves.
 
 Edges: null texts count as empty and give the begin and end ids alone; repeated rows give repeated rows; a literal
 U+2581 equals a space for the model, so it decodes to a space, as the library does it.
@@ -15,10 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -26,8 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
+from tableqa.llm import common
+
 MARK = "▁"
-TABLE_ROWS = 1 << 19
+TABLE_ROWS = 1 << 17  # words of both tables, and
+TABLE_CHARS = 1 << 22  # their characters, so that a task's tables stay below some 40 MB
 SLICE = 128  # texts whose results leave a task together
 _WORDS = re.compile(r" +[^ ]*")
 _MODELS: dict[str, "Pieces"] = {}
@@ -36,7 +40,7 @@ _MODELS: dict[str, "Pieces"] = {}
 class Pieces:
     """The model of a task, with its table of words."""
 
-    def __init__(self, model: bytes, table_rows: int = TABLE_ROWS):
+    def __init__(self, model: bytes, table_rows: int = TABLE_ROWS, table_chars: int = TABLE_CHARS):
         spec = model_pb2.ModelProto()
         spec.ParseFromString(model)
         if any(MARK in p.piece.lstrip(MARK) for p in spec.pieces):
@@ -49,8 +53,11 @@ class Pieces:
         self.prefix = " " if rule.add_dummy_prefix else ""
         rule.add_dummy_prefix = False  # words bring their own markers
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString())
-        self.table_rows = table_rows
-        self.table: dict[str, tuple[bytes, str]] = {}
+        self.table_rows, self.table_chars = table_rows, table_chars
+        self.table: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.odd: dict[str, str] = {}  # of words that are not decoded to themselves
+        self.chars = 0  # of the words in `table`
         self.begin, self.end = (i.to_bytes(4, "little") for i in (self.processor.bos_id(), self.processor.eos_id()))
 
     def words(self, text: str) -> list[str]:
@@ -60,13 +67,21 @@ class Pieces:
         return ([marked[:head]] if head else []) + _WORDS.findall(marked, head)
 
     def learn(self, words: set[str]) -> None:
+        """Brings words into the table. When it holds half of what is allowed, it becomes the older table and a new one begins."""
         new = [w for w in words if w not in self.table]
-        if len(self.table) + len(new) > self.table_rows:
-            self.table.clear()
-            new = list(words)
-        ids = self.processor.encode(new, num_threads=1)
-        for word, own, back in zip(new, ids, self.processor.decode(ids, num_threads=1)):
-            self.table[word] = np.array(own, dtype="<u4").tobytes(), back
+        chars = sum(map(len, new))
+        if self.table and (len(self.table) + len(new) > self.table_rows // 2 or self.chars + chars > self.table_chars // 2):
+            self.older, self.table = self.table, {}
+            self.odd = {w: t for w, t in self.odd.items() if w in self.older}
+            new, chars = list(words), sum(map(len, words))
+        self.chars = chars + (self.chars if self.table else 0)
+        self.table.update((w, self.older[w]) for w in new if w in self.older)
+        unknown = [w for w in new if w not in self.older]
+        ids = self.processor.encode(unknown, num_threads=1)
+        for word, own, back in zip(unknown, ids, self.processor.decode(ids, num_threads=1)):
+            self.table[word] = struct.pack(f"<{len(own)}I", *own)
+            if back != word:
+                self.odd[word] = back
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids with begin and end as little-endian unsigned 32-bit integers, and their decoded text."""
@@ -78,9 +93,8 @@ class Pieces:
             part = words[at : at + self.table_rows // 2]
             if not all(map(self.table.__contains__, part)):
                 self.learn(set(part))
-            found = list(map(self.table.__getitem__, part))
-            ids += [i for i, _ in found]
-            back += [t for _, t in found]
+            ids += map(self.table.__getitem__, part)
+            back += [self.odd.get(w, w) for w in part] if self.odd else part
         ids.append(self.end)
         decoded = "".join(back)
         return b"".join(ids), decoded.removeprefix(self.prefix) if self.prefix else decoded
@@ -103,6 +117,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep_ids: bool
 
     The model file (half a megabyte here) is read where the job starts and broadcast to the tasks.
     """
+    common.light_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
 
     made = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
@@ -134,12 +149,12 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", output: str = "de
     """Texts of id sequences (binary, as `encode` writes them); null ids give null."""
     model = rows.sparkSession.sparkContext.broadcast(read_model(model_path))
 
-    @F.pandas_udf("string")
-    def back(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def back(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         processor = sentencepiece.SentencePieceProcessor(model_proto=model.value)
         for part in parts:
-            yield pd.Series([
-                None if i is None else processor.decode(memoryview(bytes(i)).cast("I").tolist()) for i in part
-            ], dtype="object")
+            yield pa.array([
+                None if i is None else processor.decode(memoryview(i).cast("I").tolist()) for i in part.to_pylist()
+            ], pa.string())
 
     return rows.withColumn(output, back(F.col(f"`{ids}`")))

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -36,6 +37,34 @@ def test_a_full_table_starts_anew():
     assert small.encode(text) == large.encode(text)
 
 
+def test_the_tables_of_words_are_bounded_in_characters_too():
+    model = pieces.read_model(MODEL)
+    held, large = pieces.Pieces(model, table_rows=1000, table_chars=20_000), pieces.Pieces(model)
+    for i in range(60):
+        text = " ".join(f"word{i}x{k}" + "abc " * 3 + "z" * 500 + str(k) for k in range(10)) + " the same words in all \u2581 texts"
+        assert held.encode(text) == large.encode(text)
+        words = [*held.table, *held.older]
+        assert len(words) <= 1000 and sum(map(len, words)) <= 20_000 and set(held.odd) <= {*words}
+    assert " the" in held.table
+    for i in range(0, 3_000_000, 100_000):
+        held.encode(" ".join(map(str, range(i, i + 1500))))
+        assert len(held.table) + len(held.older) <= 1000
+
+
+def test_python_gets_whole_texts_in_batches_of_few_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(200).select("id", F.repeat(F.lit("some words "), 5000).alias("text")).coalesce(1)
+    for use in (lambda: pieces.encode(rows, MODEL), lambda: langid.predict(rows, langid.LanguageModel([], *[None] * 4))):
+        spark.conf.unset(name)
+        use()
+        sizes = [r.n for r in rows.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in bs), "n long").collect()]
+        assert sum(sizes) > 200 * 55_000 and max(sizes) <= common.BATCH_BYTES + 60_000
+    spark.conf.set(name, "9000000b")
+    pieces.encode(rows, MODEL)
+    assert spark.conf.get(name) == "9000000b"  # a session's own limit stays
+    spark.conf.unset(name)
+
+
 def test_language_id(spark, documents, texts):
     model = langid.train(documents)
     rows = langid.predict(documents, model).collect()
