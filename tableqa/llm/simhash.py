@@ -17,14 +17,14 @@ are separate members; null ids stay, and a class whose ids are all null has a nu
 
 from __future__ import annotations
 
-import functools
 import itertools
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableqa.llm import common
@@ -36,30 +36,41 @@ HOT = 4096
 PIECE = 1 << 16  # shingles hashed in one step
 
 
-def fingerprint(text: str | None, words: int = 4) -> int:
-    """Signed 64-bit fingerprint: a bit is set if it is set in over half the hashes of the shingles.
+def _split(text: str | None) -> list[bytes]:
+    """bytes.lower and bytes.split change A-Z and split at ASCII white space only, as asked for."""
+    return (text or "").encode("utf-8", "replace").lower().split()
 
-    bytes.lower and bytes.split change A-Z and split at ASCII white space only, as asked for.
-    """
-    found = (text or "").encode("utf-8", "replace").lower().split()
+
+def _shingle_hashes(found: list[bytes], words: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of the words, in order and in pieces; none without words."""
     if not found:
-        return 0
+        return
     joined = b" ".join(found)
     ends = np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(found) - words + 1)
     starts, ends = starts[:n].tolist(), (ends[words - 1 :] if len(found) >= words else ends[-1:]).tolist()
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, dtype=np.int64)
+    digest = xxhash.xxh64_intdigest
     for at in range(0, n, PIECE):
-        hashes = np.array(
-            [digest(joined[a:b], SEED) for a, b in zip(starts[at : at + PIECE], ends[at : at + PIECE])], dtype=">u8"
-        )
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
+        yield np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at : at + PIECE], ends[at : at + PIECE])], dtype=np.uint64)
+
+
+def _over_half(pieces: Iterable[np.ndarray]) -> int:
+    """Signed 64-bit number: a bit is set if it is set in over half of the hashes."""
+    ones, n = np.zeros(64, dtype=np.int64), 0
+    for hashes in pieces:
+        n += len(hashes)
+        bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         for part in range(0, len(bits), 255):  # sums of so many bits fit a byte
             ones += bits[part : part + 255].sum(axis=0, dtype=np.uint8)
     return int(np.packbits(ones * 2 > n).view(">i8")[0])
 
 
+def fingerprint(text: str | None, words: int = 4) -> int:
+    """Signed 64-bit fingerprint: a bit is set if it is set in over half the hashes of the shingles."""
+    return _over_half(_shingle_hashes(_split(text), words))
+
+
 def fingerprints(text: Column, words: int = 4) -> Column:
     """Column of fingerprints; only the text goes to Python."""
 
@@ -163,92 +174,123 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 # ---------------------------------------------------------------------------------------------------------------
-# Near-duplicates by similarity: links of fingerprints come first, min-hash bands add candidates that are further apart,
-# exact similarity decides
+# Near-duplicates by similarity: links of fingerprints, and all texts that share a shingle of their prefixes, which holds
+# every pair that is similar enough; exact similarity decides
 # ---------------------------------------------------------------------------------------------------------------
 
 RADIUS = 4  # bits in which fingerprints that link may differ
-BANDS, ROWS = 20, 6  # two texts of similarity s share a band with probability s^ROWS: 0.997 over all bands at 0.8
-DEPTH = 3  # times that a crowded value is split
-SPLITS, SPLIT_ROWS = 9, 8  # bands that split a crowded value and their rows: a pair of 0.8 meets 1.5 times in a split, of 0.7 0.5 times
-FEW = (16, 16, 128)  # texts of one value that are compared in pairs, by splits so far; of more splits the texts are likelier alike
+ORDER_TEXTS, ORDER_KEPT = 8192, 1 << 18  # texts in which shingles are counted to put them in order, and counts kept
+SKETCH = 512  # bits of a text's sketch
+FEW = 16  # texts of one shingle that are compared in pairs before classes are known
 HUB = 256  # pairs of one text that are verified in one place
-TEXTS, PAIRS_EACH = 4096, 2048  # texts with their min-hashes or shingles, and pairs to be compared, that make a task
+PLACE = 1024  # texts outside the largest class of a shingle that are compared with the others in one place
+TEXTS, PAIRS_EACH = 4096, 2048  # texts with their shingles, and pairs to be compared, that make a task
 BATCH = 1000  # texts or pairs that Python holds at once
+SLACK = 1e-6  # bounds are loose by this much, so that no rounding drops a pair
 
 
-def _shingle_hashes(found: list[bytes], words: int, first: int, last: int) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(b" ".join(found[i : i + words]), SEED) for i in range(first, last)], dtype=np.uint64)
-
-
-def _split(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").lower().split()
-
-
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """The multiset of a text's shingles as a set: hashes mixed with the number of equal ones before; none without words."""
-    found = _split(text)
-    hashes = np.sort(_shingle_hashes(found, words, 0, max(1, len(found) - words + 1) if found else 0))
+def _as_set(hashes: np.ndarray) -> np.ndarray:
+    """A multiset of hashes as a set: hashes mixed with the number of equal ones before."""
+    hashes = np.sort(hashes)
     first = np.concatenate([[True], hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, dtype=bool)
     at = np.arange(len(hashes))
     before = (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
     return (hashes + before * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-_DRAW = np.random.default_rng(SEED)
-_FACTORS = _DRAW.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_RINGS = [np.concatenate([_DRAW.permutation(BANDS * ROWS) for _ in range(3)]).reshape(-1, SPLIT_ROWS).tolist() for _ in range(DEPTH)]
+def _all_hashes(text: str | None, words: int) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype=np.uint64), *_shingle_hashes(_split(text), words)])
 
 
-def agreement(similarity: float) -> int:
-    """Least number of equal min-hashes that candidates may have: the mean at `similarity` less four standard deviations."""
-    rows = BANDS * ROWS
-    return int(similarity * rows - 4 * (similarity * (1 - similarity) * rows) ** 0.5)
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The multiset of a text's shingles as a set; none without words."""
+    return _as_set(_all_hashes(text, words))
 
 
-def min_hashes(shingles: np.ndarray) -> np.ndarray:
-    """Upper half of the least value of the shingles under each of the random orders; -1 where there are none."""
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, dtype=np.uint64)
-    values = shingles.view(np.uint64)
-    for at in range(0, len(values), 256):
-        np.minimum(least, (values[None, at : at + 256] * _FACTORS[:, None]).min(axis=1), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+def prefix_length(n: int, similarity: float) -> int:
+    """Two sets of the similarity share one of so many first elements of each, in whatever order all sets are put."""
+    return n - math.ceil(similarity * n - SLACK) + 1
 
 
-def _bands(least: str, groups: list[list[int]], seed: int) -> Column:
-    """Hashes of groups of min-hashes."""
-    return F.array(*[F.xxhash64(F.lit(seed + k), *[F.get(F.col(least), F.lit(i)) for i in group]) for k, group in enumerate(groups)])
+def prefix(shingles: np.ndarray, similarity: float, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles of the set by (count, value). `known` is sorted; a shingle that is not in it has count 0."""
+    often = np.zeros(len(shingles), dtype=np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        often = np.where(known[at] == shingles, counts[at], 0)
+    return shingles[np.lexsort((shingles, often))[: prefix_length(len(shingles), similarity)]]
 
 
-def _first_bands(least: str) -> Column:
-    return _bands(least, np.arange(BANDS * ROWS).reshape(BANDS, ROWS).tolist(), 0)
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles in SKETCH groups: two sets differ in as many shingles at least as sketches in bits."""
+    groups = np.bincount((shingles.view(np.uint64) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+    return np.packbits((groups & 1).astype(np.uint8)).view(np.int64)
 
 
-def _split_bands(value: str, least: str, depth: int) -> Column:
-    """Values of the SPLITS bands by which a crowded value is split: neighbours in a ring of bands, from a place that the
-    value chooses, so that a pair which no band of one value joins has another chance in the next value it meets in."""
-    ring = _RINGS[depth - 1]
-    bands = _bands(least, ring, depth * BANDS * ROWS)
-    start = (F.pmod(F.col(value), F.lit(len(ring))) + 1).cast("int")
-    return F.transform(F.slice(F.concat(bands, bands), start, F.lit(SPLITS)), lambda band: F.xxhash64(F.col(value), band))
+def _high(n: Column, rest: Column, similarity: float) -> Column:
+    """Size of the largest set that can be similar enough to one of n elements, if they share no more than rest."""
+    share = F.least(n / F.lit(similarity), rest * F.lit((1 + similarity) / similarity) - n)
+    return F.floor(share + F.lit(SLACK)).cast("int")
 
 
-def _meetings(entries: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a > b) of entries (value, id) and the entries of crowded values.
+def _meetings(entries: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs of entries (value, id, n, high), and the entries of crowded values, which need more than these pairs.
 
-    Up to `most` texts of a value are paired with each other; of more, each is paired with the smallest, the hub. With
-    None all texts of a value are paired. Counts and minima are combined before the shuffle.
+    `high` is the size of the largest text that a text of size n can be similar to if this value is the first that the two
+    share; neither may be larger than the other's. Up to `most` texts of a value are paired with each other. Of more, each is
+    paired with the hub, the text that has the smallest part of its values before this one, so the most in common with
+    others. An entry stays unless all texts of the value are too large for it.
     """
-    counts = entries.groupBy("value").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = common.packed(entries.join(counts, "value"))
-    if most is None:
-        pairs = met.select("value", F.col("id").alias("a")).join(met.select("value", F.col("id").alias("b")), "value").where("a > b").select("a", "b")
-        return pairs.distinct(), met.limit(0)
-    few = met.where(F.col("n") <= most).groupBy("value").agg(F.collect_set("id").alias("ids"))
-    pairs = few.select(F.explode("ids").alias("a"), "ids").select("a", F.explode("ids").alias("b")).where("a > b")
-    crowd = met.where(F.col("n") > most)
-    return pairs.union(crowd.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))).distinct(), crowd
+    whole = Window.partitionBy("value")
+    met = entries.withColumn("many", F.count(F.lit(1)).over(whole)).where("many > 1")
+    met = met.withColumn("first", F.min(F.struct((-F.col("high") / F.col("n")).alias("part"), "id")).over(whole))
+    met = met.withColumn("least", F.min("n").over(whole)).withColumn("others", F.collect_list(F.struct("id", "n", "high")).over(
+        whole.orderBy("id").rowsBetween(1, most)
+    ))
+    fitting = F.filter("others", lambda x: (x.id != F.col("id")) & (x.n <= F.col("high")) & (F.col("n") <= x.high))
+    partners = F.when(F.col("many") <= most, F.transform(fitting, lambda x: x.id)).otherwise(F.array().cast("array<long>"))
+    met = common.packed(met.select(
+        "value", "id", "n", "high", F.col("first.id").alias("hub"), (F.col("many") > most).alias("crowded"),
+        (F.col("high") >= F.col("least")).alias("able"), partners.alias("partners"),
+    ).where("crowded AND able OR size(partners) > 0"))
+    crowd = met.where("crowded")
+    pairs = met.select(F.explode("partners").alias("a"), F.col("id").alias("b"))
+    with_hub = crowd.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    return pairs.union(with_hub).distinct(), crowd.select("value", "id", "n", "high")
+
+
+def _reordered(sets: DataFrame, similarity: float) -> DataFrame:
+    """Entries of the prefixes of texts (id, set), in the order of the number of these texts that hold a shingle. Those of one
+    text alone come first and meet nobody."""
+    held = sets.select("id", F.size("set").alias("n"), F.explode("set").alias("value"))
+    counts = common.packed(held.groupBy("value").agg(F.count(F.lit(1)).alias("often")).where("often > 1"))
+    shared = held.join(common.small(counts), "value").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("shared"))
+    alone = F.col("n") - F.size("shared")
+    length = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(SLACK)).cast("int") + 1
+    entries = shared.select("id", "n", alone.alias("alone"), F.posexplode(F.slice("shared", F.lit(1), F.greatest(length - alone, F.lit(0)))).alias("at", "x"))
+    return entries.select(F.col("x.value").alias("value"), "id", "n", _high(F.col("n"), F.col("n") - F.col("alone") - F.col("at"), similarity).alias("high"))
+
+
+def _across(crowd: DataFrame) -> DataFrame:
+    """All candidate pairs of different classes that meet in crowded values, of entries with their class (root).
+
+    One of such a pair at least is not of the value's largest class, so those texts are compared with all of the value, in
+    places of PLACE of them. Only pairs that can be similar enough leave the join.
+    """
+    sizes = crowd.groupBy("value", "root").agg(F.count(F.lit(1)).alias("n"))
+    values = sizes.groupBy("value").agg(
+        F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("classes")
+    ).where("classes > 1")
+    values = common.packed(values.select(
+        "value", F.col("largest.root").alias("largest"), F.ceil((F.col("all") - F.col("largest.n")) / PLACE).cast("int").alias("places")
+    ))
+    met = crowd.join(common.small(values), "value")
+    a, b = ([F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "high", "root")] for x in "ab")
+    strays = met.where("root <> largest").select("value", F.pmod(F.xxhash64("id"), F.col("places")).cast("int").alias("place"), *a)
+    others = met.select("value", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), "largest", *b)
+    return strays.join(others, ["value", "place"]).where(
+        "root_a <> root_b AND (root_b = largest OR id_a > id_b) AND n_a <= high_b AND n_b <= high_a"
+    ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
 def _fingerprint_pairs(texts: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -266,36 +308,26 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     """key, mark (hash of the text), class: classes of texts whose word shingles are `similarity` or more alike.
 
     Two texts link if the exact weighted similarity of their shingles (sum of the smaller by sum of the larger
-    multiplicities) is at least `similarity`. Candidates are the links of `links`: all pairs whose fingerprints differ in at
-    most RADIUS bits, found in Hamming balls around the segments (chains of them in hot segments, hubs among equal ones). At
-    a similarity of 0.96 half of the pairs are that near, at 0.8 few, which is why they are followed by the texts that share
-    one of BANDS min-hash bands, the same number for a table of any size, and are not of one class yet. Candidates agree in
-    `agreement` min-hashes, compared by their lowest 7 bits. Texts of the same words are one unit.
-
-    Of a crowded band value each text is first compared with the smallest, which joins groups of near copies to classes.
-    Where several classes remain, one text for each of them goes on: the value is split by SPLITS bands of further
-    min-hashes, so texts that merely share a passage part and pairs grow with the texts, not with their square; a pair of
-    0.8 is met by one band of all the splits at least with probability 0.98. What is crowded after DEPTH splits is
-    compared in pairs.
+    multiplicities) is at least `similarity`. No link is lost, whatever the texts: candidates that are not compared are of one
+    class already or cannot be similar enough. Texts of the same words are one unit.
+
+    Candidates are the links of `links` (fingerprints that differ in RADIUS bits at most, by Hamming balls around segments),
+    which hold most near copies, and all texts that share a shingle of their prefixes: if all shingles are put in one
+    order, two texts of the similarity share one of the first n - similarity * n + 1 of each. Any order will do. Here
+    shingles that are frequent in some ORDER_TEXTS texts come last, so that few texts meet who have little in common; those
+    counts decide on the work, not on the result. Size, what is left behind the shared shingle and sketches drop candidates
+    that cannot reach the similarity.
+
+    Of a crowded shingle each text is first compared with the hub. If texts of several classes remain, those texts
+    are put in order anew, by the exact counts of all their shingles among them, and meet again. What is crowded then is
+    compared whole, but for pairs of one class. That grows with the square of the texts only where many texts that have
+    over `similarity` of their shingles in common with others do not link to the largest class.
 
     Edges: null texts and texts without words are one class; repeated rows are rows of one class; null keys stay; other
     columns are not read; an empty table gives no rows.
     """
     body = F.col(f"`{text}`")
     mark = F.xxhash64(F.coalesce(body, F.lit("")))
-    least_equal = agreement(similarity)
-
-    @F.pandas_udf("unit long, n long, fp long, least array<int>")
-    def signature(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            out = []
-            for t in part:
-                found = _split(t)
-                out.append((
-                    np.uint64(xxhash.xxh64_intdigest(b" ".join(found), SEED)).astype(np.int64), max(1, len(found) - words + 1),
-                    fingerprint(t, words), min_hashes(shingle_set(t, words)),
-                ))
-            yield pd.DataFrame(out, columns=["unit", "n", "fp", "least"])
 
     @F.pandas_udf("array<long>")
     def shingles(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -308,27 +340,67 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         total = a.map(len).to_numpy(dtype=float) + b.map(len).to_numpy(dtype=float) - both
         return pd.Series(both / np.maximum(total, 1))
 
+    bodies = docs.select(mark.alias("mark"), F.coalesce(body, F.lit("")).alias("body"))
+    some = bodies.where(F.pmod("mark", F.lit(max(1, docs.count() // ORDER_TEXTS))) == 0).dropDuplicates(["mark"])
     with common.batches(docs.sparkSession, BATCH):
-        marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), mark.alias("mark"), signature(body).alias("w")).select("key", "mark", "w.*"))
-    texts = common.packed(marked.select(F.col("unit").alias("id"), "mark", "n", "fp", "least").dropDuplicates(["id"]), TEXTS)
+        counted = common.packed(some.select(F.explode(shingles("body")).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    kept, least = 0, 2
+    for n, times in sorted(map(tuple, counted.groupBy("n").count().collect()), reverse=True):
+        kept += times
+        if kept > ORDER_KEPT:
+            least = n + 1
+            break
+    frequent = counted.where(F.col("n") >= least).toArrow()
+    known, counts = (frequent.column(c).to_numpy() for c in ("value", "n"))
+    known, counts = known[np.argsort(known)], counts[np.argsort(known)]
+
+    @F.pandas_udf("unit long, n int, fp long, bits array<long>, prefix array<long>")
+    def signature(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            out = []
+            for t in part:
+                hashes = _all_hashes(t, words)
+                own = _as_set(hashes)
+                out.append((
+                    np.uint64(xxhash.xxh64_intdigest(b" ".join(_split(t)), SEED)).astype(np.int64), max(1, len(own)),
+                    _over_half([hashes]), sketch(own), prefix(own, similarity, known, counts),
+                ))
+            yield pd.DataFrame(out, columns=["unit", "n", "fp", "bits", "prefix"])
+
+    with common.batches(docs.sparkSession, BATCH):
+        marked = common.cut(docs.select(F.col(f"`{key}`").alias("key"), mark.alias("mark"), signature(body).alias("w")).select(
+            "key", "mark", "w.*", F.monotonically_increasing_id().alias("row")
+        ))
+    first = marked.groupBy("unit").agg(F.min("row").alias("first"))
+    again = common.packed(marked.select("unit", "row").join(first, "unit").where("row <> first").select("row"))
+    single = marked.join(common.small(again), "row", "left_anti").withColumnRenamed("unit", "id")
+    texts = common.packed(single.select("id", "mark", "n", "fp", "bits"), TEXTS)
     units = marked.select("key", "mark", "unit")
-    distance = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb")))
-    equal = F.aggregate(F.zip_with("ha", "hb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    possible = (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(similarity - 1e-9)) & (equal >= least_equal)
-    sketch = F.transform("least", lambda x: x.bitwiseAND(F.lit(127)).cast("byte"))
-    left, right = (texts.select(F.col("id").alias(x), F.col("fp").alias(f"f{x}"), F.col("n").alias(f"n{x}"), sketch.alias(f"h{x}")) for x in "ab")
+    apart_by = F.aggregate(F.zip_with("ha", "hb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    na, nb = F.col("na"), F.col("nb")
+    # n elements that differ in d share (n - d) / 2 at most
+    possible = (F.greatest(na, nb) * F.lit(similarity) <= F.least(na, nb) + F.lit(SLACK)) & (
+        (na + nb - F.col("d")) / 2 >= (na + nb) * F.lit(similarity / (1 + similarity)) - F.lit(SLACK)
+    )
+    left, right = (texts.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"h{x}")) for x in "ab")
+    found = roots = None
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """Shingles of the texts; only these texts are read again."""
+        wanted = common.packed(texts.select("id", F.col("mark").alias("of")).join(ids, "id", "left_semi"))
+        read = bodies.join(common.small(wanted), F.col("mark") == F.col("of"))
+        with common.batches(docs.sparkSession, BATCH):
+            return common.packed(read.select("id", "body").dropDuplicates(["id"]).select("id", shingles("body").alias("set")), TEXTS)
 
     def held(pairs: DataFrame) -> DataFrame:
         """The texts of pairs."""
         return common.small(common.packed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of the exact similarity; only texts of candidates are read again. A few sets go to all pairs; of
-        many, each goes to the pairs of its text, and hubs are dealt to several places."""
-        wanted = common.packed(texts.select("id", F.col("mark").alias("of")).join(held(pairs), "id", "left_semi"))
-        bodies = docs.select(mark.alias("mark"), F.coalesce(body, F.lit("")).alias("body")).join(common.small(wanted), F.col("mark") == F.col("of"))
-        with common.batches(docs.sparkSession, BATCH):
-            sets = common.packed(bodies.select("id", "body").dropDuplicates(["id"]).select("id", shingles("body").alias("set")), TEXTS)
+    def verified(pairs: DataFrame, sets: DataFrame | None) -> DataFrame:
+        """Pairs (a, b) of the exact similarity. A few sets go to all pairs; of many, each goes to the pairs of its text, and
+        hubs are dealt to several places."""
+        ids = held(pairs)
+        sets = sets_of(ids) if sets is None else sets.join(ids, "id", "left_semi")
         few = common.small(sets)
         of_a, of_b = (few.select(F.col("id").alias(x), F.col("set").alias(f"s{x}")) for x in "ab")
         if few is not sets:
@@ -343,53 +415,56 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         with common.batches(docs.sparkSession, BATCH):
             return common.packed(alike.select("a", "b"))
 
-    entries = texts.select("id", F.explode(_first_bands("least")).alias("value"))
-    found = roots = None
-
-    def root_of(rows: DataFrame, column: str) -> DataFrame:
+    def root_of(rows: DataFrame, column: str, name: str) -> DataFrame:
         """Adds the class of a text so far."""
         if roots is None:
-            return rows.withColumn(f"{column}_root", F.col(column))
+            return rows.withColumn(name, F.col(column))
         named = common.small(roots.select(F.col("node").alias("_node"), F.col("root").alias("_root")))
-        return rows.join(named, F.col(column) == F.col("_node"), "left").withColumn(f"{column}_root", F.coalesce("_root", column)).drop("_node", "_root")
+        return rows.join(named, F.col(column) == F.col("_node"), "left").withColumn(name, F.coalesce("_root", column)).drop("_node", "_root")
 
     def apart(pairs: DataFrame) -> DataFrame:
-        return root_of(root_of(pairs, "a"), "b").where("a_root <> b_root").select("a", "b")
+        return root_of(root_of(pairs, "a", "root_a"), "b", "root_b").where("root_a <> root_b").drop("root_a", "root_b")
 
     def sifted(pairs: DataFrame) -> DataFrame:
+        """Pairs of different classes that can be similar enough, with the distance of their sketches."""
         pairs = common.packed(apart(pairs))
         of_b = right.join(held(pairs).withColumnRenamed("id", "b"), "b", "left_semi")
-        return common.packed(left.join(common.small(pairs), "a").join(of_b, "b").where(possible).select("a", "b", distance.alias("d")))
+        met = left.join(common.small(pairs), "a").join(of_b, "b").withColumn("d", apart_by)
+        return common.packed(met.where(possible).select("a", "b", "d"))
 
-    def nearest_joined(near: DataFrame) -> DataFrame:
-        """Joins each text with its nearest candidate, which joins most copies; gives the other pairs. Those that are then
-        in one class need no check."""
+    def joined(pairs: DataFrame, sets: DataFrame | None = None) -> None:
+        """Joins the classes of all pairs that are similar: of each text with its nearest candidate first, which joins most
+        copies, then of all others that are still of different classes."""
         nonlocal found, roots
-        if near.isEmpty():
-            return near.select("a", "b")
-        nearest = common.packed(near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
-        joined = verified(nearest)
-        found = joined if found is None else found.union(joined)
-        roots = common.packed(components(found))
-        return near.join(common.small(nearest), ["a", "b"], "left_anti").select("a", "b")
-
-    left_over = [nearest_joined(sifted(_fingerprint_pairs(texts)))]
-    for depth in range(DEPTH + 1):
-        pairs, crowd = _meetings(entries, FEW[depth] if depth < DEPTH else None)
         near = sifted(pairs)
-        left_over.append(nearest_joined(near) if depth == 0 else near.select("a", "b"))
-        # one text for each class of a crowded value that has several
-        kept = common.packed(root_of(crowd.select("value", "id"), "id").groupBy("value", "id_root").agg(F.min("id").alias("id")))
-        several = kept.groupBy("value").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-        rest = common.packed(kept.join(several, "value", "left_semi").select("value", "id"))
-        if depth == DEPTH or rest.isEmpty():
-            break
-        again = common.small(rest).join(texts.select(F.col("id").alias("of"), "least"), F.col("id") == F.col("of"))
-        entries = common.packed(again.select("id", F.explode(_split_bands("value", "least", depth + 1)).alias("value")))
-    more = common.packed(apart(functools.reduce(DataFrame.union, left_over)).distinct())
-    if not more.isEmpty():
-        last = verified(more)
-        roots = common.packed(components(last if found is None else found.union(last)))
+        nearest = near.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+        for choose in (lambda: nearest, lambda: apart(near.select("a", "b"))):
+            chosen = common.packed(choose())
+            if chosen.isEmpty():
+                return
+            links_ = verified(chosen, sets)
+            found = links_ if found is None else found.union(links_)
+            roots = common.packed(components(found))
+
+    def with_classes(crowd: DataFrame) -> DataFrame:
+        """Entries of crowded values that hold several classes, with their class."""
+        rooted = common.packed(root_of(crowd, "id", "root"))
+        several = common.packed(rooted.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("value"))
+        return common.packed(rooted.join(common.small(several), "value", "left_semi"))
+
+    entries = single.select("id", "n", F.posexplode("prefix").alias("at", "value")).select(
+        "value", "id", "n", _high(F.col("n"), F.col("n") - F.col("at"), similarity).alias("high")
+    )
+    pairs, crowd = _meetings(entries, FEW)
+    joined(_fingerprint_pairs(texts).union(pairs))
+    crowd = with_classes(crowd)
+    if not crowd.isEmpty():
+        sets = sets_of(common.small(common.packed(crowd.select("id").distinct())))
+        pairs, crowd = _meetings(_reordered(sets, similarity), FEW)
+        joined(pairs, sets)
+        crowd = with_classes(crowd)
+        if not crowd.isEmpty():
+            joined(_across(crowd), sets)
     if roots is None:
         return units.select(F.col("key").alias(key), "mark", F.col("unit").alias("class"))
     return units.join(common.small(roots), F.col("unit") == F.col("node"), "left").select(

@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -251,6 +252,48 @@ def test_classes_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
     assert found[0] == found[1] and 6 <= len(set(found[0].values())) < 150
 
 
+@pytest.mark.parametrize("few, place, kept", [(16, 1024, 1 << 18), (2, 7, 0)])
+def test_no_link_is_lost_in_crowded_groups(spark, monkeypatch, few, place, kept):
+    """Texts that link through a few others only, in groups where all share most of their shingles."""
+    random.seed(11)
+    rows = []
+    for g in range(3):
+        base = [f"g{g}w{i}" for i in range(150)]
+        for changed in [2] * 45 + [1] * 2 + [3] * 30 + [5] * 10:
+            copy = list(base)
+            for at in random.sample(range(6, 144), changed):
+                copy[at] = f"v{len(rows)}x{at}"
+            rows.append((len(rows), " ".join(copy)))
+    sets = {i: frozenset(simhash.shingle_set(t, 5).tolist()) for i, t in rows}
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    expected = classes([(a, b) for a in sets for b in range(a) if alike(a, b)], sets)
+    for name, value in (("FEW", few), ("PLACE", place), ("ORDER_KEPT", kept)):
+        monkeypatch.setattr(simhash, name, value, raising=False)
+    docs = spark.createDataFrame(random.sample(rows, len(rows)), "doc_id long, text string")
+    got = {r.doc_id: r["class"] for r in simhash.similar_classes(docs).collect()}
+    least = {}
+    for i in sorted(got):
+        least.setdefault(got[i], i)
+    assert 30 < len(set(expected.values())) < 200
+    assert {i: least[c] for i, c in got.items()} == expected
+
+
+def test_prefixes_and_sketches_lose_no_pair():
+    random.seed(12)
+    known = np.array(sorted(random.sample(range(5000), 300)), dtype=np.int64)
+    counts = np.array([random.randrange(2, 9) for _ in known], dtype=np.int64)
+    met = 0
+    for _ in range(3000):
+        a = set(random.sample(range(5000), random.randrange(1, 200)))
+        b = set(random.sample(sorted(a), random.randrange(max(1, len(a) * 3 // 4), len(a) + 1))) | set(random.sample(range(5000), random.randrange(len(a) // 6 + 1)))
+        x, y = (np.array(sorted(s), dtype=np.int64) for s in (a, b))
+        assert np.bitwise_count((simhash.sketch(x) ^ simhash.sketch(y)).view(np.uint64)).sum() <= len(a ^ b)
+        if len(a & b) >= 0.8 * len(a | b):
+            met += 1
+            assert set(simhash.prefix(x, 0.8, known, counts).tolist()) & set(simhash.prefix(y, 0.8, known, counts).tolist())
+    assert met > 300
+
+
 def test_sharding(spark, documents, texts):
     rows = shards.shard_documents(documents, 24).collect()
     assert len(rows) == len(texts)
