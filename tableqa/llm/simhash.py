@@ -180,10 +180,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 RADIUS = 4  # bits in which fingerprints that link may differ
 ORDER_TEXTS, ORDER_KEPT = 8192, 1 << 18  # texts in which shingles are counted to put them in order, and counts kept
-SKETCH = 512  # bits of a text's sketch
+SKETCH = 512  # least bits of a text's sketch
 FEW = 16  # texts of one shingle that are compared in pairs before classes are known
 HUB = 256  # pairs of one text that are verified in one place
-PLACE = 1024  # texts outside the largest class of a shingle that are compared with the others in one place
+PLACE = 1024  # texts outside the largest class of a shingle that are compared with all others in one place
 TEXTS, PAIRS_EACH = 4096, 2048  # texts with their shingles, and pairs to be compared, that make a task
 BATCH = 1000  # texts or pairs that Python holds at once
 SLACK = 1e-6  # bounds are loose by this much, so that no rounding drops a pair
@@ -222,11 +222,23 @@ def prefix(shingles: np.ndarray, similarity: float, known: np.ndarray, counts: n
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parities of the numbers of shingles in SKETCH groups: two sets differ in as many shingles at least as sketches in bits."""
-    groups = np.bincount((shingles.view(np.uint64) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+    """Parities of the numbers of shingles in groups, at least as many as shingles and a power of two of them, SKETCH or more:
+    two sets differ in as many shingles at least as their sketches in bits. Halves of one, added, are a sketch of half the size."""
+    size = max(SKETCH, 1 << max(0, len(shingles) - 1).bit_length())
+    groups = np.bincount((shingles.view(np.uint64) % np.uint64(size)).astype(np.int64), minlength=size)
     return np.packbits((groups & 1).astype(np.uint8)).view(np.int64)
 
 
+def _sketch_distance(a: Column, b: Column) -> Column:
+    """Bits in which sketches differ, the larger one halved; 0 if one is over twice the size."""
+    def halved(x: Column, other: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(other), F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))).otherwise(x)
+
+    bits = F.zip_with(halved(a, b), halved(b, a), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    return F.coalesce(F.aggregate(bits, F.lit(0), lambda total, n: total + n), F.lit(0))
+
+
 def _high(n: Column, rest: Column, similarity: float) -> Column:
     """Size of the largest set that can be similar enough to one of n elements, if they share no more than rest."""
     share = F.least(n / F.lit(similarity), rest * F.lit((1 + similarity) / similarity) - n)
@@ -271,23 +283,26 @@ def _reordered(sets: DataFrame, similarity: float) -> DataFrame:
     return entries.select(F.col("x.value").alias("value"), "id", "n", _high(F.col("n"), F.col("n") - F.col("alone") - F.col("at"), similarity).alias("high"))
 
 
-def _across(crowd: DataFrame) -> DataFrame:
-    """All candidate pairs of different classes that meet in crowded values, of entries with their class (root).
-
-    One of such a pair at least is not of the value's largest class, so those texts are compared with all of the value, in
-    places of PLACE of them. Only pairs that can be similar enough leave the join.
-    """
+def _several(crowd: DataFrame) -> DataFrame:
+    """Entries, with their class (root), of values that hold several classes: adds the largest one and the number of others."""
     sizes = crowd.groupBy("value", "root").agg(F.count(F.lit(1)).alias("n"))
     values = sizes.groupBy("value").agg(
         F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("classes")
     ).where("classes > 1")
-    values = common.packed(values.select(
-        "value", F.col("largest.root").alias("largest"), F.ceil((F.col("all") - F.col("largest.n")) / PLACE).cast("int").alias("places")
-    ))
-    met = crowd.join(common.small(values), "value")
+    values = common.packed(values.select("value", F.col("largest.root").alias("largest"), (F.col("all") - F.col("largest.n")).alias("strays")))
+    return common.packed(crowd.join(common.small(values), "value"))
+
+
+def _across(met: DataFrame) -> DataFrame:
+    """All candidate pairs of different classes that meet in the values of `_several`.
+
+    One of such a pair at least is not of the value's largest class, so those texts are compared with all of the value, in
+    places of PLACE of them. Only pairs that can be similar enough leave the join.
+    """
+    places = F.ceil(F.col("strays") / PLACE).cast("int")
     a, b = ([F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "high", "root")] for x in "ab")
-    strays = met.where("root <> largest").select("value", F.pmod(F.xxhash64("id"), F.col("places")).cast("int").alias("place"), *a)
-    others = met.select("value", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), "largest", *b)
+    strays = met.where("root <> largest").select("value", F.pmod(F.xxhash64("id"), places).cast("int").alias("place"), *a)
+    others = met.select("value", F.explode(F.sequence(F.lit(0), places - 1)).alias("place"), "largest", *b)
     return strays.join(others, ["value", "place"]).where(
         "root_a <> root_b AND (root_b = largest OR id_a > id_b) AND n_a <= high_b AND n_b <= high_a"
     ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
@@ -318,10 +333,11 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     counts decide on the work, not on the result. Size, what is left behind the shared shingle and sketches drop candidates
     that cannot reach the similarity.
 
-    Of a crowded shingle each text is first compared with the hub. If texts of several classes remain, those texts
-    are put in order anew, by the exact counts of all their shingles among them, and meet again. What is crowded then is
-    compared whole, but for pairs of one class. That grows with the square of the texts only where many texts that have
-    over `similarity` of their shingles in common with others do not link to the largest class.
+    Of a crowded shingle each text is first compared with the hub. If several classes remain, the texts outside the
+    largest one, PLACE at most, are compared with all of the shingle. Where they are more, the texts are put in order anew,
+    by the exact counts of all their shingles among them, and meet again; what is crowded then is compared whole, but for
+    pairs of one class. That grows with the square of the texts only where many texts that have over `similarity` of their
+    shingles in common with others do not link to the largest class.
 
     Edges: null texts and texts without words are one class; repeated rows are rows of one class; null keys stay; other
     columns are not read; an empty table gives no rows.
@@ -376,7 +392,6 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     single = marked.join(common.small(again), "row", "left_anti").withColumnRenamed("unit", "id")
     texts = common.packed(single.select("id", "mark", "n", "fp", "bits"), TEXTS)
     units = marked.select("key", "mark", "unit")
-    apart_by = F.aggregate(F.zip_with("ha", "hb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     na, nb = F.col("na"), F.col("nb")
     # n elements that differ in d share (n - d) / 2 at most
     possible = (F.greatest(na, nb) * F.lit(similarity) <= F.least(na, nb) + F.lit(SLACK)) & (
@@ -429,7 +444,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         """Pairs of different classes that can be similar enough, with the distance of their sketches."""
         pairs = common.packed(apart(pairs))
         of_b = right.join(held(pairs).withColumnRenamed("id", "b"), "b", "left_semi")
-        met = left.join(common.small(pairs), "a").join(of_b, "b").withColumn("d", apart_by)
+        met = left.join(common.small(pairs), "a").join(of_b, "b").withColumn("d", _sketch_distance(F.col("ha"), F.col("hb")))
         return common.packed(met.where(possible).select("a", "b", "d"))
 
     def joined(pairs: DataFrame, sets: DataFrame | None = None) -> None:
@@ -446,25 +461,23 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
             found = links_ if found is None else found.union(links_)
             roots = common.packed(components(found))
 
-    def with_classes(crowd: DataFrame) -> DataFrame:
-        """Entries of crowded values that hold several classes, with their class."""
-        rooted = common.packed(root_of(crowd, "id", "root"))
-        several = common.packed(rooted.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("value"))
-        return common.packed(rooted.join(common.small(several), "value", "left_semi"))
-
     entries = single.select("id", "n", F.posexplode("prefix").alias("at", "value")).select(
         "value", "id", "n", _high(F.col("n"), F.col("n") - F.col("at"), similarity).alias("high")
     )
     pairs, crowd = _meetings(entries, FEW)
     joined(_fingerprint_pairs(texts).union(pairs))
-    crowd = with_classes(crowd)
-    if not crowd.isEmpty():
-        sets = sets_of(common.small(common.packed(crowd.select("id").distinct())))
+    met = _several(root_of(crowd, "id", "root"))
+    if not met.isEmpty():
+        joined(_across(met.where(F.col("strays") <= PLACE)))
+        wide = met.where(F.col("strays") > PLACE).select("value", "id", "n", "high")
+        met = _several(root_of(wide, "id", "root"))
+    if not met.isEmpty():
+        sets = sets_of(common.small(common.packed(met.select("id").distinct())))
         pairs, crowd = _meetings(_reordered(sets, similarity), FEW)
         joined(pairs, sets)
-        crowd = with_classes(crowd)
-        if not crowd.isEmpty():
-            joined(_across(crowd), sets)
+        met = _several(root_of(crowd, "id", "root"))
+        if not met.isEmpty():
+            joined(_across(met), sets)
     if roots is None:
         return units.select(F.col("key").alias(key), "mark", F.col("unit").alias("class"))
     return units.join(common.small(roots), F.col("unit") == F.col("node"), "left").select(

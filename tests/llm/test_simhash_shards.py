@@ -294,6 +294,19 @@ def test_prefixes_and_sketches_lose_no_pair():
     assert met > 300
 
 
+def test_sketches_of_two_sizes(spark):
+    random.seed(13)
+    sets = [set(random.sample(range(10**6), n)) for n in (3, 500, 512, 513, 600, 1100, 3000)]
+    sets += [s | {2 * 10**6} for s in sets]
+    rows = [(i, k, simhash.sketch(np.array(sorted(a), dtype=np.int64)).tolist(), simhash.sketch(np.array(sorted(b), dtype=np.int64)).tolist())
+            for i, a in enumerate(sets) for k, b in enumerate(sets)]
+    found = spark.createDataFrame(rows, "i int, k int, a array<long>, b array<long>").select("i", "k", simhash._sketch_distance(F.col("a"), F.col("b")).alias("d"))
+    for r in found.collect():
+        d = len(sets[r.i] ^ sets[r.k])
+        assert r.d <= d and (d > 1 or r.d == d)
+        assert r.d > 200 or d < 400 or len(sets[r.i]) > 2 * len(sets[r.k]) or len(sets[r.k]) > 2 * len(sets[r.i])
+
+
 def test_sharding(spark, documents, texts):
     rows = shards.shard_documents(documents, 24).collect()
     assert len(rows) == len(texts)
